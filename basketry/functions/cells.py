@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from basketry.settings import EMPTY_TEXT, EVENT_TIME_PATTERNS, NA_TOKENS
+from basketry.settings import EMPTY_TEXT, NA_TOKENS
 
 # The characters Python's ``str.strip`` removes.
 WHITESPACE = (
@@ -12,8 +12,12 @@ WHITESPACE = (
     "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_WHOLE = r"^[+-]?[0-9]+$"
+# The accepted event-time layouts, blank or T between day and time, zone optional.
+EVENT_TIME_LAYOUT = (
+    r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?( UTC|Z|[+-]\d{2}:\d{2})?$"
+)
+
+_LETTERS_BUT_E = "[a-df-zA-DF-Z]"
 _LONG_LIMIT = float(2**63)
 
 
@@ -28,32 +32,29 @@ def strip(cell: Column) -> Column:
 
 
 def event_time(cell: Column) -> Column:
-    """UTC timestamp, or null when no accepted layout fits the whole cell.
+    """UTC timestamp, or null when the cell has none of the accepted layouts.
 
-    Each layout is explicit: a cast would turn ``10:00`` into today and ``2019`` into
-    January 1st. The session time zone must be UTC.
+    The layout is checked first: a bare cast would turn ``10:00`` into today and ``2019``
+    into January 1st. A time without a zone is read in the session zone, which must be UTC.
     """
-    return F.coalesce(*[F.try_to_timestamp(cell, F.lit(p)) for p in EVENT_TIME_PATTERNS])
+    return F.when(cell.rlike(EVENT_TIME_LAYOUT), cell.try_cast("timestamp"))
 
 
 def number(cell: Column) -> Column:
-    """Finite double, or null. The pattern keeps out Java suffixes such as ``1.0d``."""
-    text = strip(cell)
-    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    """Double, or null. Letters other than an exponent rule out ``1.0d``, ``inf`` and ``nan``.
+
+    Surrounding white space is allowed; text beyond the range of a double becomes infinite.
+    """
+    return F.when(~cell.rlike(_LETTERS_BUT_E), cell.try_cast("double"))
 
 
 def whole_number(cell: Column) -> Column:
     """Long, or null. Integer text is read exactly (19 digits survive); other numbers truncate."""
-    text = strip(cell)
-    exact = F.when(text.rlike(_WHOLE), text.try_cast("long"))
     value = number(cell)
-    in_range = (value >= F.lit(-_LONG_LIMIT)) & (value < F.lit(_LONG_LIMIT))
-    truncated = F.when(in_range & ~text.rlike(_WHOLE), value.try_cast("long"))
-    return F.coalesce(exact, truncated)
+    truncated = F.when(value < F.lit(_LONG_LIMIT), value.try_cast("long"))
+    return F.coalesce(cell.try_cast("long"), truncated)
 
 
-def clean_text(cell: Column) -> Column:
-    """Stripped text; empty and spelled-out missing values become null."""
-    text = strip(cell)
+def present(text: Column) -> Column:
+    """Stripped text, null where it is empty or spells out a missing value."""
     return F.when(~text.isin(*EMPTY_TEXT), text)

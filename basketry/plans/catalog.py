@@ -121,33 +121,40 @@ def _sides(split: splits.Split) -> DataFrame:
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.null_tokens(testdata.dirty_bronze(spark, sf_dir).drop("source_file"))
+    return testdata.dirty_bronze(spark, sf_dir).drop("source_file")
+
+
+def _event_id() -> Column:
+    # further input columns pass through cleaning as text
+    return F.col("event_id").cast("long").alias("event_id")
 
 
 def na_tokens(spark, sf_dir):
-    return _raw(spark, sf_dir)
+    return cleaning.null_tokens(_raw(spark, sf_dir))
 
 
 def clean_time(spark, sf_dir):
-    return cleaning.with_event_time(_raw(spark, sf_dir)).select("event_id", "event_time")
+    rows = cleaning.with_event_time(_raw(spark, sf_dir))
+    return rows.select(_event_id(), "event_time")
 
 
 def clean_event_type(spark, sf_dir):
-    return cleaning.with_event_type(_raw(spark, sf_dir)).select("event_id", "event_type")
+    rows = cleaning.with_event_type(_raw(spark, sf_dir))
+    return rows.select(_event_id(), "event_type")
 
 
 def clean_price(spark, sf_dir):
-    return cleaning.with_price(_raw(spark, sf_dir)).select("event_id", "price")
+    return cleaning.with_price(_raw(spark, sf_dir)).select(_event_id(), "price")
 
 
 def clean_ids(spark, sf_dir):
     rows = cleaning.with_ids(_raw(spark, sf_dir))
-    return rows.select("event_id", "product_id", "category_id", "user_id")
+    return rows.select(_event_id(), "product_id", "category_id", "user_id")
 
 
 def clean_text(spark, sf_dir):
     rows = cleaning.with_text(_raw(spark, sf_dir))
-    return rows.select("event_id", "category_code", "brand", "user_session")
+    return rows.select(_event_id(), "category_code", "brand", "user_session")
 
 
 def clean_dedup(spark, sf_dir):

@@ -602,7 +602,8 @@ def oracle_sql() -> dict[str, str]:
             f"""{_ON_FINAL},
 dated AS (SELECT product_id, date,
                  lead(date) OVER (PARTITION BY product_id ORDER BY date) AS label_date FROM gold)""",
-            f"{_sides('f').replace(' date, purchases', ' s.date, purchases').replace('(date,', '(s.date,')}"
+            f"SELECT side, s.product_id, strftime(s.date, '%Y-%m-%d') AS date, purchases, "
+            "purchases_next_day FROM sides_f"
             " s JOIN dated USING (product_id, date) WHERE side = 'test' OR label_date < "
             "(SELECT min(date) FROM test_f)",
         ),

@@ -44,13 +44,6 @@ NA_TOKENS = (
 # Text cells that count as missing after stripping.
 EMPTY_TEXT = ("", "nan", "None")
 
-# Spark patterns for the accepted event-time layouts.
-EVENT_TIME_PATTERNS = (
-    "yyyy-MM-dd HH:mm:ss 'UTC'",
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
-)
-
 # Count column of the daily table for each event type.
 COUNT_COLUMNS = {
     "view": "views",

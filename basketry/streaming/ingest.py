@@ -17,9 +17,8 @@ _RAW_SCHEMA = ", ".join(f"{c} string" for c in EVENT_COLUMNS)
 
 def stream_bronze(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
     """New CSV files of ``folder`` as text rows; a file with another column order is an error."""
-    return spark.readStream.schema(_RAW_SCHEMA).csv(
-        folder, header=True, escape='"', enforceSchema=False, maxFilesPerTrigger=files_per_batch
-    )
+    reader = spark.readStream.schema(_RAW_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
+    return reader.csv(folder, header=True, escape='"', enforceSchema=False)
 
 
 def start_ingest(
