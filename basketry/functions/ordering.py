@@ -7,10 +7,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 _DIGIT_BITS = 16
 
 
+HASH_SIZE = 1000003
+
+
 def key_hash(product_id: Column, date: Column, seed: int) -> Column:
     """Repeatable pseudo-random key of a (product, date) row, the same in any SQL engine."""
     mixed = product_id * F.lit(7919) + F.unix_date(date).cast("long") * F.lit(104729) + F.lit(seed)
-    return F.pmod(mixed, F.lit(1000003))
+    return F.pmod(mixed, F.lit(HASH_SIZE))
 
 
 def nth_smallest(
@@ -19,7 +22,7 @@ def nth_smallest(
     """The ``rank``-th smallest (from 0) long ``value`` inside each listed group.
 
     ``ranks`` maps a group key to its wanted ranks; the result maps a group key to
-    ``{rank: value}``. A histogram over 16 bits of the value finds the bucket of each rank
+    ``{rank: value}``, with ``None`` for a rank beyond the group. A histogram over 16 bits of the value finds the bucket of each rank
     and the next pass looks inside that bucket only. Each pass is one partially aggregated
     count of at most 65,536 rows per wanted rank, so neither a sort nor a whole group ever
     reaches one task. ``low`` and ``high`` bound the values and save the passes over
@@ -48,13 +51,13 @@ def nth_smallest(
         for row in sorted(histogram, key=lambda r: r["p"]):
             known = None if shift == start else row["p"] >> _DIGIT_BITS
             buckets.setdefault((row["g"], known), []).append((row["p"], row["n"]))
-        for key, (known, left) in state.items():
-            for p, n in buckets[(key[0], known)]:
+        for key, (known, left) in list(state.items()):
+            for p, n in buckets.get((key[0], known), []):
                 if left < n:
                     state[key] = (p, left)
                     break
                 left -= n
-    found: dict = {}
-    for (g, r), (p, _) in state.items():
-        found.setdefault(g, {})[r] = p
-    return found
+            else:
+                del state[key]
+    settled = {key: p for key, (p, _) in state.items()}
+    return {g: {r: settled.get((g, r)) for r in wanted} for g, wanted in ranks.items()}

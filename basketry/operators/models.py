@@ -174,7 +174,7 @@ def fit_all(
 
 def evaluate_baselines(split: Split, target: str = TARGET) -> DataFrame:
     """Error measures of the three baselines on the test rows."""
-    return regression_metrics(with_baselines(split), target, BASELINE_COLUMNS)
+    return regression_metrics(with_baselines(split.with_labels(target)), target, BASELINE_COLUMNS)
 
 
 def evaluate_models(
@@ -190,6 +190,7 @@ def evaluate_models(
     The fitted models add their forecasts to the baselines' rows one projection after the
     other; a single aggregate then measures them all.
     """
+    split = split.with_labels(target)
     fitted = fit_all(split.train, features, target, params, seed, models)
     rows = with_baselines(split)
     for name, model in fitted.items():

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -48,6 +48,10 @@ class Split:
     def test(self) -> DataFrame:
         return self.frame.where(self.in_test)
 
+    def with_labels(self, target: str = TARGET) -> Split:
+        """The same windows without the rows that have no target."""
+        return replace(self, frame=labelled(self.frame, target))
+
     @property
     def both(self) -> DataFrame:
         """Both sides in one scan, told apart by ``is_test``."""

@@ -49,6 +49,11 @@ SMALL_TREES = {
     "gbt_depthwise": {"n_estimators": 5, "max_depth": 4},
     "gbt_leafcap": {"n_estimators": 5, "num_leaves": 15},
 }
+TINY_TREES = {
+    "random_forest": {"n_estimators": 5, "max_depth": 4},
+    "gbt_depthwise": {"n_estimators": 2, "max_depth": 3},
+    "gbt_leafcap": {"n_estimators": 2, "num_leaves": 8},
+}
 SMALL_SPACES = {
     "random_forest": {"n_estimators": [5, 10], "max_depth": [3, 5], "max_features": ["sqrt", 0.5]},
     "gbt_depthwise": {"n_estimators": [3, 5], "learning_rate": [0.1, 0.2], "max_depth": [2, 3]},
@@ -90,13 +95,18 @@ def _line_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.product_by_day(testdata.lineitem_silver(spark, sf_dir))
 
 
+def _gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold written once, for queries that read it several times."""
+    return scratch.materialise(_gold(spark, sf_dir), "gold")
+
+
 def _split(spark: SparkSession, sf_dir: str, name: str = "e_final") -> splits.Split:
-    gold = splits.labelled(_gold(spark, sf_dir))
+    gold = splits.labelled(_gold_table(spark, sf_dir))
     return experiments.make_split(gold, CLICK_EXPERIMENTS[name])
 
 
 def _line_split(spark: SparkSession, sf_dir: str) -> splits.Split:
-    gold = splits.labelled(_line_gold(spark, sf_dir))
+    gold = splits.labelled(scratch.materialise(_line_gold(spark, sf_dir), "gold"))
     return experiments.make_split(gold, LINE_EXPERIMENT)
 
 
@@ -229,7 +239,7 @@ def run_log(spark, sf_dir):
 
 def experiment_results(spark, sf_dir):
     path = scratch.scratch_path(spark, "results")
-    gold = scratch.materialise(_gold(spark, sf_dir), "gold")
+    gold = _gold_table(spark, sf_dir)
     tables.write_results(experiments.baseline_results(gold, CLICK_EXPERIMENTS), path)
     return tables.read_results(spark, path).select(
         "experiment",
@@ -260,7 +270,8 @@ def model_roundtrip(spark, sf_dir):
     means = scratch.scratch_path(spark, "means")
     baselines.product_means(split.train).write.parquet(means)
     both = both.join(spark.read.parquet(means), "product_id", "left")
-    return both.select("product_id", "date", "fitted", "loaded", "mean")
+    same = F.col("fitted") == F.col("loaded")
+    return both.select("product_id", "date", same.alias("same_forecast"), "mean")
 
 
 def streaming_ingest(spark, sf_dir):
@@ -323,14 +334,15 @@ def _flat_eda(events: DataFrame) -> DataFrame:
 
 
 def _purged_split(spark, sf_dir):
-    gold = splits.labelled(splits.with_label_date(_gold(spark, sf_dir)))
+    gold = splits.labelled(splits.with_label_date(_gold_table(spark, sf_dir)))
     config = CLICK_EXPERIMENTS["e_final"]
     return _sides(splits.split_boundary(gold, *config.values(), purge=True))
 
 
 def _folds_of(gold: DataFrame, n_splits: int = 3, by_date: bool = False) -> DataFrame:
-    split = folds.time_folds(splits.labelled(gold), n_splits, by_date)
-    return split.select("product_id", "date", folds.FOLD_COLUMN)
+    rows = splits.labelled(scratch.materialise(gold, "gold"))
+    folded = folds.time_folds(rows, n_splits, by_date)
+    return folded.select("product_id", "date", folds.FOLD_COLUMN)
 
 
 def _baseline_lag1(spark, sf_dir):
@@ -360,8 +372,7 @@ def _metrics_long(spark, sf_dir):
 
 
 def _best_model(spark, sf_dir):
-    gold = _gold(spark, sf_dir)
-    results = experiments.baseline_results(gold, CLICK_EXPERIMENTS)
+    results = experiments.baseline_results(_gold_table(spark, sf_dir), CLICK_EXPERIMENTS)
     return metrics.best_model(results, by=["experiment"])
 
 
@@ -393,11 +404,11 @@ def _evaluate_models_lineitem(spark, sf_dir):
 
 
 def _run_experiments(spark, sf_dir):
-    gold = scratch.materialise(_gold(spark, sf_dir), "gold")
-    run = experiments.run_experiments(gold, CLICK_EXPERIMENTS, params=SMALL_TREES)
-    path = scratch.scratch_path(spark, "results")
-    tables.write_results(run.results, path)
-    return tables.read_results(spark, path).select(
+    gold = _gold_table(spark, sf_dir)
+    run = experiments.run_experiments(gold, CLICK_EXPERIMENTS, params=TINY_TREES)
+    root = scratch.scratch_path(spark, "run")
+    experiments.save_run(run, root)
+    return tables.read_results(spark, f"{root}/results").select(
         "experiment", "model", "mae", "rmse", "mape", "r2", "train_rows", "test_rows", "is_best"
     )
 
@@ -422,8 +433,11 @@ def _attribution_ranking(spark, sf_dir):
 def _attribution_model(spark, sf_dir):
     split = _split(spark, sf_dir)
     forest = models.fit_random_forest(split.train, params=SMALL_TREES["random_forest"])
-    sample = attr.attribution_sample(split.test, 100)
-    return attr.attribution(forest, sample, attr.background_rows(split.train, 10))
+    sample = attr.attribution_sample(split.test)
+    rows = attr.attribution(forest, sample, attr.background_rows(split.train, 5))
+    parts = sum((F.col(f"phi_{c}") for c in FEATURES), F.col("base_value"))
+    adds_up = F.abs(parts - F.col("prediction")) < 1e-9
+    return rows.select("product_id", "date", adds_up.alias("adds_up"))
 
 
 # -- scoring -------------------------------------------------------------------------------
@@ -474,7 +488,7 @@ def _top_predicted_status(spark, sf_dir):
 
 
 def _comparison(spark, sf_dir):
-    results = experiments.baseline_results(_gold(spark, sf_dir), CLICK_EXPERIMENTS)
+    results = experiments.baseline_results(_gold_table(spark, sf_dir), CLICK_EXPERIMENTS)
     return residuals.experiment_comparison(results, [*CLICK_EXPERIMENTS, "e_final_tuned"])
 
 

@@ -660,6 +660,14 @@ dated AS (SELECT product_id, date,
                 for c in FEATURES
             ),
         ),
+        "feature_attribution_model": _with(
+            _SHAPLEY, f"SELECT product_id, {day}, true AS adds_up FROM sample"
+        ),
+        "model_roundtrip": _with(
+            _ON_FINAL,
+            f"SELECT product_id, {day}, true AS same_forecast, round(mean, 6) AS mean "
+            "FROM forecast_f LEFT JOIN means_f USING (product_id)",
+        ),
         "predict_lookup": _with(
             f"{_CLICK_GOLD},{_REQUESTS}",
             "SELECT request_id, r.product_id, r.date, "

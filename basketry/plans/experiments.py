@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -14,6 +15,7 @@ from basketry.operators.metrics import listing_order
 from basketry.operators.models import evaluate_baselines, evaluate_models
 from basketry.operators.splits import Split, labelled, split_boundary, split_first_n
 from basketry.settings import EXPERIMENTS, FEATURES, MODELS, SEED, TARGET, TREE_MODELS
+from basketry.sources import tables
 
 log = logging.getLogger(__name__)
 
@@ -156,3 +158,18 @@ def run_experiments(
                 )
             break
     return run
+
+
+def save_run(run: ExperimentRun, root: str) -> None:
+    """Results, every fitted model, and the record of the model to serve, below ``root``."""
+    tables.write_results(run.results, f"{root}/results")
+    for label, models in run.fitted.items():
+        for name, model in models.items():
+            tables.save_model(model, f"{root}/models/{label}/{name}")
+    if run.serving is not None:
+        record = json.dumps(run.serving, default=str)
+        spark = run.results.sparkSession
+        tables.write_profile(
+            spark.createDataFrame([(run.serving["model_name"], record)], "model string, info string"),
+            f"{root}/serving",
+        )
