@@ -69,6 +69,8 @@ def product_by_day(
     The aggregate shuffles on (product, date), which spreads a hot product over its days;
     the window then shuffles the far smaller daily rows on product and sorts them once.
     """
+    if window < 1:
+        raise ValueError("window must be at least 1")
     daily = product_day_counts(events, extra_types)
     if calendar:
         return _calendar_features(daily, window)

@@ -12,6 +12,7 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from basketry import scratch
+from basketry.jobs import side_by_side
 from basketry.operators.baselines import BASELINE_COLUMNS, with_baselines
 from basketry.operators.metrics import regression_metrics
 from basketry.operators.scoring import with_prediction
@@ -162,12 +163,15 @@ def fit_all(
     seed: int = SEED,
     models: Sequence[str] = TREE_MODELS,
 ) -> dict[str, PipelineModel]:
-    """The tree models, fitted on one shared, persisted set of training rows."""
+    """The tree models, fitted side by side on one shared, persisted set of training rows."""
     rows = training_rows(train, features, target).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit(model: str) -> PipelineModel:
+        return fit_rows(model, rows, features, target, seed, (params or {}).get(model))
+
     try:
-        return {
-            m: fit_rows(m, rows, features, target, seed, (params or {}).get(m)) for m in models
-        }
+        fitted = side_by_side(train.sparkSession, fit, models, len(models))
+        return dict(zip(models, fitted))
     finally:
         rows.unpersist()
 

@@ -6,12 +6,12 @@ import itertools
 import json
 import random
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
+from basketry.jobs import side_by_side
 from basketry.operators.folds import FOLD_COLUMN, time_folds
 from basketry.operators.models import fit_rows, training_rows
 from basketry.operators.splits import labelled
@@ -79,9 +79,7 @@ def tune(
         ]
 
     try:
-        task = inheritable_thread_target(train.sparkSession)(run)
-        with ThreadPoolExecutor(parallelism) as pool:
-            errors = list(pool.map(task, trials))
+        errors = side_by_side(train.sparkSession, run, trials, parallelism)
     finally:
         rows.unpersist()
 

@@ -1,0 +1,139 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from basketry.functions.ordering import key_hash, nth_smallest
+from basketry.operators import folds, splits
+from data import day
+from pyspark.sql import functions as F
+
+SCHEMA = "product_id long, date date, purchases long, purchases_next_day long"
+
+
+def gold_of(spark, days, products=1):
+    return spark.createDataFrame(
+        [(p, day(d), 1, 1) for d in range(days) for p in range(1, products + 1)], SCHEMA
+    )
+
+
+def test_first_days_train_next_days_test(spark):
+    split = splits.split_first_n(gold_of(spark, 30), 23, 7)
+    assert (len(split.train_dates), len(split.test_dates)) == (23, 7)
+    assert split.train.agg(F.max("date")).first()[0] < split.test.agg(F.min("date")).first()[0]
+    assert (split.train.count(), split.test.count()) == (23, 7)
+    assert (split.train_rows, split.test_rows) == (23, 7)
+    flags = {r["is_test"]: r["count"] for r in split.both.groupBy("is_test").count().collect()}
+    assert flags == {False: 23, True: 7}
+
+
+def test_dates_with_gaps_count_as_dates(spark):
+    gold = spark.createDataFrame([(1, day(d), 1, 1) for d in (0, 3, 4, 9, 20)], SCHEMA)
+    split = splits.split_first_n(gold, 3, 2)
+    assert split.train_dates == [day(0), day(3), day(4)]
+    assert split.test_dates == [day(9), day(20)]
+
+
+def test_too_few_dates(spark):
+    with pytest.raises(ValueError, match="Need at least 30 dates; got 29"):
+        splits.split_first_n(gold_of(spark, 29), 23, 7)
+
+
+def test_boundary_split(spark):
+    split = splits.split_boundary(gold_of(spark, 60), day(45), str(day(46)), 14)
+    assert len(split.test_dates) == 14
+    assert split.train.agg(F.max("date")).first()[0] <= day(45)
+    assert split.test.agg(F.min("date")).first()[0] >= day(46)
+
+
+def test_boundary_split_skips_the_days_between(spark):
+    split = splits.split_boundary(gold_of(spark, 20), day(9), day(12), 3)
+    assert split.both.where(F.col("date").between(day(10), day(11))).count() == 0
+    assert split.both.count() == 13
+
+
+@pytest.mark.parametrize(
+    "end, start, n, message",
+    [
+        (10, 11, 30, "Need 30 test dates"),
+        (-5, 3, 2, "No train dates"),
+        (12, 11, 2, "must come before"),
+    ],
+)
+def test_boundary_errors(spark, end, start, n, message):
+    with pytest.raises(ValueError, match=message):
+        splits.split_boundary(gold_of(spark, 20), day(end), day(start), n)
+
+
+def test_purge_drops_rows_labelled_inside_the_test_window(spark, rows):
+    gold = spark.createDataFrame(
+        [(1, day(0), 1, 2), (1, day(1), 2, 3), (1, day(2), 3, 4), (1, day(3), 4, None)]
+        + [(2, day(0), 1, 5), (2, day(2), 5, 6), (2, day(3), 6, None)],
+        SCHEMA,
+    )
+    dated = splits.labelled(splits.with_label_date(gold))
+    split = splits.split_boundary(dated, day(1), day(2), 1, purge=True)
+    assert rows(split.train, "product_id", "date") == [(1, day(0))]
+    assert split.train_rows == 1
+    assert splits.split_boundary(dated, day(1), day(2), 1).train.count() == 3
+    with pytest.raises(ValueError, match="label_date"):
+        splits.split_boundary(gold, day(1), day(2), 1, purge=True)
+
+
+def expected_folds(keys, k):
+    """Fold of each key by position in sorted order."""
+    ordered = sorted(keys)
+    n, size = len(ordered), len(ordered) // (k + 1)
+    fold = {}
+    for position, key in enumerate(ordered):
+        offset = position - (n - k * size)
+        fold[key] = -1 if offset < 0 else offset // size
+    return fold
+
+
+@pytest.mark.parametrize("k, products", [(3, 40), (4, 3), (1, 11)])
+def test_folds_by_position(spark, k, products):
+    rng = random.Random(k)
+    spread = [rng.randint(-(2**62), 2**62) for _ in range(products)]
+    ids = spread if k == 4 else range(1, products + 1)
+    # one day holds a third of all rows and several boundaries
+    keys = [(day(d), p) for d in range(12) for p in ids if d == 5 or rng.random() < 0.2]
+    gold = spark.createDataFrame([(p, d, 1, 1) for d, p in keys], SCHEMA)
+    got = folds.time_folds(gold, k)
+    found = {(r["date"], r["product_id"]): r["test_fold"] for r in got.collect()}
+    assert found == expected_folds(keys, k)
+
+
+def test_folds_by_date(spark):
+    got = folds.time_folds(gold_of(spark, 11, 3), 4, by_date=True)
+    per_day = {r["date"]: r["test_fold"] for r in got.collect()}
+    assert [per_day[day(d)] for d in range(11)] == [-1, -1, -1, 0, 0, 1, 1, 2, 2, 3, 3]
+
+
+def test_too_few_rows_for_folds(spark):
+    with pytest.raises(ValueError):
+        folds.time_folds(gold_of(spark, 2), 3)
+    with pytest.raises(ValueError):
+        folds.time_folds(gold_of(spark, 2), 3, by_date=True)
+
+
+@pytest.mark.parametrize("low, high", [(-(2**63), 2**63 - 1), (0, 300), (0, 2**40), (-5, 5)])
+def test_nth_smallest(spark, low, high):
+    rng = random.Random(high)
+    groups = {"a": [rng.randint(low, high) for _ in range(500)], "b": [low] * 300 + [high]}
+    frame = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v long")
+    ranks = {"a": [0, 17, 250, 499, 500], "b": [0, 299, 300]}
+    bounds = (low, high) if low >= 0 else (None, None)
+    found = nth_smallest(frame, "g", "v", ranks, *bounds)
+    for g, wanted in ranks.items():
+        ordered = sorted(groups[g])
+        assert found[g] == {r: ordered[r] if r < len(ordered) else None for r in wanted}
+
+
+def test_key_hash_is_spread(spark):
+    frame = spark.range(0, 20_000).select(
+        key_hash(F.col("id"), F.date_add(F.lit(day(0)), (F.col("id") % 60).cast("int")), 42).alias("h")
+    )
+    low, high, distinct = frame.agg(F.min("h"), F.max("h"), F.countDistinct("h")).first()
+    assert low >= 0 and high < 1000003 and distinct > 19_000
