@@ -60,7 +60,9 @@ def score(
 
     A key without a gold row keeps its request, gets 0 and a note. The distinct keys cut gold
     down first (a semi join, broadcast only when the keys are small), and only the hits are
-    scored and joined back, so gold itself is never shuffled for a short request list.
+    scored and joined back, so gold itself is never shuffled for a short request list. Each
+    key is scored once however often it is asked for; when both sides are large, AQE cuts the
+    requests of a hot key into several tasks.
     """
     asked = F.col("date")
     day = F.when(
@@ -100,11 +102,13 @@ def gold_date_range(gold: DataFrame) -> DataFrame:
     )
 
 
-def _on_date(gold: DataFrame, date: str) -> Column:
+def _on_date(date: str) -> Column:
+    """Rows of a ``yyyy-MM-dd`` date; no other spelling matches any row."""
     try:
-        return F.col("date") == F.lit(dt.datetime.strptime(date, "%Y-%m-%d").date())
+        day = dt.date.fromisoformat(date)
     except ValueError:
         return F.lit(False)
+    return F.col("date") == F.lit(day) if day.isoformat() == date else F.lit(False)
 
 
 def _busy_enough(min_views: float) -> Column:
@@ -129,7 +133,7 @@ def top_predicted(
     """
     if not 1 <= limit <= 100:
         raise ValueError("limit must be between 1 and 100")
-    day = gold.where(_on_date(gold, date) & _busy_enough(min_views))
+    day = gold.where(_on_date(date) & _busy_enough(min_views))
     scored = with_prediction(day, scorer, features)
     best = scored.orderBy(F.desc("prediction"), "product_id").limit(limit)
     rank = F.row_number().over(Window.orderBy(F.desc("prediction"), "product_id"))
@@ -145,16 +149,23 @@ def top_predicted(
 
 
 def top_predicted_status(gold: DataFrame, date: str, min_views: float = 0.0) -> DataFrame:
-    """One row that says whether ``top_predicted`` has anything to rank, and if not, why."""
-    on_date = _on_date(gold, date)
-    first, last = (F.date_format(f("date"), "yyyy-MM-dd") for f in (F.min, F.max))
-    rows, kept = F.count_if(on_date), F.count_if(on_date & _busy_enough(min_views))
-    span = F.format_string("{'min_date': '%s', 'max_date': '%s'}", first, last)
-    return gold.agg(
+    """One row that says whether ``top_predicted`` has anything to rank, and if not, why.
+
+    The counts read the one day and the range reads dates only; both are single rows, which
+    are stacked and folded together.
+    """
+    day = gold.where(_on_date(date)).agg(
+        F.count("*").alias("rows_on_date"), F.count_if(_busy_enough(min_views)).alias("rows_kept")
+    )
+    stacked = day.unionByName(gold_date_range(gold), allowMissingColumns=True)
+    folded = stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])
+    span = F.format_string("{'min_date': '%s', 'max_date': '%s'}", "min_date", "max_date")
+    nothing = F.concat(F.lit(f"no gold rows for date {date}; valid range "), span)
+    return folded.select(
         F.lit(date).alias("date"),
-        rows.alias("rows_on_date"),
-        kept.alias("rows_kept"),
-        F.when(rows == 0, F.concat(F.lit(f"no gold rows for date {date}; valid range "), span))
-        .when(kept == 0, F.lit(f"no products with views >= {min_views} on {date}"))
+        "rows_on_date",
+        "rows_kept",
+        F.when(F.col("rows_on_date") == 0, nothing)
+        .when(F.col("rows_kept") == 0, F.lit(f"no products with views >= {min_views} on {date}"))
         .alias("note"),
     )

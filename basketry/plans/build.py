@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from basketry.operators.cleaning import clean_events, cleaning_stats
 from basketry.operators.daily import product_by_day
 from basketry.operators.summary import product_summary
+from basketry.session import prepare
 from basketry.settings import ROLLING_WINDOW
 from basketry.sources import tables
 from basketry.sources.bronze import read_bronze, source_name
@@ -28,7 +29,7 @@ def build_silver(
     the files in a pass of their own: counters kept during the write would count a task
     twice when its executor is lost.
     """
-    raw = read_bronze(spark, paths, limit_per_file)
+    raw = read_bronze(prepare(spark), paths, limit_per_file)
     tables.write_silver(clean_events(raw, valid_event_types), silver)
     if log is not None:
         names = [source_name(p) for p in paths]
@@ -45,7 +46,7 @@ def build_gold(
     window: int = ROLLING_WINDOW,
 ) -> dict[str, DataFrame]:
     """Write ``product_summary`` and ``product_by_day`` from silver and return both."""
-    events = tables.read_silver(spark, silver)
+    events = tables.read_silver(prepare(spark), silver)
     paths = {name: f"{gold}/{name}" for name in ("product_summary", "product_by_day")}
     tables.write_gold(product_summary(events), paths["product_summary"])
     tables.write_gold(product_by_day(events, window), paths["product_by_day"], by_day=True)

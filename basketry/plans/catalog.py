@@ -28,6 +28,7 @@ from basketry.operators import (
     tuning,
 )
 from basketry.plans import experiments, testdata
+from basketry.session import prepare
 from basketry.settings import EVENT_COLUMNS, FEATURES, TARGET
 from basketry.sources import bronze, tables
 from basketry.streaming import ingest
@@ -597,8 +598,7 @@ _QUERIES: dict[str, Query] = {
 
 def _in_utc(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return _portable(query(spark, sf_dir))
+        return _portable(query(prepare(spark), sf_dir))
 
     return run
 

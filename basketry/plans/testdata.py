@@ -18,18 +18,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def click_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table as shop events; ``signup`` stays an invalid type."""
-    return _table(spark, sf_dir, "events").selectExpr(
+    keyed = _table(spark, sf_dir, "events").selectExpr(
         "event_id",
         "cast(ts as timestamp) AS event_time",
+        "event_type",
+        "cast(get_json_object(props, '$.k') as bigint) AS k",
+        "value",
+        "user_id",
+    )
+    return keyed.selectExpr(
+        "event_id",
+        "event_time",
         "CASE event_type WHEN 'click' THEN 'cart' WHEN 'error' THEN 'remove_from_cart' "
         "ELSE event_type END AS event_type",
-        "cast(get_json_object(props, '$.k') as bigint) AS product_id",
-        "cast(get_json_object(props, '$.k') as bigint) % 10 AS category_id",
-        "concat('dept.', cast(get_json_object(props, '$.k') as bigint) % 10) AS category_code",
+        "k AS product_id",
+        "k % 10 AS category_id",
+        "concat('dept.', k % 10) AS category_code",
         "concat('brand-', user_id % 7) AS brand",
         "value AS price",
         "user_id",
-        "concat(user_id, '-', date_format(ts, 'yyyyMMdd')) AS user_session",
+        "concat(user_id, '-', date_format(event_time, 'yyyyMMdd')) AS user_session",
     )
 
 

@@ -15,6 +15,14 @@ def source_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
+def bronze_paths(folder: str, files: Sequence[str] = (), single: str | None = None) -> list[str]:
+    """Paths of the listed monthly files, or of the single file when no list is given."""
+    names = list(files) or ([single] if single else [])
+    if not names:
+        raise ValueError("name at least one bronze file")
+    return [f"{folder.rstrip('/')}/{name}" for name in names]
+
+
 def _read_one(spark: SparkSession, path: str) -> DataFrame:
     # Columns bind by the header of this entry. With enforceSchema off, a folder whose
     # files carry different headers fails loudly instead of mixing up its columns; the

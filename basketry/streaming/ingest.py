@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from basketry.operators import cleaning
+from basketry.session import prepare
 from basketry.settings import EVENT_COLUMNS
+from basketry.sources.tables import read_silver, write_silver
 
 _RAW_SCHEMA = ", ".join(f"{c} string" for c in EVENT_COLUMNS)
 
@@ -55,7 +57,12 @@ def read_ingested(spark: SparkSession, silver: str) -> DataFrame:
 
 
 def ingest_folder(spark: SparkSession, folder: str, target: str) -> DataFrame:
-    """Ingest everything that lies in ``folder`` and return the cleaned events."""
-    query = start_ingest(stream_bronze(spark, folder, 4), f"{target}/silver", f"{target}/state")
-    query.awaitTermination()
-    return read_ingested(spark, f"{target}/silver")
+    """Ingest everything that lies in ``folder``, then settle it into the silver table.
+
+    The batches stay in ``target/batches``. Copies across batches are dropped once, while
+    ``target/silver`` is written, so that readers of silver do not repeat that shuffle.
+    """
+    stream = stream_bronze(prepare(spark), folder)
+    start_ingest(stream, f"{target}/batches", f"{target}/state").awaitTermination()
+    write_silver(read_ingested(spark, f"{target}/batches"), f"{target}/silver")
+    return read_silver(spark, f"{target}/silver")

@@ -74,7 +74,8 @@ def test_top_predicted(spark, gold):
     assert [r["prediction_error"] for r in got] == [3.0, 0.0, -1.0]
     busy = scoring.top_predicted(gold, str(day(0)), min_views=2).collect()
     assert {r["product_id"] for r in busy} == {1, 2}
-    assert scoring.top_predicted(gold, "2099-01-01").count() == 0
+    for other in ("2099-01-01", "2024-1-1", "20240101", "soon"):
+        assert scoring.top_predicted(gold, other).count() == 0
 
 
 @pytest.mark.parametrize("limit", [0, 101])

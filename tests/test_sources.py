@@ -54,6 +54,13 @@ def test_missing_file(spark, tmp_path):
         tables.read_silver(spark, str(tmp_path / "none"))
 
 
+def test_listed_files_win_over_the_single_one():
+    assert bronze.bronze_paths("/b/", ["x.csv", "y.csv"], "z.csv") == ["/b/x.csv", "/b/y.csv"]
+    assert bronze.bronze_paths("/b", single="z.csv") == ["/b/z.csv"]
+    with pytest.raises(ValueError):
+        bronze.bronze_paths("/b")
+
+
 def test_row_cap_is_per_file(spark, months):
     raw = bronze.read_bronze(spark, months, limit_per_file=2)
     assert {r[1] for r in raw.groupBy("source_file").count().collect()} == {2}
