@@ -1,0 +1 @@
+"""Shop-event analytics on Spark: cleaning, features, forecasts, scoring."""
