@@ -12,21 +12,27 @@ HASH_SIZE = 1000003
 
 def key_hash(product_id: Column, date: Column, seed: int) -> Column:
     """Repeatable pseudo-random key of a (product, date) row, the same in any SQL engine."""
-    mixed = product_id * F.lit(7919) + F.unix_date(date).cast("long") * F.lit(104729) + F.lit(seed)
+    day = F.unix_date(date).cast("long")
+    mixed = product_id * F.lit(7919) + day * F.lit(104729) + F.lit(seed)
     return F.pmod(mixed, F.lit(HASH_SIZE))
 
 
 def nth_smallest(
-    df: DataFrame, group: str, value: str, ranks: dict, low: int | None = None, high: int | None = None
+    df: DataFrame,
+    group: str,
+    value: str,
+    ranks: dict,
+    low: int | None = None,
+    high: int | None = None,
 ) -> dict:
     """The ``rank``-th smallest (from 0) long ``value`` inside each listed group.
 
     ``ranks`` maps a group key to its wanted ranks; the result maps a group key to
-    ``{rank: value}``, with ``None`` for a rank beyond the group. A histogram over 16 bits of the value finds the bucket of each rank
-    and the next pass looks inside that bucket only. Each pass is one partially aggregated
-    count of at most 65,536 rows per wanted rank, so neither a sort nor a whole group ever
-    reaches one task. ``low`` and ``high`` bound the values and save the passes over
-    leading bits that are all zero.
+    ``{rank: value}``, with ``None`` for a rank beyond the group. A histogram over 16 bits of
+    the value finds the bucket of each rank and the next pass looks inside that bucket only.
+    Each pass is one partially aggregated count of at most 65,536 rows per wanted rank, so
+    neither a sort nor a whole group ever reaches one task. ``low`` and ``high`` bound the
+    values and save the passes over leading bits that are all zero.
     """
     bits = 64
     if low is not None and high is not None and low >= 0:

@@ -16,6 +16,10 @@ from basketry.settings import FEATURES, TARGET
 
 Scorer = PipelineModel | Column | None
 
+# A request list within both limits is looked up by broadcast.
+FEW_DAYS = 3_660
+FEW_KEYS = 200_000
+
 NO_DATA = "no data for this product/date combination"
 
 
@@ -49,6 +53,30 @@ def _answer(prediction: Column, hit: Column | None = None) -> list[Column]:
     ]
 
 
+def _requested(gold: DataFrame, keys: DataFrame) -> tuple[DataFrame, bool]:
+    """Gold rows with a requested key, and whether these are known to be few.
+
+    The keys are counted per day first. A limited number of days becomes a literal list, so
+    that other day folders are not read, and the range of products skips row groups; a limited
+    number of keys is broadcast. Beyond either limit the semi join is left to Spark, which
+    shuffles both sides on the key.
+    """
+    counted = keys.groupBy("date").agg(
+        F.count("*").alias("n"), F.min("product_id").alias("low"), F.max("product_id").alias("high")
+    )
+    per_day = counted.limit(FEW_DAYS + 1).collect()
+    if not per_day:
+        return gold.where(F.lit(False)), True
+    if len(per_day) > FEW_DAYS:
+        return gold.join(keys, ["product_id", "date"], "left_semi"), False
+    low, high = min(r["low"] for r in per_day), max(r["high"] for r in per_day)
+    pruned = gold.where(
+        F.col("date").isin([r["date"] for r in per_day]) & F.col("product_id").between(low, high)
+    )
+    few = sum(r["n"] for r in per_day) <= FEW_KEYS
+    return pruned.join(F.broadcast(keys) if few else keys, ["product_id", "date"], "left_semi"), few
+
+
 def score(
     gold: DataFrame,
     requests: DataFrame,
@@ -58,11 +86,10 @@ def score(
 ) -> DataFrame:
     """Forecast for each requested ``(product_id, date)``; the date is ``yyyy-MM-dd`` text.
 
-    A key without a gold row keeps its request, gets 0 and a note. The distinct keys cut gold
-    down first (a semi join, broadcast only when the keys are small), and only the hits are
-    scored and joined back, so gold itself is never shuffled for a short request list. Each
-    key is scored once however often it is asked for; when both sides are large, AQE cuts the
-    requests of a hot key into several tasks.
+    A key without a gold row keeps its request, gets 0 and a note. Gold is first cut down to
+    the distinct requested keys, each key is scored once however often it is asked for, and
+    the answers are joined back. With few keys neither gold nor the requests are shuffled;
+    with many, AQE cuts the requests of a hot key into several tasks.
     """
     asked = F.col("date")
     day = F.when(
@@ -71,7 +98,7 @@ def score(
     )
     keyed = requests.select("*", day.alias("_day"))
     keys = keyed.select("product_id", F.col("_day").alias("date")).dropna().distinct()
-    hits = gold.join(keys, ["product_id", "date"], "left_semi")
+    hits, few = _requested(gold, keys)
     used = F.create_map(
         *[p for c in features for p in (F.lit(c), F.coalesce(F.col(c).cast("double"), F.lit(0.0)))]
     )
@@ -80,7 +107,9 @@ def score(
     )
     found = F.col("prediction").isNotNull()
     nothing = F.create_map().cast("map<string,double>")
-    return keyed.join(scored, ["product_id", "_day"], "left").select(
+    # gold has one row per key, so there are no more answers than keys
+    answers = F.broadcast(scored) if few else scored
+    return keyed.join(answers, ["product_id", "_day"], "left").select(
         *requests.columns,
         *_answer(F.col("prediction"), found),
         F.lit(model_name).alias("model_used"),

@@ -87,8 +87,8 @@ def tune(
     best = {m: min((s for s in scored if s[0] == m), key=lambda s: s[3]) for m in spaces}
     table = train.sparkSession.createDataFrame(
         [
-            (model, number, json.dumps(params, sort_keys=True), mae, folds, number == best[model][1])
-            for model, number, params, mae, folds in scored
+            (m, number, json.dumps(params, sort_keys=True), mae, folds, number == best[m][1])
+            for m, number, params, mae, folds in scored
         ],
         "model string, trial int, params string, cv_mae double, fold_mae array<double>, "
         "is_best boolean",

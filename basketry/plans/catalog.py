@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketry import scratch
-from basketry.functions import cells
 from basketry.operators import (
     attribution as attr,
     baselines,

@@ -295,7 +295,7 @@ _MEASURES = """count(*) AS n, avg(abs(y - p)) AS mae, sqrt(avg((y - p) * (y - p)
   CASE WHEN count(*) <= 1 THEN NULL
        WHEN min(y) = max(y) THEN CASE WHEN sum((y - p) * (y - p)) = 0 THEN 1.0 ELSE 0.0 END
        ELSE 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) END AS r2"""
-_ROUNDED = "round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(mape, 6) AS mape, round(r2, 6) AS r2"
+_ROUNDED = ", ".join(f"round({c}, 6) AS {c}" for c in ("mae", "rmse", "mape", "r2"))
 
 
 def _measured(name: str) -> str:
@@ -601,7 +601,8 @@ def oracle_sql() -> dict[str, str]:
         "split_boundary_purged": _with(
             f"""{_ON_FINAL},
 dated AS (SELECT product_id, date,
-                 lead(date) OVER (PARTITION BY product_id ORDER BY date) AS label_date FROM gold)""",
+                 lead(date) OVER (PARTITION BY product_id ORDER BY date) AS label_date
+          FROM gold)""",
             f"SELECT side, s.product_id, strftime(s.date, '%Y-%m-%d') AS date, purchases, "
             "purchases_next_day FROM sides_f"
             " s JOIN dated USING (product_id, date) WHERE side = 'test' OR label_date < "
@@ -616,7 +617,8 @@ dated AS (SELECT product_id, date,
         "baseline_ma7": _with(
             _CLICK_GOLD,
             f"SELECT product_id, {day}, round(avg(purchases) OVER (PARTITION BY product_id "
-            "ORDER BY gold.date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS pred_ma7 FROM gold",
+            "ORDER BY gold.date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS pred_ma7 "
+            "FROM gold",
         ),
         "baseline_on_split": _with(
             f"{_CLICK_GOLD},{_split('e2', _E2)}",
@@ -684,8 +686,8 @@ dated AS (SELECT product_id, date,
         "top_products_lineitem": _with(_LINE_GOLD, _TOP_PRODUCTS),
         "gold_date_range": _with(
             _CLICK_GOLD,
-            f"SELECT {_DAY.format('min(date)')} AS min_date, {_DAY.format('max(date)')} AS max_date "
-            "FROM gold",
+            f"SELECT {_DAY.format('min(date)')} AS min_date, "
+            f"{_DAY.format('max(date)')} AS max_date FROM gold",
         ),
         "top_predicted_baseline": _with(
             _CLICK_GOLD,
@@ -695,8 +697,8 @@ dated AS (SELECT product_id, date,
             "CAST(purchases_next_day AS DOUBLE) AS actual_purchases_next_day, "
             "CAST(purchases - purchases_next_day AS DOUBLE) AS prediction_error, "
             "CAST(purchases AS DOUBLE) AS purchases, CAST(views AS DOUBLE) AS views, "
-            f"'lag1' AS model_used FROM gold WHERE gold.date = DATE '{TOP_DATE}' AND gold.views >= 1 "
-            "ORDER BY rank LIMIT 25",
+            f"'lag1' AS model_used FROM gold WHERE gold.date = DATE '{TOP_DATE}' "
+            "AND gold.views >= 1 ORDER BY rank LIMIT 25",
         ),
         "top_predicted_status": _with(
             _CLICK_GOLD, " UNION ALL ".join(_status(*case) for case in _STATUS_CASES)

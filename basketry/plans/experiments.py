@@ -169,7 +169,6 @@ def save_run(run: ExperimentRun, root: str) -> None:
     if run.serving is not None:
         record = json.dumps(run.serving, default=str)
         spark = run.results.sparkSession
-        tables.write_profile(
-            spark.createDataFrame([(run.serving["model_name"], record)], "model string, info string"),
-            f"{root}/serving",
-        )
+        row = [(run.serving["model_name"], record)]
+        served = spark.createDataFrame(row, "model string, info string")
+        tables.write_profile(served, f"{root}/serving")

@@ -126,7 +126,8 @@ def test_top_predicted_reads_one_day(gold):
 
 def test_lookup_reduces_gold_before_joining(spark, gold):
     plan = physical(scoring.score(gold, catalog.requests(spark, SF_DIR)))
-    assert "LeftSemi" in plan
+    assert "LeftSemi" in plan and "SortMergeJoin" not in plan
+    assert re.search(r"PartitionFilters: \[date#\w+ INSET? ", plan)
 
 
 def test_metrics_of_six_models_take_one_pass(gold):

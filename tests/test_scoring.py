@@ -54,6 +54,33 @@ def test_repeated_requests_are_all_answered(spark, gold):
     assert answers.where("note IS NULL").count() == 50
 
 
+def test_many_keys_give_the_same_answers(spark, gold, rows, monkeypatch):
+    wanted = asked(spark, (1, str(day(0))), (2, str(day(0))), (2, str(day(1))), (1, str(day(1))))
+
+    def answers():
+        out = scoring.score(gold, wanted)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("strategy=broadcast"), rows(out.drop("features_used"))
+
+    hints, few = answers()
+    assert hints == 2
+    for limit in ("FEW_KEYS", "FEW_DAYS"):
+        with monkeypatch.context() as patch:
+            patch.setattr(scoring, limit, 1)
+            assert answers() == (0, few)
+
+
+def test_a_lookup_reaches_the_scan(spark, gold):
+    out = scoring.score(gold, asked(spark, (1, str(day(0))), (2, str(day(0)))))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "(product_id#" in plan and ">= 1) AND (product_id#" in plan and "<= 2)" in plan
+
+
+def test_requests_without_a_usable_key(spark, gold):
+    out = scoring.score(gold, asked(spark, (1, "soon"), (None, None))).collect()
+    assert [r["predicted_purchases_next_day"] for r in out] == [0.0, 0.0]
+
+
 def test_missing_features_score_as_zero_and_stay_missing(spark, gold):
     scorer = F.col("views") + F.col("purchases") * 10
     out = scoring.with_prediction(gold.where("product_id = 3"), scorer).first()
