@@ -96,6 +96,33 @@ def test_parameters_reach_the_trees(split):
     assert deep.getMaxDepth() == 8 and deep.getSubsamplingRate() == 0.8
 
 
+def test_levels_keep_the_order(spark):
+    values = [-1e6, -70.0, -2.0, 0.0, 0.5, *map(float, range(1, 70)), 1e3, 1.2e3, 1e6, 1e12]
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in frame.selectExpr(models.level_sql("x")).collect()]
+    assert got == sorted(got)
+    assert got[3:69] == values[3:69]  # exact below 64
+    assert len(set(got[-4:])) == 4 and max(got) < 600
+
+
+def test_a_rare_giant_does_not_spoil_the_others(spark):
+    # 12 of 120,000 rows are a thousand times larger than the rest
+    giant = F.col("id") % 10_000 == 0
+    size = F.when(giant, 50_000 + F.col("id") % 7).otherwise(F.xxhash64("id") % 5 + 5)
+    frame = spark.range(120_000).select(
+        F.col("id").alias("product_id"),
+        F.lit(day(0)).alias("date"),
+        *[size.cast("double").alias(c) for c in FEATURES],
+        (size / 10).alias(TARGET),
+    )
+    params = {"n_estimators": 3, "max_depth": 4, "min_samples_leaf": 2}
+    forest = models.fit_random_forest(frame, params=params)
+    assert forest.stages[-1].getMaxBins() ** 2 >= 120_000
+    error = F.abs(F.col(TARGET) - F.col("prediction"))
+    scored = scoring.with_prediction(frame.where(f"{TARGET} < 100"), forest)
+    assert scored.agg(F.max(error)).first()[0] < 0.5
+
+
 def test_unknown_parameters_are_an_error(split):
     with pytest.raises(ValueError, match="num_leaves"):
         models.fit_random_forest(split.train, params={"num_leaves": 3})
