@@ -42,10 +42,8 @@ def with_prediction(
     return scored.withColumns({c: F.col(f"_raw_{c}") for c in features}).select(*df.columns, name)
 
 
-def _answer(prediction: Column, hit: Column | None = None) -> list[Column]:
-    actual = F.col(TARGET).cast("double")
-    if hit is not None:
-        prediction = F.when(hit, prediction).otherwise(F.lit(0.0))
+def _answer(prediction: Column, actual: str = TARGET) -> list[Column]:
+    actual = F.col(actual).cast("double")
     return [
         prediction.alias("predicted_purchases_next_day"),
         actual.alias("actual_purchases_next_day"),
@@ -99,21 +97,23 @@ def score(
     keyed = requests.select("*", day.alias("_day"))
     keys = keyed.select("product_id", F.col("_day").alias("date")).dropna().distinct()
     hits, few = _requested(gold, keys)
-    used = F.create_map(
-        *[p for c in features for p in (F.lit(c), F.coalesce(F.col(c).cast("double"), F.lit(0.0)))]
-    )
     scored = with_prediction(hits, scorer, features).select(
-        "product_id", F.col("date").alias("_day"), "prediction", TARGET, used.alias("features_used")
+        "product_id",
+        F.col("date").alias("_day"),
+        "prediction",
+        F.col(TARGET).alias("_actual"),
+        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_used_{c}") for c in features],
     )
     found = F.col("prediction").isNotNull()
+    used = F.create_map(*[p for c in features for p in (F.lit(c), F.col(f"_used_{c}"))])
     nothing = F.create_map().cast("map<string,double>")
     # gold has one row per key, so there are no more answers than keys
     answers = F.broadcast(scored) if few else scored
     return keyed.join(answers, ["product_id", "_day"], "left").select(
         *requests.columns,
-        *_answer(F.col("prediction"), found),
+        *_answer(F.when(found, F.col("prediction")).otherwise(F.lit(0.0)), "_actual"),
         F.lit(model_name).alias("model_used"),
-        F.coalesce("features_used", nothing).alias("features_used"),
+        F.when(found, used).otherwise(nothing).alias("features_used"),
         F.when(~found, F.lit(NO_DATA)).alias("note"),
     )
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 SOURCE_COLUMN = "source_file"
 
@@ -23,7 +23,37 @@ def bronze_paths(folder: str, files: Sequence[str] = (), single: str | None = No
     return [f"{folder.rstrip('/')}/{name}" for name in names]
 
 
-def _read_one(spark: SparkSession, path: str) -> DataFrame:
+def _first_rows(df: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows of an entry, in file order.
+
+    The rows are counted per file split. Whole splits before the one that holds row ``n``
+    are kept by a filter; only that one split is numbered. A plain ``limit`` would send up
+    to ``n`` rows of every split to one task.
+    """
+    placed = df.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+    )
+    counts = placed.groupBy("_file", "_start").agg(F.count("*").alias("n")).collect()
+    before = 0
+    for split in sorted(counts, key=lambda r: (r["_file"], r["_start"])):
+        if before + split["n"] > n:
+            break
+        before += split["n"]
+    else:
+        return df
+    here = (F.col("_file") == split["_file"]) & (F.col("_start") == split["_start"])
+    earlier = (F.col("_file") < split["_file"]) | (
+        (F.col("_file") == split["_file"]) & (F.col("_start") < split["_start"])
+    )
+    order = Window.partitionBy("_file").orderBy("_row")
+    numbered = placed.where(here).withColumn("_row", F.monotonically_increasing_id())
+    cut = numbered.withColumn("_no", F.row_number().over(order)).where(F.col("_no") <= n - before)
+    return placed.where(earlier).select(*df.columns).unionByName(cut.select(*df.columns))
+
+
+def _read_one(spark: SparkSession, path: str, limit: int | None) -> DataFrame:
     # Columns bind by the header of this entry. With enforceSchema off, a folder whose
     # files carry different headers fails loudly instead of mixing up its columns; the
     # escape setting reads doubled quotes the way CSV writers emit them.
@@ -33,7 +63,8 @@ def _read_one(spark: SparkSession, path: str) -> DataFrame:
         if problem.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"Bronze file missing: {path}") from problem
         raise
-    return df.withColumn(SOURCE_COLUMN, F.lit(source_name(path)))
+    rows = df if limit is None else _first_rows(df, limit)
+    return rows.withColumn(SOURCE_COLUMN, F.lit(source_name(path)))
 
 
 def read_bronze(
@@ -44,10 +75,8 @@ def read_bronze(
     """One text frame over all entries, matched by column name, with the entry's name added.
 
     An entry is a file, a folder or a glob, and ``.gz`` / ``.bz2`` files are decompressed by
-    suffix. ``limit_per_file`` is for dry runs: it keeps that many rows of each entry.
+    suffix. ``limit_per_file`` is for dry runs: it keeps the first rows of each entry.
     """
     entries = [paths] if isinstance(paths, str) else list(paths)
-    frames = [_read_one(spark, p) for p in entries]
-    if limit_per_file is not None:
-        frames = [f.limit(limit_per_file) for f in frames]
+    frames = [_read_one(spark, p, limit_per_file) for p in entries]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

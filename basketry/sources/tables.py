@@ -41,7 +41,8 @@ def write_gold(gold: DataFrame, path: str, by_day: bool = False) -> None:
     Each day is sorted by product, so that a lookup skips row groups and columns pack well.
     """
     if by_day:
-        _by_day(gold).sortWithinPartitions("date", "product_id").write.mode("overwrite").partitionBy("date").parquet(path)
+        days = _by_day(gold).sortWithinPartitions("date", "product_id")
+        days.write.mode("overwrite").partitionBy("date").parquet(path)
     else:
         gold.write.mode("overwrite").parquet(path)
 

@@ -66,6 +66,22 @@ def test_row_cap_is_per_file(spark, months):
     assert {r[1] for r in raw.groupBy("source_file").count().collect()} == {2}
 
 
+@pytest.mark.parametrize("n", [0, 1, 150, 399, 400, 650, 5000])
+def test_row_cap_keeps_the_first_rows_across_splits(spark, tmp_path, n):
+    lines = [[*RAW[0][:7], str(i), "s"] for i in range(800)]
+    (tmp_path / "a.csv").write_text(csv_lines(lines[:400]))
+    (tmp_path / "b.csv").write_text(csv_lines(lines[400:]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "4k")
+    try:
+        kept = bronze.read_bronze(spark, str(tmp_path), limit_per_file=n)
+        got = sorted(int(r["user_id"]) for r in kept.select("user_id").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == list(range(min(n, 800)))
+
+
 def test_mixed_headers_in_one_folder_are_an_error(spark, tmp_path):
     (tmp_path / "a.csv").write_text(csv_lines(RAW[:6]))
     (tmp_path / "b.csv").write_text(csv_lines(RAW[6:], EVENT_COLUMNS[::-1]))
