@@ -63,6 +63,7 @@ SMALL_SPACES = {
 LINEAR_WEIGHTS = (0.05, 0.1, -0.05, 0.2, 0.01, 0.02, 0.1)
 
 TOP_DATE = "2024-01-16"
+LINE_DATE = "1998-06-15"
 
 
 def linear_scorer() -> Column:
@@ -117,6 +118,12 @@ def _forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _line_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return baselines.with_baselines(_line_split(spark, sf_dir)).withColumnRenamed(
+        "pred_ma7", "prediction"
+    )
+
+
 def _sides(split: splits.Split) -> DataFrame:
     return split.both.select(
         F.when(F.col("is_test"), "test").otherwise("train").alias("side"),
@@ -303,6 +310,10 @@ def _on_forecast(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(_forecast(spark, sf_dir))
 
 
+def _on_line_forecast(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: operator(_line_forecast(spark, sf_dir))
+
+
 def _extra_type_counts(spark, sf_dir):
     events = testdata.click_events(spark, sf_dir).withColumn("date", F.to_date("event_time"))
     return daily.product_day_counts(events, extra_types=["signup"])
@@ -419,17 +430,12 @@ def _tune(spark, sf_dir):
     return found.trials.select("model", "trial", "params", "cv_mae", "is_best")
 
 
-def _attribution(spark, sf_dir):
-    split = _split(spark, sf_dir)
+def _attribution(split: splits.Split) -> DataFrame:
     return attr.attribution(
         linear_scorer(), attr.attribution_sample(split.test), attr.background_rows(split.train)
     )
 
 
-def _attribution_ranking(spark, sf_dir):
-    return attr.attribution_ranking(_attribution(spark, sf_dir))
-
-
 def _attribution_model(spark, sf_dir):
     split = _split(spark, sf_dir)
     forest = models.fit_random_forest(split.train, params=SMALL_TREES["random_forest"])
@@ -463,6 +469,17 @@ def _predict_lookup(spark, sf_dir):
     return answers.select(*[c for c in answers.columns if c != "features_used"], *used)
 
 
+def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One lookup per order line, on the day before it was shipped."""
+    lines = testdata.lineitem_silver(spark, sf_dir)
+    return lines.selectExpr("product_id", "date_format(date_sub(date, 1), 'yyyy-MM-dd') AS date")
+
+
+def _predict_lookup_lineitem(spark, sf_dir):
+    answers = scoring.score(_line_gold(spark, sf_dir), order_requests(spark, sf_dir))
+    return answers.drop("features_used")
+
+
 def _predict_lookup_model(spark, sf_dir):
     split = _split(spark, sf_dir)
     forest = models.fit_random_forest(split.train, params=SMALL_TREES["random_forest"])
@@ -538,6 +555,7 @@ _QUERIES: dict[str, Query] = {
     "eda_summary": _on_clicks(_flat_eda),
     "event_funnel": _on_clicks(profile.event_funnel),
     "daily_volume": _on_clicks(profile.daily_volume),
+    "daily_volume_lineitem": _on_lines(profile.daily_volume),
     "hourly_volume": _on_clicks(profile.hourly_volume),
     "top_viewed": _on_clicks(profile.top_viewed),
     "top_viewed_lineitem": _on_lines(profile.top_viewed),
@@ -570,11 +588,15 @@ _QUERIES: dict[str, Query] = {
     "attribution_sample": lambda s, d: attr.attribution_sample(
         _line_split(s, d).test.select("product_id", "date", *FEATURES)
     ),
-    "feature_attribution": _attribution,
-    "feature_attribution_ranking": _attribution_ranking,
+    "feature_attribution": lambda s, d: _attribution(_split(s, d)),
+    "feature_attribution_lineitem": lambda s, d: _attribution(_line_split(s, d)),
+    "feature_attribution_ranking": lambda s, d: attr.attribution_ranking(
+        _attribution(_split(s, d))
+    ),
     "feature_attribution_model": _attribution_model,
     # scoring
     "predict_lookup": _predict_lookup,
+    "predict_lookup_lineitem": _predict_lookup_lineitem,
     "predict_lookup_model": _predict_lookup_model,
     "top_products": _on_gold(scoring.top_products),
     "top_products_lineitem": _on_line_gold(scoring.top_products),
@@ -583,11 +605,19 @@ _QUERIES: dict[str, Query] = {
         lambda g: scoring.top_predicted(g, TOP_DATE, limit=25, min_views=1.0)
     ),
     "top_predicted_model": _top_predicted_model,
+    "top_predicted_lineitem": _on_line_gold(
+        lambda g: scoring.top_predicted(g, LINE_DATE, linear_scorer(), 100, model_name="linear")
+    ),
     "top_predicted_status": _top_predicted_status,
     # residuals
     "residual_summary": _on_forecast(lambda f: residuals.residual_summary(f, "ma7", "e_final")),
     "residual_histogram": _on_forecast(residuals.residual_histogram),
     "error_by_activity": _on_forecast(residuals.error_by_activity),
+    "residual_summary_lineitem": _on_line_forecast(
+        lambda f: residuals.residual_summary(f, "ma7", "boundary")
+    ),
+    "residual_histogram_lineitem": _on_line_forecast(residuals.residual_histogram),
+    "error_by_activity_lineitem": _on_line_forecast(residuals.error_by_activity),
     "pred_vs_actual": _on_forecast(lambda f: residuals.pred_vs_actual(f, "ma7")),
     "experiment_comparison": _comparison,
     # incremental ingest

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from basketry.plans.catalog import CLICK_EXPERIMENTS, LINE_EXPERIMENT, LINEAR_WEIGHTS, TOP_DATE
+from basketry.plans.catalog import (
+    CLICK_EXPERIMENTS,
+    LINE_DATE,
+    LINE_EXPERIMENT,
+    LINEAR_WEIGHTS,
+    TOP_DATE,
+)
 from basketry.settings import EVENT_COLUMNS, FEATURES, NA_TOKENS
 
 _DAY = "strftime({}, '%Y-%m-%d')"
@@ -367,22 +373,32 @@ def _hash(seed: int) -> str:
 
 
 _SCORE = " + ".join(f"{w} * CAST({c} AS DOUBLE)" for c, w in zip(FEATURES, LINEAR_WEIGHTS))
-_SHAPLEY = f"""{_ON_FINAL},
+def _shapley(base: str, name: str) -> str:
+    """Sample, background, and the closed form of a linear scorer's contributions."""
+    means = ", ".join(f"avg({c}) AS mean_{c}" for c in FEATURES)
+    phi = ", ".join(
+        f"{w} * ({c} - mean_{c}) AS phi_{c}" for c, w in zip(FEATURES, LINEAR_WEIGHTS)
+    )
+    return f"""{base},
 sample AS (
-  SELECT * FROM sides_f WHERE side = 'test' ORDER BY {_hash(42)}, product_id, date LIMIT 5000
+  SELECT * FROM sides_{name} WHERE side = 'test'
+  ORDER BY {_hash(42)}, product_id, date LIMIT 5000
 ),
 background AS (
-  SELECT * FROM sides_f WHERE side = 'train' ORDER BY {_hash(43)}, product_id, date LIMIT 50
-),
-centre AS (
-  SELECT {", ".join(f"avg({c}) AS mean_{c}" for c in FEATURES)}, avg({_SCORE}) AS base_value
-  FROM background
+  SELECT * FROM sides_{name} WHERE side = 'train'
+  ORDER BY {_hash(43)}, product_id, date LIMIT 50
 ),
-phi AS (
-  SELECT product_id, date, base_value, {_SCORE} AS prediction,
-    {", ".join(f"{w} * ({c} - mean_{c}) AS phi_{c}" for c, w in zip(FEATURES, LINEAR_WEIGHTS))}
-  FROM sample, centre
-)"""
+centre AS (SELECT {means}, avg({_SCORE}) AS base_value FROM background),
+phi AS (SELECT product_id, date, base_value, {_SCORE} AS prediction, {phi} FROM sample, centre)"""
+
+
+_SHAPLEY = _shapley(_ON_FINAL, "f")
+_PHI_OUT = (
+    f"SELECT product_id, {_DAY.format('date')} AS date, round(base_value, 6) AS base_value, "
+    "round(prediction, 6) AS prediction, "
+    + ", ".join(f"round(phi_{c}, 6) AS phi_{c}" for c in FEATURES)
+    + " FROM phi"
+)
 
 _REQUESTS = """
 requests AS (
@@ -393,10 +409,24 @@ requests AS (
   FROM clicks WHERE event_type = 'signup'
 )"""
 
-_RESIDUALS = f"""{_ON_FINAL},
-errors AS (SELECT y, pred_ma7 AS p, y - pred_ma7 AS r, views FROM forecast_f)"""
+def _residuals(base: str, name: str) -> str:
+    return f"""{base},
+errors AS (SELECT y, pred_ma7 AS p, y - pred_ma7 AS r, views FROM forecast_{name})"""
+
+
+_RESIDUALS, _LINE_RESIDUALS = _residuals(_ON_FINAL, "f"), _residuals(_ON_LINES, "l")
 
-_HISTOGRAM = f"""{_RESIDUALS},
+
+def _residual_summary(split: str) -> str:
+    return (
+        f"SELECT 'ma7' AS model_name, '{split}' AS split, count(*) AS n_test, "
+        "round(avg(abs(r)), 6) AS mae, round(sqrt(avg(r * r)), 6) AS rmse, "
+        "round(avg(r), 6) AS mean_residual FROM errors"
+    )
+
+
+def _histogram(base: str) -> str:
+    return f"""WITH {base.strip()},
 span AS (
   SELECT CASE WHEN min(r) = max(r) THEN min(r) - 0.5 ELSE min(r) END AS low,
          CASE WHEN min(r) = max(r) THEN max(r) + 0.5 ELSE max(r) END AS high
@@ -413,6 +443,18 @@ FROM bins LEFT JOIN errors
   ON r >= bin_start AND (r < bin_end OR (bin = 79 AND r <= bin_end))
 GROUP BY bin, bin_start, bin_end"""
 
+
+def _by_activity(base: str) -> str:
+    return _with(
+        f"""{base},
+cuts AS (SELECT quantile_cont(CAST(views AS DOUBLE), 0.33::DOUBLE) AS q33,
+                quantile_cont(CAST(views AS DOUBLE), 0.66::DOUBLE) AS q66 FROM errors)""",
+        "SELECT CASE WHEN views <= q33 THEN 'low_views' WHEN views <= q66 THEN 'medium_views' "
+        "ELSE 'high_views' END AS activity, count(*) AS n, round(avg(abs(r)), 6) AS mae "
+        "FROM errors, cuts GROUP BY 1",
+    )
+
+
 _STATUS_CASES = (
     (TOP_DATE, f"DATE '{TOP_DATE}'", 0.0),
     (TOP_DATE, f"DATE '{TOP_DATE}'", 1e9),
@@ -584,6 +626,9 @@ def oracle_sql() -> dict[str, str]:
         "daily_volume": _with(
             _SILVER, f"SELECT {day}, count(*) AS events FROM silver GROUP BY 1"
         ),
+        "daily_volume_lineitem": _with(
+            _LINE_SILVER, f"SELECT {day}, count(*) AS events FROM silver GROUP BY 1"
+        ),
         "hourly_volume": _with(
             _SILVER,
             "SELECT CAST(hour(event_time) AS INTEGER) AS hour, count(*) AS events FROM silver "
@@ -648,13 +693,8 @@ dated AS (SELECT product_id, date,
             f"SELECT product_id, {day}, {', '.join(FEATURES)} FROM (SELECT * FROM sides_l "
             f"WHERE side = 'test' ORDER BY {_hash(42)}, product_id, date LIMIT 5000)",
         ),
-        "feature_attribution": _with(
-            _SHAPLEY,
-            f"SELECT product_id, {day}, round(base_value, 6) AS base_value, "
-            "round(prediction, 6) AS prediction, "
-            + ", ".join(f"round(phi_{c}, 6) AS phi_{c}" for c in FEATURES)
-            + " FROM phi",
-        ),
+        "feature_attribution": _with(_SHAPLEY, _PHI_OUT),
+        "feature_attribution_lineitem": _with(_shapley(_ON_LINES, "l"), _PHI_OUT),
         "feature_attribution_ranking": _with(
             _SHAPLEY,
             " UNION ALL ".join(
@@ -682,6 +722,17 @@ dated AS (SELECT product_id, date,
             + " FROM requests r LEFT JOIN gold g ON r.product_id = g.product_id "
             "AND r.date = strftime(g.date, '%Y-%m-%d')",
         ),
+        "predict_lookup_lineitem": _with(
+            f"""{_LINE_GOLD},
+asked AS (SELECT product_id, date - 1 AS day FROM silver)""",
+            f"SELECT a.product_id, {_DAY.format('a.day')} AS date, "
+            "CAST(coalesce(purchases, 0) AS DOUBLE) AS predicted_purchases_next_day, "
+            "CAST(purchases_next_day AS DOUBLE) AS actual_purchases_next_day, "
+            "CAST(purchases - purchases_next_day AS DOUBLE) AS prediction_error, "
+            "'lag1' AS model_used, CASE WHEN g.product_id IS NULL THEN "
+            "'no data for this product/date combination' END AS note "
+            "FROM asked a LEFT JOIN gold g ON a.product_id = g.product_id AND a.day = g.date",
+        ),
         "top_products": _with(_CLICK_GOLD, _TOP_PRODUCTS),
         "top_products_lineitem": _with(_LINE_GOLD, _TOP_PRODUCTS),
         "gold_date_range": _with(
@@ -700,24 +751,26 @@ dated AS (SELECT product_id, date,
             f"'lag1' AS model_used FROM gold WHERE gold.date = DATE '{TOP_DATE}' "
             "AND gold.views >= 1 ORDER BY rank LIMIT 25",
         ),
+        "top_predicted_lineitem": _with(
+            f"""{_LINE_GOLD},
+scored AS (SELECT *, {_SCORE} AS p FROM gold WHERE gold.date = DATE '{LINE_DATE}')""",
+            f"SELECT '{LINE_DATE}' AS date, CAST(row_number() OVER (ORDER BY p DESC, "
+            "product_id) AS INTEGER) AS rank, product_id, "
+            "round(p, 6) AS predicted_purchases_next_day, "
+            "CAST(purchases_next_day AS DOUBLE) AS actual_purchases_next_day, "
+            "round(p - purchases_next_day, 6) AS prediction_error, "
+            "CAST(purchases AS DOUBLE) AS purchases, CAST(views AS DOUBLE) AS views, "
+            "'linear' AS model_used FROM scored ORDER BY rank LIMIT 100",
+        ),
         "top_predicted_status": _with(
             _CLICK_GOLD, " UNION ALL ".join(_status(*case) for case in _STATUS_CASES)
         ),
-        "residual_summary": _with(
-            _RESIDUALS,
-            "SELECT 'ma7' AS model_name, 'e_final' AS split, count(*) AS n_test, "
-            "round(avg(abs(r)), 6) AS mae, round(sqrt(avg(r * r)), 6) AS rmse, "
-            "round(avg(r), 6) AS mean_residual FROM errors",
-        ),
-        "residual_histogram": f"WITH {_HISTOGRAM.strip()}",
-        "error_by_activity": _with(
-            f"""{_RESIDUALS},
-cuts AS (SELECT quantile_cont(CAST(views AS DOUBLE), 0.33::DOUBLE) AS q33,
-                quantile_cont(CAST(views AS DOUBLE), 0.66::DOUBLE) AS q66 FROM errors)""",
-            "SELECT CASE WHEN views <= q33 THEN 'low_views' WHEN views <= q66 THEN 'medium_views' "
-            "ELSE 'high_views' END AS activity, count(*) AS n, round(avg(abs(r)), 6) AS mae "
-            "FROM errors, cuts GROUP BY 1",
-        ),
+        "residual_summary": _with(_RESIDUALS, _residual_summary("e_final")),
+        "residual_summary_lineitem": _with(_LINE_RESIDUALS, _residual_summary("boundary")),
+        "residual_histogram": _histogram(_RESIDUALS),
+        "residual_histogram_lineitem": _histogram(_LINE_RESIDUALS),
+        "error_by_activity": _by_activity(_RESIDUALS),
+        "error_by_activity_lineitem": _by_activity(_LINE_RESIDUALS),
         "pred_vs_actual": _with(
             _RESIDUALS, "SELECT 'ma7' AS model_name, y, round(p, 6) AS y_hat FROM errors"
         ),
