@@ -63,7 +63,7 @@ SMALL_SPACES = {
 LINEAR_WEIGHTS = (0.05, 0.1, -0.05, 0.2, 0.01, 0.02, 0.1)
 
 TOP_DATE = "2024-01-16"
-LINE_DATE = "1998-06-15"
+LINE_DATE = "1997-10-16"
 
 
 def linear_scorer() -> Column:
