@@ -2,9 +2,117 @@
 
 from __future__ import annotations
 
-from basketry.llm import quality
+from basketry.llm import quality, secrets, urls
+from basketry.llm.urls import LOWER, UPPER
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _matches(name: str, pattern: str, group: int) -> str:
+    """CTE with (uid, start, stop, own, value) of the non-overlapping matches of a pattern."""
+    p = _literal(pattern)
+    return f"""
+    {name} AS (
+      SELECT uid, own, value, stop - length(own) AS start, stop
+      FROM (
+        SELECT uid, own, value, sum(length(gap) + length(own)) OVER (PARTITION BY uid ORDER BY i) AS stop
+        FROM (
+          SELECT uid, unnest(range(1, len(own) + 1)) AS i, unnest(own) AS own, unnest(value) AS value,
+            unnest(gaps[1:len(own)]) AS gap
+          FROM (
+            SELECT uid, regexp_extract_all(text, {p}, 0) AS own, regexp_extract_all(text, {p}, {group}) AS value,
+              regexp_split_to_array(text, {p}) AS gaps
+            FROM texts WHERE regexp_matches(text, {p})))))"""
+
+
+def op1_secret_scans() -> str:
+    w = secrets.WINDOW
+    terms = ", ".join(map(str, secrets.spread_terms()))
+    return f"""
+    WITH texts AS (
+      SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS text FROM documents),
+    {_matches("assigned", secrets.ASSIGN, 2)},
+    {_matches("access", secrets.ACCESS, 0)},
+    {_matches("hexes", secrets.HEX, 0)},
+    {_matches("runs", secrets.CANDIDATE, 0)},
+    windows AS (
+      SELECT uid, start, o, substr(own, o + 1, {w}) AS part
+      FROM (SELECT uid, start, own, unnest(range(0, length(own) - {w} + 1)) AS o FROM runs
+            WHERE NOT regexp_matches(own, {_literal(secrets.allow_pattern())}))),
+    letters AS (
+      SELECT uid, start, o, part, unnest(string_split(part, '')) AS c FROM windows),
+    spreads AS (
+      SELECT uid, start, o, part, sum([{terms}][n + 1]) AS spread
+      FROM (SELECT uid, start, o, part, c, count(*) AS n FROM letters GROUP BY ALL) GROUP BY ALL),
+    hits AS (
+      SELECT uid, start, o FROM spreads
+      WHERE regexp_matches(part, '[0-9]') AND (
+        regexp_full_match(part, '[0-9a-f]*') AND spread <= {secrets.spread_bound(secrets.HEX_BITS)}
+        OR regexp_matches(part, '[A-Z]') AND regexp_matches(part, '[a-z]')
+          AND spread <= {secrets.spread_bound(secrets.MIXED_BITS)})),
+    islands AS (
+      SELECT uid, start, o, sum(fresh) OVER (PARTITION BY uid, start ORDER BY o) AS island
+      FROM (SELECT *, CASE WHEN o - lag(o) OVER (PARTITION BY uid, start ORDER BY o) <= {w} THEN 0 ELSE 1 END AS fresh
+            FROM hits)),
+    spans AS (
+      SELECT uid, 0 AS kind, start, stop FROM assigned WHERE length(value) >= {secrets.ASSIGN_LEAST}
+      UNION ALL SELECT uid, 1, start, stop FROM access
+      UNION ALL SELECT uid, 2, start, stop FROM hexes
+      UNION ALL SELECT uid, 3, start + min(o), start + max(o) + {w} FROM islands GROUP BY uid, start, island),
+    named AS (
+      SELECT *, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || start || ':' || stop AS span FROM spans),
+    joined AS (
+      SELECT uid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+        count(*) FILTER (kind = 2) AS n_hex,
+        string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
+        string_agg(span, ',' ORDER BY start, kind) AS spans
+      FROM named GROUP BY uid)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+      sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM texts LEFT JOIN joined USING (uid)"""
+
+
+def op8_url_filters() -> str:
+    ranked = sorted(urls.RULES, key=lambda r: (-len(r[1] + r[2]), r[0] != "block", r[1] + r[2]))
+    fits = [
+        (kind, h + p, f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')") for kind, h, p in ranked
+    ]
+    rule = "CASE " + " ".join(f"WHEN {f} THEN '{r}'" for _, r, f in fits) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {f} THEN '{k}'" for k, _, f in fits) + " END"
+    labels = ", ".join(f"'{x}'" for x in urls.LISTED_LABELS)
+    return rf"""
+    WITH cut AS (
+      SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+      FROM pages),
+    parts AS (
+      SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+        substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1) AS after
+      FROM (SELECT page_id, coalesce(rest, '') AS rest FROM cut)),
+    fields AS (
+      SELECT page_id, host, regexp_extract(after, '^[^?#]*') AS path,
+        regexp_extract(after, '^[^?#]*\?([^#]*)', 1) AS query
+      FROM parts),
+    terms AS (
+      SELECT *, array_to_string(list_sort(list_filter(string_split(query, '&'),
+        lambda t: t <> '' AND NOT regexp_matches(t, '{urls.TRACKING}'))), '&') AS kept
+      FROM fields),
+    forms AS (
+      SELECT *, CASE WHEN host <> '' THEN
+        regexp_replace(regexp_replace(host, '^www[.]', ''), ':(80|443)?$', '') || regexp_replace(path, '/+$', '')
+        || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END END AS canonical
+      FROM terms),
+    listed AS (
+      SELECT DISTINCT canonical FROM forms
+      WHERE canonical IS NOT NULL AND list_has_any(string_split(host, '.'), [{labels}])),
+    judged AS (
+      SELECT page_id, host, path, {rule} AS rule, {verdict} AS verdict,
+        canonical IS NOT NULL AND canonical IN (SELECT canonical FROM listed) AS listed
+      FROM forms)
+    SELECT page_id, host, path, rule, listed,
+      coalesce(verdict, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict
+    FROM judged"""
 
 
 def op9_quality_rules() -> str:
@@ -56,5 +164,7 @@ def op9_quality_rules() -> str:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_secret_scans": op1_secret_scans(),
+        "op8_url_filters": op8_url_filters(),
         "op9_quality_rules": op9_quality_rules(),
     }

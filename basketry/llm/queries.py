@@ -4,15 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.llm import quality
+from basketry.llm import html, langid, packing, quality, secrets, urls
 from basketry.llm.tables import documents
 from basketry.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+
+
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(prepare(spark), sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *(secrets.count("secret_spans", k).alias(f"n_{k}") for k in secrets.KINDS[:3]),
+        F.sha2(secrets.written("secret_spans", base_only=True), 256).alias("base_sha256"),
+        secrets.written("secret_spans").alias("spans"),
+    )
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(prepare(spark), sf_dir)
+    model = langid.train(docs.where(~langid.held_out()))
+    return langid.predict(docs, model, ["doc_id", langid.held_out().alias("held_out")])
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.extract(pages(prepare(spark), sf_dir))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pages(prepare(spark), sf_dir)
+    return urls.filter_urls(rows, urls.listed_pages(rows))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(documents(prepare(spark), sf_dir))
     return judged.select(
@@ -28,7 +59,19 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(prepare(spark), sf_dir)
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    packed = packing.pack_documents(docs, vocabulary, payload="ids_crc32")
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_secret_scans": op1_secret_scans,
+        "op2_language_id": op2_language_id,
+        "op6_html_extraction": op6_html_extraction,
+        "op8_url_filters": op8_url_filters,
         "op9_quality_rules": op9_quality_rules,
+        "op10_packing": op10_packing,
     }
