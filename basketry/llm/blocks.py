@@ -25,6 +25,8 @@ _BASE_INVERSE = pow(_BASE, -1, 2**64)
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+# ASCII signs as well as white space; bytes of other scripts are parts of words.
+SIGNS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -127,11 +129,11 @@ def sequence_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) ->
 
 
 class Words:
-    """The words of a block: maximal runs of bytes that are not ASCII white space."""
+    """The words of a block: maximal runs of bytes other than ``gaps``, by default ASCII white space."""
 
-    def __init__(self, block: Block, lower: bool = True):
+    def __init__(self, block: Block, lower: bool = True, gaps: np.ndarray = SPACE):
         data = LOWER[block.data] if lower else block.data
-        word = ~SPACE[data]
+        word = ~gaps[data]
         first = np.zeros(len(data) + 1, bool)
         first[block.offsets] = True
         begins, ends = word.copy(), word.copy()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.llm import html, langid, packing, quality, secrets, urls
+from basketry.llm import chunks, decontamination, html, langid, packing, quality, secrets, urls
 from basketry.llm.tables import documents
 from basketry.session import prepare
 
@@ -34,11 +34,29 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, ["doc_id", langid.held_out().alias("held_out")])
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.leaks(documents(prepare(spark), sf_dir), benchmark)
+    return found.drop("row_key")
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html.extract(pages(prepare(spark), sf_dir))
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chunks.repeated(documents(prepare(spark), sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "n_chunks",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pages(prepare(spark), sf_dir)
     return urls.filter_urls(rows, urls.listed_pages(rows))
@@ -70,7 +88,9 @@ def queries() -> dict[str, Query]:
     return {
         "op1_secret_scans": op1_secret_scans,
         "op2_language_id": op2_language_id,
+        "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op6_html_extraction": op6_html_extraction,
+        "op7_substring_dedup": op7_substring_dedup,
         "op8_url_filters": op8_url_filters,
         "op9_quality_rules": op9_quality_rules,
         "op10_packing": op10_packing,
