@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.llm import chunks, decontamination, html, langid, packing, quality, secrets, urls
+from basketry.llm import chunks, decontamination, html, jaccard, langid, packing, quality, secrets, urls
 from basketry.llm.tables import documents
 from basketry.session import prepare
 
@@ -34,6 +34,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, ["doc_id", langid.held_out().alias("held_out")])
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = jaccard.link(documents(prepare(spark), sf_dir))
+    return linked.select("doc_id", "n_shingles", "component_id")
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontamination.leaks(documents(prepare(spark), sf_dir), benchmark)
@@ -88,6 +93,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_secret_scans": op1_secret_scans,
         "op2_language_id": op2_language_id,
+        "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op6_html_extraction": op6_html_extraction,
         "op7_substring_dedup": op7_substring_dedup,
