@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.llm import chunks, decontamination, html, jaccard, langid, packing, quality, secrets, urls
+from basketry.llm import chunks, decontamination, html, jaccard, langid, packing, quality, secrets, suffixes, urls
 from basketry.llm.tables import documents
 from basketry.session import prepare
 
@@ -45,6 +45,18 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.drop("row_key")
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.repeats(documents(prepare(spark), sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html.extract(pages(prepare(spark), sf_dir))
     return found.withColumn("n_chars", F.length("text").cast("long"))
@@ -95,6 +107,7 @@ def queries() -> dict[str, Query]:
         "op2_language_id": op2_language_id,
         "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
+        "op5_suffix_array_dedup": op5_suffix_array_dedup,
         "op6_html_extraction": op6_html_extraction,
         "op7_substring_dedup": op7_substring_dedup,
         "op8_url_filters": op8_url_filters,
