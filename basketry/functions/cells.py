@@ -17,6 +17,7 @@ EVENT_TIME_LAYOUT = (
     r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?( UTC|Z|[+-]\d{2}:\d{2})?$"
 )
 
+_ZONE = "( UTC|Z|[+-][0-9]{2}:[0-9]{2})$"
 _LETTERS_BUT_E = "[a-df-zA-DF-Z]"
 _LONG_LIMIT = float(2**63)
 
@@ -35,9 +36,20 @@ def event_time(cell: Column) -> Column:
     """UTC timestamp, or null when the cell has none of the accepted layouts.
 
     The layout is checked first: a bare cast would turn ``10:00`` into today and ``2019``
-    into January 1st. A time without a zone is read in the session zone, which must be UTC.
+    into January 1st. A time without a zone is UTC, whatever the session's zone is.
     """
-    return F.when(cell.rlike(EVENT_TIME_LAYOUT), cell.try_cast("timestamp"))
+    zoned = F.when(cell.rlike(_ZONE), cell).otherwise(F.concat(cell, F.lit(" UTC")))
+    return F.when(cell.rlike(EVENT_TIME_LAYOUT), zoned.try_cast("timestamp"))
+
+
+def utc_day(time: Column) -> Column:
+    """UTC day of a timestamp, in any session zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(time) / 86_400).cast("int"))
+
+
+def utc_hour(time: Column) -> Column:
+    """UTC hour of a timestamp, 0 to 23, in any session zone."""
+    return F.pmod(F.floor(F.unix_seconds(time) / 3_600), F.lit(24)).cast("int")
 
 
 def number(cell: Column) -> Column:

@@ -2,19 +2,38 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 _DIGIT_BITS = 16
 
 
-HASH_SIZE = 1000003
+# A Mersenne prime: products of two remainders stay below 2^122, well inside 38 digits.
+SAMPLE_PRIME = 2**61 - 1
+
+
+def sample_factors(seed: int) -> list[int]:
+    """The four numbers that a seed gives the sample's hash."""
+    return [random.Random(f"{seed}:{k}").randrange(1 << 60, SAMPLE_PRIME) for k in range(4)]
 
 
 def key_hash(product_id: Column, date: Column, seed: int) -> Column:
-    """Repeatable pseudo-random key of a (product, date) row, the same in any SQL engine."""
-    day = F.unix_date(date).cast("long")
-    mixed = product_id * F.lit(7919) + day * F.lit(104729) + F.lit(seed)
-    return F.pmod(mixed, F.lit(HASH_SIZE))
+    """Repeatable pseudo-random key of a (product, date) row, the same in any SQL engine.
+
+    Two rounds modulo a prime near 2^61 with factors that depend on the seed: a sum of products,
+    then a square. Remainders are taken before multiplying, so ids of 19 digits do not overflow.
+    """
+    a, b, c, d = (F.lit(str(x)).cast("decimal(19,0)") for x in sample_factors(seed))
+    p = F.lit(str(SAMPLE_PRIME)).cast("decimal(19,0)")
+
+    def rest(x: Column) -> Column:
+        return (x % p).cast("decimal(19,0)")
+
+    own = rest(rest(product_id.cast("decimal(19,0)")) + p)
+    day = (F.unix_date(date).cast("long") + 1_000_000).cast("decimal(19,0)")
+    first = rest(rest(own * a) + rest(day * b) + c)
+    return rest(rest(first * first) * d).cast("long")
 
 
 def nth_smallest(

@@ -7,12 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from basketry.functions.ordering import HASH_SIZE, key_hash, nth_smallest
+from basketry.functions.ordering import SAMPLE_PRIME, key_hash, nth_smallest
 from basketry.operators.scoring import Scorer, with_prediction
 from basketry.settings import ATTRIBUTION_BACKGROUND, ATTRIBUTION_ROWS, FEATURES, SEED
 
-MOST_FEATURES = 12
-
 
 def attribution_sample(df: DataFrame, n: int = ATTRIBUTION_ROWS, seed: int = SEED) -> DataFrame:
     """``n`` pseudo-random rows (all when there are fewer), the same ones in any partitioning.
@@ -22,7 +20,7 @@ def attribution_sample(df: DataFrame, n: int = ATTRIBUTION_ROWS, seed: int = SEE
     """
     hashed = df.withColumn("_hash", key_hash(F.col("product_id"), F.col("date"), seed))
     grouped = hashed.select(F.lit(0).alias("g"), "_hash")
-    cutoff = nth_smallest(grouped, "g", "_hash", {0: [n - 1]}, 0, HASH_SIZE - 1)[0][n - 1]
+    cutoff = nth_smallest(grouped, "g", "_hash", {0: [n - 1]}, 0, SAMPLE_PRIME - 1)[0][n - 1]
     if cutoff is None:
         return df
     near = hashed.where(F.col("_hash") <= cutoff)
@@ -55,19 +53,21 @@ def attribution(
     features: Sequence[str] = FEATURES,
     keys: Sequence[str] = ("product_id", "date"),
     most_background: int = 200,
+    most_features: int = 12,
 ) -> DataFrame:
     """Interventional Shapley values: keys, ``base_value``, ``prediction``, ``phi_<feature>``.
 
     The contributions of a row add up to its forecast minus the mean background forecast.
     Every sample row is scored with each coalition of its own features, the others taken
-    from each background row. The background is a fixed handful of rows (more than
+    from each background row: 2^features * background forecasts for each row, hence
+    ``most_features``. The background is a fixed handful of rows (more than
     ``most_background`` is an error) and travels as literals in the plan; the sample is
     spread over the cluster before it is expanded, and one aggregate on the same
     partitioning folds the scores, so the expanded rows are never shuffled.
     """
     n = len(features)
-    if n > MOST_FEATURES:
-        raise ValueError(f"at most {MOST_FEATURES} features, as 2^n coalitions are scored")
+    if n > most_features:
+        raise ValueError(f"{n} features make 2^{n} coalitions; most_features is {most_features}")
     values = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features]
     known = background.select(*values).limit(most_background + 1).collect()
     if not 0 < len(known) <= most_background:

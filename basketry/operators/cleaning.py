@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.functions import cells
 from basketry.settings import EVENT_COLUMNS, EVENT_TYPES
-from basketry.sources.bronze import SOURCE_COLUMN
+from basketry.sources.bronze import SOURCE_COLUMN, SOURCE_NO
 
 _ID_COLUMNS = ("product_id", "category_id", "user_id")
 _TEXT_COLUMNS = ("event_type", "category_code", "brand", "user_session")
@@ -18,7 +18,7 @@ _TEXT_COLUMNS = ("event_type", "category_code", "brand", "user_session")
 def require_columns(df: DataFrame, needed: Iterable[str] = EVENT_COLUMNS) -> None:
     missing = sorted(set(needed) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing columns: {missing}")
+        raise ValueError(f"these event columns are not there: {missing}")
 
 
 def null_tokens(df: DataFrame) -> DataFrame:
@@ -104,43 +104,44 @@ def normalise(df: DataFrame, valid_event_types: Iterable[str] | None = None) ->
     ).dropna(subset=list(_ID_COLUMNS))
 
 
-def drop_copies(df: DataFrame) -> DataFrame:
+def drop_copies(df: DataFrame, keep_source: bool = False) -> DataFrame:
     """One row per group of rows equal in every input column, nulls counting as equal.
 
     The columns are the grouping keys, so copies collapse inside each task before the
-    shuffle: a row repeated a billion times sends one record per task.
+    shuffle: a row repeated a billion times sends one record per task. With ``keep_source`` a
+    row keeps the number of the first entry it is in; the least of a number stays in a hash
+    aggregate.
     """
-    return df.drop(SOURCE_COLUMN).dropDuplicates()
+    rows = df.drop(SOURCE_COLUMN) if keep_source else df.drop(SOURCE_COLUMN, SOURCE_NO)
+    if SOURCE_NO not in rows.columns:
+        return rows.dropDuplicates()
+    keys = [c for c in rows.columns if c != SOURCE_NO]
+    return rows.groupBy(*keys).agg(F.min(F.col(SOURCE_NO).cast("int")).alias(SOURCE_NO))
 
 
 def with_day(df: DataFrame) -> DataFrame:
-    """Add the UTC day and keep the nine event columns plus the day."""
-    return df.select(*EVENT_COLUMNS, F.to_date("event_time").alias("date"))
+    """Add the UTC day and keep the nine event columns, the day, and the entry's number if known."""
+    number = [SOURCE_NO] if SOURCE_NO in df.columns else []
+    return df.select(*EVENT_COLUMNS, cells.utc_day(F.col("event_time")).alias("date"), *number)
 
 
-def clean_events(df: DataFrame, valid_event_types: Iterable[str] | None = None) -> DataFrame:
+def clean_events(
+    df: DataFrame, valid_event_types: Iterable[str] | None = None, keep_source: bool = False
+) -> DataFrame:
     """The whole cleaning: normalise, drop copies, add the day."""
-    return with_day(drop_copies(normalise(df, valid_event_types)))
+    return with_day(drop_copies(normalise(df, valid_event_types), keep_source))
 
 
-def cleaning_stats(
-    df: DataFrame, sources: list[str], valid_event_types: Iterable[str] | None = None
-) -> DataFrame:
-    """Rows read and rows kept per source; a row found in several sources counts for the first.
+def cleaning_stats(raw: DataFrame, cleaned: DataFrame, sources: Sequence[str]) -> DataFrame:
+    """Rows read and rows kept for each entry, by its number; ``sources`` names them in order.
 
-    ``sources`` lists the source names in reading order. The position in that list stands
-    in for the name, since the least of an integer stays in a hash aggregate while the
-    least of a string would need a sort.
+    Both are counts of one small column, of the raw files and of the cleaned table as written.
     """
-    position = F.array_position(F.lit(list(sources)), F.col(SOURCE_COLUMN)).cast("int")
-    marked = df.withColumn("source_no", position).drop(SOURCE_COLUMN)
-    kept = normalise(marked, valid_event_types)
-    keys = [c for c in kept.columns if c != "source_no"]
-    first_seen = kept.groupBy(*keys).agg(F.min(F.col("source_no").cast("int")).alias("source_no"))
-    rows_in = marked.groupBy("source_no").agg(F.count("*").alias("rows_in"))
-    rows_out = first_seen.groupBy("source_no").agg(F.count("*").alias("rows_out"))
-    return rows_in.join(rows_out, "source_no", "left").select(
-        F.element_at(F.lit(list(sources)), F.col("source_no")).alias(SOURCE_COLUMN),
+    rows_in = raw.groupBy(SOURCE_NO).agg(F.count("*").alias("rows_in"))
+    rows_out = cleaned.groupBy(SOURCE_NO).agg(F.count("*").alias("rows_out"))
+    return rows_in.join(rows_out, SOURCE_NO, "left").select(
+        SOURCE_NO,
+        F.get(F.lit(list(sources)), F.col(SOURCE_NO)).alias(SOURCE_COLUMN),
         "rows_in",
         F.coalesce("rows_out", F.lit(0).cast("long")).alias("rows_out"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
@@ -22,26 +22,13 @@ from basketry.settings import FEATURES, MODEL_DEFAULTS, MODELS, SEED, TARGET, TR
 # MLlib's deepest tree, standing in for "no limit".
 DEEPEST = 30
 
-# MLlib looks for split points in a sample of max_bins^2 rows (an int, hence the upper end).
-FEWEST_BINS, MOST_BINS = 128, 46_340
-
-# Feature levels: eighths below the first number, then steps of the second.
-EXACT_BELOW, LEVEL_STEP = 64, 1.05
+# Most split points of a feature, unless a model asks for another number. MLlib looks for them
+# among max_bins^2 rows, here a million; a feature with fewer values has a point between any two.
+MAX_BINS = 1024
 
 _VECTOR = "feature_vector"
 
 
-def level_sql(column: str) -> str:
-    """SQL for a feature's level: order-preserving, exact for small counts, 5 % steps above.
-
-    Counts have long tails, and the few rows far out decide the error of a forecast. Levels
-    keep the number of different values in the hundreds, whatever the largest count is.
-    """
-    size = f"abs(`{column}`)"
-    tail = f"{EXACT_BELOW} + floor(ln({size} / {EXACT_BELOW}) / ln({LEVEL_STEP}))"
-    return f"sign(`{column}`) * if({size} < {EXACT_BELOW}, floor({size} * 8) / 8, {tail})"
-
-
 def training_rows(
     train: DataFrame,
     features: Sequence[str] = FEATURES,
@@ -64,26 +51,10 @@ def training_rows(
 
 
 def _fit(regressor, rows: DataFrame, features: Sequence[str]) -> PipelineModel:
-    """Fit on feature levels, with split points from (nearly) all rows.
-
-    By default MLlib samples some ten thousand rows for its split points. Among billions, the
-    rows of a very popular product are then missing from the sample, no split can set them
-    apart, and they spoil the forecasts of every leaf they end up in. The sample size follows
-    ``max_bins``, and as bins are only kept for values that occur, a few hundred levels stay
-    a few hundred bins.
-    """
+    """Fit on the features as they are."""
     # MLlib writes checkpoints every few trees; this names the folder for them.
     scratch.shared_dir(rows.sparkSession)
-    if not regressor.isSet(regressor.maxBins):
-        bins = math.isqrt(rows.count()) + 1
-        regressor = regressor.setMaxBins(min(MOST_BINS, max(FEWEST_BINS, bins)))
-    levels = [f"_level_{c}" for c in features]
-    columns = ", ".join(f"{level_sql(c)} AS `{name}`" for c, name in zip(features, levels))
-    stages = [
-        SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__"),
-        VectorAssembler(inputCols=levels, outputCol=_VECTOR),
-        regressor,
-    ]
+    stages = [VectorAssembler(inputCols=list(features), outputCol=_VECTOR), regressor]
     return Pipeline(stages=stages).fit(rows)
 
 
@@ -96,15 +67,18 @@ def _settings(model: str, params: dict | None, extra: Sequence[str] = ()) -> dic
 
 
 def _with_bins(regressor, params: dict):
-    return regressor.setMaxBins(params["max_bins"]) if "max_bins" in params else regressor
+    return regressor.setMaxBins(params.get("max_bins", MAX_BINS))
 
 
 def _depth(value: int | None) -> int:
-    return DEEPEST if value is None else min(int(value), DEEPEST)
+    """``None`` is the engine's deepest tree; a number beyond that is an error."""
+    if value is not None and value > DEEPEST:
+        raise ValueError(f"max_depth is {DEEPEST} at most; got {value}")
+    return DEEPEST if value is None else int(value)
 
 
 def _forest(rows, features, target, seed, params) -> PipelineModel:
-    p = _settings("random_forest", params)
+    p = _settings("random_forest", params, ("bootstrap",))
     regressor = RandomForestRegressor(
         featuresCol=_VECTOR,
         labelCol=target,
@@ -112,6 +86,7 @@ def _forest(rows, features, target, seed, params) -> PipelineModel:
         maxDepth=_depth(p["max_depth"]),
         minInstancesPerNode=p["min_samples_leaf"],
         featureSubsetStrategy=str(p["max_features"]),
+        bootstrap=p.get("bootstrap", True),
         seed=seed,
     )
     return _fit(_with_bins(regressor, p), rows, features)
@@ -143,17 +118,28 @@ def _depthwise(rows, features, target, seed, params) -> PipelineModel:
 def _leafcap(rows, features, target, seed, params) -> PipelineModel:
     # A leaf limit becomes the depth that holds as many leaves. "subsample" is accepted and
     # has no effect, as row bagging stays off.
-    extra = ("num_leaves", "min_child_samples", "subsample")
+    extra = ("min_child_samples", "subsample")
     p = _settings("gbt_leafcap", params, extra)
-    depth = _depth(p["max_depth"])
-    if "num_leaves" in p:
-        depth = min(depth, math.ceil(math.log2(p["num_leaves"])))
+    depth = min(_depth(p["max_depth"]), math.ceil(math.log2(p["num_leaves"])))
     return _boosted(rows, features, target, seed, p, depth, 1.0, p.get("min_child_samples", 20))
 
 
 _FITTERS = {"random_forest": _forest, "gbt_depthwise": _depthwise, "gbt_leafcap": _leafcap}
 
 
+def _persisted(fit):
+    """Fit on rows that are laid out once and read for every level of every tree."""
+
+    def run(train, features=FEATURES, target=TARGET, seed: int = SEED, params: dict | None = None):
+        rows = training_rows(train, features, target).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return fit(rows, features, target, seed, params)
+        finally:
+            rows.unpersist()
+
+    return run
+
+
 def fit_rows(
     model: str,
     rows: DataFrame,
@@ -166,27 +152,11 @@ def fit_rows(
     return _FITTERS[model](rows, features, target, seed, params)
 
 
-def fit_random_forest(
-    train: DataFrame, features=FEATURES, target=TARGET, seed: int = SEED, params: dict | None = None
-) -> PipelineModel:
-    rows = training_rows(train, features, target)
-    return fit_rows("random_forest", rows, features, target, seed, params)
-
-
-def fit_gbt_depthwise(
-    train: DataFrame, features=FEATURES, target=TARGET, seed: int = SEED, params: dict | None = None
-) -> PipelineModel:
-    """Boosted trees limited by depth, with row and feature sampling."""
-    rows = training_rows(train, features, target)
-    return fit_rows("gbt_depthwise", rows, features, target, seed, params)
-
-
-def fit_gbt_leafcap(
-    train: DataFrame, features=FEATURES, target=TARGET, seed: int = SEED, params: dict | None = None
-) -> PipelineModel:
-    """Boosted trees limited by leaves (as a depth) and rows per leaf."""
-    rows = training_rows(train, features, target)
-    return fit_rows("gbt_leafcap", rows, features, target, seed, params)
+# Boosting is limited by depth, with row and feature sampling, or by leaves (as a depth) and
+# rows per leaf.
+fit_random_forest = _persisted(_forest)
+fit_gbt_depthwise = _persisted(_depthwise)
+fit_gbt_leafcap = _persisted(_leafcap)
 
 
 def fit_all(

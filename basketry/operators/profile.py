@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from basketry import scratch
+from basketry.functions.cells import utc_day, utc_hour
 from basketry.settings import EVENT_TYPES
 
 
@@ -24,12 +26,12 @@ def event_funnel(events: DataFrame) -> DataFrame:
 
 
 def daily_volume(events: DataFrame) -> DataFrame:
-    return events.groupBy(F.to_date("event_time").alias("date")).agg(F.count("*").alias("events"))
+    return events.groupBy(utc_day(F.col("event_time")).alias("date")).agg(F.count("*").alias("events"))
 
 
 def hourly_volume(events: DataFrame) -> DataFrame:
     """Events per UTC hour of the day."""
-    return events.groupBy(F.hour("event_time").alias("hour")).agg(F.count("*").alias("events"))
+    return events.groupBy(utc_hour(F.col("event_time")).alias("hour")).agg(F.count("*").alias("events"))
 
 
 def top_viewed(events: DataFrame, n: int = 20) -> DataFrame:
@@ -46,15 +48,23 @@ def _distinct(events: DataFrame, column: str, name: str) -> DataFrame:
 def eda_summary(events: DataFrame, n: int = 20) -> DataFrame:
     """One row: size, time range, distinct products and users, type counts, funnel, top views.
 
-    Each part is a narrow scan with its own partial aggregate, which beats one aggregate with
-    several distinct counts: that one copies every row per distinct column. The parts come
-    down to single rows, which are stacked and folded instead of being joined.
+    Two scans: one counts by (product, type), and from that small table, written once, come
+    size, range, types, products and top list; the other counts users. The parts come down to
+    single rows, which are stacked and folded instead of being joined.
     """
-    types = events.groupBy("event_type").agg(
-        F.count("*").alias("events"),
-        F.min("event_time").alias("first"),
-        F.max("event_time").alias("last"),
+    counted = scratch.materialise(
+        events.groupBy("product_id", "event_type").agg(
+            F.count("*").alias("n"),
+            F.min("event_time").alias("first"),
+            F.max("event_time").alias("last"),
+        ),
+        "profile",
     )
+    types = counted.groupBy("event_type").agg(
+        F.sum("n").alias("events"), F.min("first").alias("first"), F.max("last").alias("last")
+    )
+    viewed = counted.where("event_type = 'view'").select("product_id", F.col("n").alias("views"))
+    most = viewed.orderBy(F.desc("views"), "product_id").limit(n)
 
     def step(event_type: str):
         found = F.sum(F.when(F.col("event_type") == event_type, F.col("events")))
@@ -70,14 +80,14 @@ def eda_summary(events: DataFrame, n: int = 20) -> DataFrame:
     ranked = F.sort_array(
         F.collect_list(F.struct((-F.col("views")).alias("order"), "product_id", "views"))
     )
-    top = top_viewed(events, n).agg(
+    top = most.agg(
         F.transform(ranked, lambda r: F.struct(r["product_id"], r["views"])).alias(
             "top_viewed_products"
         )
     )
     parts = (
         whole,
-        _distinct(events, "product_id", "unique_products"),
+        _distinct(counted, "product_id", "unique_products"),
         _distinct(events, "user_id", "unique_users"),
         top,
     )

@@ -12,16 +12,10 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from basketry.settings import FEATURES, TARGET
+from basketry.settings import FEATURES, NO_DATA, NO_GOLD, NO_VIEWS, TARGET
 
 Scorer = PipelineModel | Column | None
 
-# A request list within both limits is looked up by broadcast.
-FEW_DAYS = 3_660
-FEW_KEYS = 200_000
-
-NO_DATA = "no data for this product/date combination"
-
 
 def with_prediction(
     df: DataFrame,
@@ -51,30 +45,6 @@ def _answer(prediction: Column, actual: str = TARGET) -> list[Column]:
     ]
 
 
-def _requested(gold: DataFrame, keys: DataFrame) -> tuple[DataFrame, bool]:
-    """Gold rows with a requested key, and whether these are known to be few.
-
-    The keys are counted per day first. A limited number of days becomes a literal list, so
-    that other day folders are not read, and the range of products skips row groups; a limited
-    number of keys is broadcast. Beyond either limit the semi join is left to Spark, which
-    shuffles both sides on the key.
-    """
-    counted = keys.groupBy("date").agg(
-        F.count("*").alias("n"), F.min("product_id").alias("low"), F.max("product_id").alias("high")
-    )
-    per_day = counted.limit(FEW_DAYS + 1).collect()
-    if not per_day:
-        return gold.where(F.lit(False)), True
-    if len(per_day) > FEW_DAYS:
-        return gold.join(keys, ["product_id", "date"], "left_semi"), False
-    low, high = min(r["low"] for r in per_day), max(r["high"] for r in per_day)
-    pruned = gold.where(
-        F.col("date").isin([r["date"] for r in per_day]) & F.col("product_id").between(low, high)
-    )
-    few = sum(r["n"] for r in per_day) <= FEW_KEYS
-    return pruned.join(F.broadcast(keys) if few else keys, ["product_id", "date"], "left_semi"), few
-
-
 def score(
     gold: DataFrame,
     requests: DataFrame,
@@ -85,9 +55,9 @@ def score(
     """Forecast for each requested ``(product_id, date)``; the date is ``yyyy-MM-dd`` text.
 
     A key without a gold row keeps its request, gets 0 and a note. Gold is first cut down to
-    the distinct requested keys, each key is scored once however often it is asked for, and
-    the answers are joined back. With few keys neither gold nor the requests are shuffled;
-    with many, AQE cuts the requests of a hot key into several tasks.
+    the distinct requested keys by a semi join, each key is scored once however often it is
+    asked for, and the answers are joined back. Whether a side is broadcast, which days are
+    read and how a hot key is cut up is left to Spark and what it learns at run time.
     """
     asked = F.col("date")
     day = F.when(
@@ -96,7 +66,7 @@ def score(
     )
     keyed = requests.select("*", day.alias("_day"))
     keys = keyed.select("product_id", F.col("_day").alias("date")).dropna().distinct()
-    hits, few = _requested(gold, keys)
+    hits = gold.join(keys, ["product_id", "date"], "left_semi")
     scored = with_prediction(hits, scorer, features).select(
         "product_id",
         F.col("date").alias("_day"),
@@ -107,9 +77,7 @@ def score(
     found = F.col("prediction").isNotNull()
     used = F.create_map(*[p for c in features for p in (F.lit(c), F.col(f"_used_{c}"))])
     nothing = F.create_map().cast("map<string,double>")
-    # gold has one row per key, so there are no more answers than keys
-    answers = F.broadcast(scored) if few else scored
-    return keyed.join(answers, ["product_id", "_day"], "left").select(
+    return keyed.join(scored, ["product_id", "_day"], "left").select(
         *requests.columns,
         *_answer(F.when(found, F.col("prediction")).otherwise(F.lit(0.0)), "_actual"),
         F.lit(model_name).alias("model_used"),
@@ -155,13 +123,13 @@ def top_predicted(
     model_name: str = "lag1",
     features: Sequence[str] = FEATURES,
 ) -> DataFrame:
-    """The ``limit`` highest forecasts for one gold date, 1 to 100 rows; ties go by product id.
+    """The ``limit`` highest forecasts for one gold date; ties go by product id.
 
-    The date filter reaches the scan. Each task keeps its own best ``limit`` rows, so the
-    closing rank sees at most 100.
+    Each task keeps its own best ``limit`` rows, and the closing rank is a window over those
+    that are left, in one task: ``limit`` is meant for reports, not for whole days.
     """
-    if not 1 <= limit <= 100:
-        raise ValueError("limit must be between 1 and 100")
+    if limit < 1:
+        raise ValueError(f"a report needs at least one row; got limit {limit}")
     day = gold.where(_on_date(date) & _busy_enough(min_views))
     scored = with_prediction(day, scorer, features)
     best = scored.orderBy(F.desc("prediction"), "product_id").limit(limit)
@@ -188,13 +156,13 @@ def top_predicted_status(gold: DataFrame, date: str, min_views: float = 0.0) ->
     )
     stacked = day.unionByName(gold_date_range(gold), allowMissingColumns=True)
     folded = stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])
-    span = F.format_string("{'min_date': '%s', 'max_date': '%s'}", "min_date", "max_date")
-    nothing = F.concat(F.lit(f"no gold rows for date {date}; valid range "), span)
     return folded.select(
         F.lit(date).alias("date"),
         "rows_on_date",
         "rows_kept",
-        F.when(F.col("rows_on_date") == 0, nothing)
-        .when(F.col("rows_kept") == 0, F.lit(f"no products with views >= {min_views} on {date}"))
+        F.when(F.col("rows_on_date") == 0, NO_GOLD.format(date=date))
+        .when(F.col("rows_kept") == 0, NO_VIEWS.format(views=min_views, date=date))
         .alias("note"),
+        "min_date",
+        "max_date",
     )

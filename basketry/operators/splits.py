@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
@@ -74,28 +75,42 @@ def split_calendar(df: DataFrame) -> DataFrame:
     return df.groupBy("date").agg(F.count("*").alias("rows"), label.alias("labelled_rows"))
 
 
-def _days(df: DataFrame) -> dict[dt.date, int]:
-    rows = split_calendar(df).collect()
-    return {r["date"]: r["labelled_rows"] for r in sorted(rows, key=lambda r: r["date"])}
-
-
-def _make(df: DataFrame, days: dict, train: list, test: list, purge: bool = False) -> Split:
-    if purge and LABEL_DATE not in df.columns:
-        raise ValueError(f"purge needs the column {LABEL_DATE}; see with_label_date")
-    split = Split(df, train, test, sum(days[d] for d in train), sum(days[d] for d in test), purge)
-    if purge:
-        kept = split.train.count()
-        split = Split(df, train, test, kept, split.test_rows, purge)
-    return split
+@dataclass(frozen=True)
+class Calendar:
+    """The days of a table, in order, and how many labelled rows each has.
 
+    One row per day comes to the driver. A table read for several splits needs it once.
+    """
 
-def split_first_n(df: DataFrame, train_days: int, test_days: int) -> Split:
+    days: list[dt.date]
+    rows: list[int]
+
+    @classmethod
+    def of(cls, df: DataFrame) -> Calendar:
+        found = sorted((r["date"], r["labelled_rows"]) for r in split_calendar(df).collect())
+        return cls([d for d, _ in found], [n for _, n in found])
+
+    def cut(self, df: DataFrame, train: range, test: range, purge: bool = False) -> Split:
+        """Windows over the days at these positions, which must exist and follow each other."""
+        for side, places in (("training", train), ("test", test)):
+            there = len(range(len(self.days))[places.start : places.stop])
+            if not places or there < len(places):
+                raise ValueError(f"the {side} window has {there} days, not {max(1, len(places))}")
+        if purge and LABEL_DATE not in df.columns:
+            raise ValueError(f"purge needs the column {LABEL_DATE}; see with_label_date")
+        windows = [[self.days[i] for i in places] for places in (train, test)]
+        sizes = [sum(self.rows[i] for i in places) for places in (train, test)]
+        split = Split(df, *windows, *sizes, purge)
+        return replace(split, train_rows=split.train.count()) if purge else split
+
+
+def split_first_n(
+    df: DataFrame, train_days: int, test_days: int, calendar: Calendar | None = None
+) -> Split:
     """The first ``train_days`` distinct dates train, the next ``test_days`` test."""
-    days = _days(df)
-    dates = list(days)
-    if len(dates) < train_days + test_days:
-        raise ValueError(f"Need at least {train_days + test_days} dates; got {len(dates)}")
-    return _make(df, days, dates[:train_days], dates[train_days : train_days + test_days])
+    calendar = calendar or Calendar.of(df)
+    end = train_days + test_days
+    return calendar.cut(df, range(train_days), range(train_days, end))
 
 
 def _as_date(day: str | dt.date) -> dt.date:
@@ -108,19 +123,16 @@ def split_boundary(
     test_start: str | dt.date,
     test_days: int,
     purge: bool = False,
+    calendar: Calendar | None = None,
 ) -> Split:
     """Dates up to ``train_end`` train; the first ``test_days`` dates from ``test_start`` test.
 
     ``purge=True`` drops the training rows whose target was observed inside the test window.
     """
     last, first = _as_date(train_end), _as_date(test_start)
-    if last >= first:
-        raise ValueError(f"train_end {last} must come before test_start {first}")
-    days = _days(df)
-    test = [d for d in days if d >= first][:test_days]
-    if len(test) < test_days:
-        raise ValueError(f"Need {test_days} test dates from {first}; got {len(test)}")
-    train = [d for d in days if d <= last]
-    if not train:
-        raise ValueError(f"No train dates on or before {last}")
-    return _make(df, days, train, test, purge)
+    if first <= last:
+        raise ValueError(f"the windows overlap: training ends {last}, the test starts {first}")
+    calendar = calendar or Calendar.of(df)
+    begin = bisect_left(calendar.days, first)
+    known = range(bisect_right(calendar.days, last))
+    return calendar.cut(df, known, range(begin, begin + test_days), purge)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from basketry.functions.cells import utc_hour
 from basketry.settings import EVENT_TYPES
 
 _TOTALS = {
@@ -82,7 +83,7 @@ def avg_purchase_price(events: DataFrame) -> DataFrame:
 def _hourly(events: DataFrame) -> DataFrame:
     """Everything the summary needs that adds up over the hours of the day."""
     bought = F.when(F.col("event_type") == "purchase", F.col("price"))
-    return events.groupBy("product_id", F.hour("event_time").alias("hour")).agg(
+    return events.groupBy("product_id", utc_hour(F.col("event_time")).alias("hour")).agg(
         *_totals(), F.sum(bought).alias("spent")
     )
 
@@ -98,7 +99,7 @@ def _peak_hour():
 
 
 def peak_view_hour(events: DataFrame) -> DataFrame:
-    hourly = events.groupBy("product_id", F.hour("event_time").alias("hour")).agg(_totals()[0])
+    hourly = events.groupBy("product_id", utc_hour(F.col("event_time")).alias("hour")).agg(_totals()[0])
     return hourly.groupBy("product_id").agg(_peak_hour())
 
 

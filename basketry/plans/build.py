@@ -12,12 +12,12 @@ from basketry.operators.summary import product_summary
 from basketry.session import prepare
 from basketry.settings import ROLLING_WINDOW
 from basketry.sources import tables
-from basketry.sources.bronze import read_bronze, source_name
+from basketry.sources.bronze import SOURCE_NO, entries, read_bronze, source_name
 
 
 def build_silver(
     spark: SparkSession,
-    paths: Sequence[str],
+    paths: str | Sequence[str],
     silver: str,
     log: str | None = None,
     valid_event_types: Iterable[str] | None = None,
@@ -25,15 +25,15 @@ def build_silver(
 ) -> DataFrame:
     """Clean raw files into the silver table and return it.
 
-    With ``log`` the rows read and kept per file are appended there. They are counted from
-    the files in a pass of their own: counters kept during the write would count a task
-    twice when its executor is lost.
+    With ``log`` the rows read and kept per entry are appended there. Rows are cleaned once:
+    the kept ones are counted in the written table, by the entry number that each row carries.
     """
     raw = read_bronze(prepare(spark), paths, limit_per_file)
-    tables.write_silver(clean_events(raw, valid_event_types), silver)
+    tables.write_silver(clean_events(raw, valid_event_types, keep_source=True), silver)
     if log is not None:
-        names = [source_name(p) for p in paths]
-        stats = cleaning_stats(raw, names, valid_event_types)
+        names = [source_name(p) for p in entries(paths)]
+        written = spark.read.parquet(silver)
+        stats = cleaning_stats(raw.select(SOURCE_NO), written.select(SOURCE_NO), names)
         tables.append_run_log(stats.withColumn("silver", F.lit(silver)), log, "clean")
     return tables.read_silver(spark, silver)
 

@@ -6,6 +6,7 @@ compare exactly with the SQL in ``checks``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -26,7 +27,7 @@ from basketry.operators import (
     summary,
     tuning,
 )
-from basketry.plans import experiments, testdata
+from basketry.plans import analysis, experiments, testdata
 from basketry.session import prepare
 from basketry.settings import EVENT_COLUMNS, FEATURES, TARGET
 from basketry.sources import bronze, tables
@@ -43,20 +44,42 @@ CLICK_EXPERIMENTS = {
 # The sparse stream has years of days.
 LINE_EXPERIMENT = {"train_end": "2000-12-31", "test_start": "2001-01-01", "test_days": 90}
 
-# Small tree settings: the defaults are for real training runs.
-SMALL_TREES = {
-    "random_forest": {"n_estimators": 10, "max_depth": 5},
-    "gbt_depthwise": {"n_estimators": 5, "max_depth": 4},
-    "gbt_leafcap": {"n_estimators": 5, "num_leaves": 15},
+# One split over all rows and features: what SQL can check to the last digit. Runs at the
+# defaults are in the bench.
+STUMPS = {
+    "random_forest": {
+        "n_estimators": 1,
+        "max_depth": 1,
+        "max_features": "all",
+        "bootstrap": False,
+        "min_samples_leaf": 5,
+    },
+    "gbt_depthwise": {"n_estimators": 1, "max_depth": 1, "subsample": 1.0, "colsample": "all"},
+    "gbt_leafcap": {"n_estimators": 1, "num_leaves": 2, "colsample": "all", "min_child_samples": 20},
 }
-TINY_TREES = {
-    "random_forest": {"n_estimators": 5, "max_depth": 4},
-    "gbt_depthwise": {"n_estimators": 2, "max_depth": 3},
-    "gbt_leafcap": {"n_estimators": 2, "num_leaves": 8},
-}
-SMALL_SPACES = {
-    "random_forest": {"n_estimators": [5, 10], "max_depth": [3, 5], "max_features": ["sqrt", 0.5]},
-    "gbt_depthwise": {"n_estimators": [3, 5], "learning_rate": [0.1, 0.2], "max_depth": [2, 3]},
+# Rows that each side of a stump needs.
+STUMP_LEAVES = {"random_forest": 5, "gbt_depthwise": 1, "gbt_leafcap": 20}
+STUMP_SPACES = {
+    "random_forest": {
+        "n_estimators": [1],
+        "max_depth": [1],
+        "max_features": ["all"],
+        "bootstrap": [False],
+        "min_samples_leaf": [2, 10, 20],
+    },
+    "gbt_depthwise": {
+        "n_estimators": [1],
+        "max_depth": [1],
+        "subsample": [1.0],
+        "colsample": ["all"],
+        "learning_rate": [0.05, 0.1, 0.2],
+    },
+    "gbt_leafcap": {
+        "n_estimators": [1],
+        "num_leaves": [2],
+        "colsample": ["all"],
+        "min_child_samples": [5, 15, 25],
+    },
 }
 
 # Weights of a fixed linear scorer, in feature order.
@@ -97,8 +120,21 @@ def _line_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold written once, for queries that read it several times."""
-    return scratch.materialise(_gold(spark, sf_dir), "gold")
+    """Gold written once, by day, for queries that read it several times or pick days."""
+    return _by_day(_gold(spark, sf_dir))
+
+
+def _by_day(gold: DataFrame) -> DataFrame:
+    path = scratch.scratch_path(gold.sparkSession, "gold")
+    tables.write_gold(gold, path, by_day=True)
+    return tables.read_gold(gold.sparkSession, path).select(*gold.columns)
+
+
+def _line_gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of the sparse stream, written in date order: with years of small days, a folder for
+    each would be thousands of tiny files, while row groups in order are skipped just as well."""
+    ordered = _line_gold(spark, sf_dir).repartitionByRange("date")
+    return scratch.materialise(ordered.sortWithinPartitions("date", "product_id"), "gold")
 
 
 def _split(spark: SparkSession, sf_dir: str, name: str = "e_final") -> splits.Split:
@@ -107,21 +143,23 @@ def _split(spark: SparkSession, sf_dir: str, name: str = "e_final") -> splits.Sp
 
 
 def _line_split(spark: SparkSession, sf_dir: str) -> splits.Split:
-    gold = splits.labelled(scratch.materialise(_line_gold(spark, sf_dir), "gold"))
+    gold = splits.labelled(_line_gold_table(spark, sf_dir))
     return experiments.make_split(gold, LINE_EXPERIMENT)
 
 
 def _forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows of the last experiment with the moving-average forecast as the prediction."""
-    return baselines.with_baselines(_split(spark, sf_dir)).withColumnRenamed(
-        "pred_ma7", "prediction"
-    )
+    return _forecast_of(_split(spark, sf_dir))
 
 
 def _line_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return baselines.with_baselines(_line_split(spark, sf_dir)).withColumnRenamed(
-        "pred_ma7", "prediction"
-    )
+    return _forecast_of(_line_split(spark, sf_dir))
+
+
+def _forecast_of(split: splits.Split) -> DataFrame:
+    # written, since the reports read it for ranges and quantiles first
+    forecast = baselines.with_baselines(split).withColumnRenamed("pred_ma7", "prediction")
+    return scratch.materialise(forecast.select(TARGET, "prediction", "views"), "forecast")
 
 
 def _sides(split: splits.Split) -> DataFrame:
@@ -184,8 +222,12 @@ def clean_all(spark, sf_dir):
 
 
 def clean_stats(spark, sf_dir):
-    raw = testdata.dirty_bronze(spark, sf_dir).drop("event_id")
-    return cleaning.cleaning_stats(raw, ["first-half", "second-half"])
+    """Three entries, two of them of one name."""
+    half = F.when(F.col("source_file") == "first-half", 0)
+    number = half.when(F.col("event_id").cast("long") % 2 == 0, 1).otherwise(2)
+    raw = testdata.dirty_bronze(spark, sf_dir).withColumn(bronze.SOURCE_NO, number).drop("event_id")
+    cleaned = scratch.materialise(cleaning.clean_events(raw, keep_source=True), "cleaned")
+    return cleaning.cleaning_stats(raw, cleaned, ["first-half", "second-half", "second-half"])
 
 
 # -- sources and sinks ---------------------------------------------------------------------
@@ -213,12 +255,21 @@ def _write_bronze(spark: SparkSession, sf_dir: str) -> list[str]:
 
 
 def bronze_scan(spark, sf_dir):
-    return cleaning.null_tokens(bronze.read_bronze(spark, _write_bronze(spark, sf_dir)))
+    raw = bronze.read_bronze(spark, _write_bronze(spark, sf_dir))
+    return cleaning.null_tokens(raw).drop(bronze.SOURCE_NO)
 
 
 def bronze_limit(spark, sf_dir):
-    rows = bronze.read_bronze(spark, _write_bronze(spark, sf_dir), limit_per_file=500)
-    return rows.groupBy("source_file").agg(F.count("*").alias("rows"))
+    """The first rows of eight files, each in the order of its event ids."""
+    root = scratch.scratch_path(spark, "bronze")
+    raw = testdata.dirty_bronze(spark, sf_dir).drop("source_file")
+    part = (F.col("event_id").cast("long") % 8).cast("int")
+    order = [F.col("event_id").cast("long"), "event_type"]
+    rows = raw.withColumn("part", part).repartition("part").sortWithinPartitions("part", *order)
+    rows.write.partitionBy("part").option("escape", '"').csv(root, header=True)
+    paths = [f"{root}/part={i}" for i in range(8)]
+    limited = bronze.read_bronze(spark, paths, limit_per_file=50)
+    return limited.select(_event_id(), bronze.SOURCE_NO)
 
 
 def silver_roundtrip(spark, sf_dir):
@@ -240,7 +291,7 @@ def run_log(spark, sf_dir):
     gold_rows = _gold(spark, sf_dir).agg(F.count("*").alias("product_by_day_rows"))
     tables.append_run_log(gold_rows, path, "build_features")
     return spark.read.json(path).select(
-        "stage", "source_file", "rows_in", "rows_out", "product_by_day_rows"
+        "stage", "source_no", "source_file", "rows_in", "rows_out", "product_by_day_rows"
     )
 
 
@@ -269,16 +320,13 @@ def experiment_results(spark, sf_dir):
 def model_roundtrip(spark, sf_dir):
     split = _split(spark, sf_dir)
     path = scratch.scratch_path(spark, "model")
-    fitted = models.fit_random_forest(split.train, params=SMALL_TREES["random_forest"])
+    fitted = models.fit_random_forest(split.train, params=STUMPS["random_forest"])
     tables.save_model(fitted, path)
-    loaded = tables.load_model(path)
-    both = scoring.with_prediction(split.test, fitted, name="fitted")
-    both = scoring.with_prediction(both, loaded, name="loaded")
+    both = scoring.with_prediction(split.test, tables.load_model(path))
     means = scratch.scratch_path(spark, "means")
     baselines.product_means(split.train).write.parquet(means)
     both = both.join(spark.read.parquet(means), "product_id", "left")
-    same = F.col("fitted") == F.col("loaded")
-    return both.select("product_id", "date", same.alias("same_forecast"), "mean")
+    return both.select("product_id", "date", "prediction", "mean")
 
 
 def streaming_ingest(spark, sf_dir):
@@ -306,6 +354,14 @@ def _on_line_gold(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(_line_gold(spark, sf_dir))
 
 
+def _on_gold_table(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: operator(_gold_table(spark, sf_dir))
+
+
+def _on_line_gold_table(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: operator(_line_gold_table(spark, sf_dir))
+
+
 def _on_forecast(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(_forecast(spark, sf_dir))
 
@@ -351,7 +407,8 @@ def _purged_split(spark, sf_dir):
 
 
 def _folds_of(gold: DataFrame, n_splits: int = 3, by_date: bool = False) -> DataFrame:
-    rows = splits.labelled(scratch.materialise(gold, "gold"))
+    ordered = gold.repartitionByRange("date").sortWithinPartitions("date", "product_id")
+    rows = splits.labelled(scratch.materialise(ordered, "gold"))
     folded = folds.time_folds(rows, n_splits, by_date)
     return folded.select("product_id", "date", folds.FOLD_COLUMN)
 
@@ -399,7 +456,7 @@ def _fit_query(model: str) -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         split = _split(spark, sf_dir, "e1")
-        fitted = fit(split.train, params=SMALL_TREES[model])
+        fitted = fit(split.train, params=STUMPS[model])
         scored = scoring.with_prediction(split.test, fitted)
         return scored.select("product_id", "date", TARGET, "prediction")
 
@@ -407,16 +464,16 @@ def _fit_query(model: str) -> Query:
 
 
 def _evaluate_models(spark, sf_dir):
-    return models.evaluate_models(_split(spark, sf_dir, "e1"), params=SMALL_TREES)[0]
+    return models.evaluate_models(_split(spark, sf_dir, "e1"), params=STUMPS)[0]
 
 
 def _evaluate_models_lineitem(spark, sf_dir):
-    return models.evaluate_models(_line_split(spark, sf_dir), params=SMALL_TREES)[0]
+    return models.evaluate_models(_line_split(spark, sf_dir), params=STUMPS)[0]
 
 
 def _run_experiments(spark, sf_dir):
     gold = _gold_table(spark, sf_dir)
-    run = experiments.run_experiments(gold, CLICK_EXPERIMENTS, params=TINY_TREES)
+    run = experiments.run_experiments(gold, CLICK_EXPERIMENTS, params=STUMPS)
     root = scratch.scratch_path(spark, "run")
     experiments.save_run(run, root)
     return tables.read_results(spark, f"{root}/results").select(
@@ -426,7 +483,7 @@ def _run_experiments(spark, sf_dir):
 
 def _tune(spark, sf_dir):
     split = _split(spark, sf_dir)
-    found = tuning.tune(split.train, SMALL_SPACES, n_iter=2, n_splits=2)
+    found = tuning.tune(split.train, STUMP_SPACES, n_iter=2)
     return found.trials.select("model", "trial", "params", "cv_mae", "is_best")
 
 
@@ -438,12 +495,9 @@ def _attribution(split: splits.Split) -> DataFrame:
 
 def _attribution_model(spark, sf_dir):
     split = _split(spark, sf_dir)
-    forest = models.fit_random_forest(split.train, params=SMALL_TREES["random_forest"])
+    stump = models.fit_random_forest(split.train, params=STUMPS["random_forest"])
     sample = attr.attribution_sample(split.test)
-    rows = attr.attribution(forest, sample, attr.background_rows(split.train, 5))
-    parts = sum((F.col(f"phi_{c}") for c in FEATURES), F.col("base_value"))
-    adds_up = F.abs(parts - F.col("prediction")) < 1e-9
-    return rows.select("product_id", "date", adds_up.alias("adds_up"))
+    return attr.attribution(stump, sample, attr.background_rows(split.train))
 
 
 # -- scoring -------------------------------------------------------------------------------
@@ -464,7 +518,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _predict_lookup(spark, sf_dir):
-    answers = scoring.score(_gold(spark, sf_dir), requests(spark, sf_dir))
+    answers = scoring.score(_gold_table(spark, sf_dir), requests(spark, sf_dir))
     used = [F.col("features_used")[c].alias(f"used_{c}") for c in FEATURES]
     return answers.select(*[c for c in answers.columns if c != "features_used"], *used)
 
@@ -476,26 +530,27 @@ def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _predict_lookup_lineitem(spark, sf_dir):
-    answers = scoring.score(_line_gold(spark, sf_dir), order_requests(spark, sf_dir))
+    answers = scoring.score(_line_gold_table(spark, sf_dir), order_requests(spark, sf_dir))
     return answers.drop("features_used")
 
 
 def _predict_lookup_model(spark, sf_dir):
-    split = _split(spark, sf_dir)
-    forest = models.fit_random_forest(split.train, params=SMALL_TREES["random_forest"])
-    return scoring.score(
-        _gold(spark, sf_dir), requests(spark, sf_dir), forest, "random_forest"
-    ).drop("features_used")
+    gold = _gold_table(spark, sf_dir)
+    split = experiments.make_split(splits.labelled(gold), CLICK_EXPERIMENTS["e_final"])
+    stump = models.fit_random_forest(split.train, params=STUMPS["random_forest"])
+    answers = scoring.score(gold, requests(spark, sf_dir), stump, "random_forest")
+    return answers.drop("features_used")
 
 
 def _top_predicted_model(spark, sf_dir):
-    split = _split(spark, sf_dir)
-    forest = models.fit_random_forest(split.train, params=SMALL_TREES["random_forest"])
-    return scoring.top_predicted(_gold(spark, sf_dir), TOP_DATE, forest, model_name="random_forest")
+    gold = _gold_table(spark, sf_dir)
+    split = experiments.make_split(splits.labelled(gold), CLICK_EXPERIMENTS["e_final"])
+    stump = models.fit_random_forest(split.train, params=STUMPS["random_forest"])
+    return scoring.top_predicted(gold, TOP_DATE, stump, model_name="random_forest")
 
 
 def _top_predicted_status(spark, sf_dir):
-    gold = _gold(spark, sf_dir)
+    gold = _gold_table(spark, sf_dir)
     asked = [(TOP_DATE, 0.0), (TOP_DATE, 1e9), ("2099-01-01", 0.0), ("soon", 0.0)]
     frames = [scoring.top_predicted_status(gold, day, views) for day, views in asked]
     out = frames[0]
@@ -504,6 +559,32 @@ def _top_predicted_status(spark, sf_dir):
     return out
 
 
+def _analysis(spark, sf_dir):
+    """The served model of a run, looked at on its test window: summary and activity groups."""
+    gold, root = _gold_table(spark, sf_dir), scratch.scratch_path(spark, "analysed")
+    run = experiments.run_experiments(gold, CLICK_EXPERIMENTS, params=STUMPS)
+    experiments.save_run(run, root)
+    reports = analysis.analyse(gold, root, CLICK_EXPERIMENTS, f"{root}/log")
+    logged = spark.read.json(f"{root}/log").agg(F.count("*").alias("log_rows"))
+    activity = reports["activity"].groupBy().pivot("activity", list(residuals.ACTIVITY_LABELS))
+    counts = reports["histogram"].agg(F.sum("residuals").alias("in_histogram"))
+    # four single rows, stacked and folded
+    stacked = reports["summary"]
+    for row in (activity.agg(F.first("mae")), counts, logged):
+        stacked = stacked.unionByName(row, allowMissingColumns=True)
+    return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])
+
+
+def _best_params(spark, sf_dir):
+    """Best parameters as a later run reads them back."""
+    split, root = _split(spark, sf_dir), scratch.scratch_path(spark, "tuned")
+    found = tuning.tune(split.train, STUMP_SPACES, n_iter=2)
+    experiments.save_search(found, root, f"{root}/log")
+    best = experiments.load_best_params(spark, root)
+    rows = [(model, json.dumps(params, sort_keys=True)) for model, params in best.items()]
+    return spark.createDataFrame(rows, "model string, params string")
+
+
 def _comparison(spark, sf_dir):
     results = experiments.baseline_results(_gold_table(spark, sf_dir), CLICK_EXPERIMENTS)
     return residuals.experiment_comparison(results, [*CLICK_EXPERIMENTS, "e_final_tuned"])
@@ -584,6 +665,8 @@ _QUERIES: dict[str, Query] = {
     "evaluate_models_lineitem": _evaluate_models_lineitem,
     "run_experiments": _run_experiments,
     "tune_models": _tune,
+    "best_params_roundtrip": _best_params,
+    "analysis_run": _analysis,
     # attribution
     "attribution_sample": lambda s, d: attr.attribution_sample(
         _line_split(s, d).test.select("product_id", "date", *FEATURES)
@@ -601,11 +684,11 @@ _QUERIES: dict[str, Query] = {
     "top_products": _on_gold(scoring.top_products),
     "top_products_lineitem": _on_line_gold(scoring.top_products),
     "gold_date_range": _on_gold(scoring.gold_date_range),
-    "top_predicted_baseline": _on_gold(
+    "top_predicted_baseline": _on_gold_table(
         lambda g: scoring.top_predicted(g, TOP_DATE, limit=25, min_views=1.0)
     ),
     "top_predicted_model": _top_predicted_model,
-    "top_predicted_lineitem": _on_line_gold(
+    "top_predicted_lineitem": _on_line_gold_table(
         lambda g: scoring.top_predicted(g, LINE_DATE, linear_scorer(), 100, model_name="linear")
     ),
     "top_predicted_status": _top_predicted_status,

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import json
+
+from basketry.functions.ordering import SAMPLE_PRIME, sample_factors
 from basketry.plans.catalog import (
     CLICK_EXPERIMENTS,
     LINE_DATE,
     LINE_EXPERIMENT,
     LINEAR_WEIGHTS,
+    STUMP_LEAVES,
+    STUMP_SPACES,
     TOP_DATE,
 )
-from basketry.settings import EVENT_COLUMNS, FEATURES, NA_TOKENS
+from basketry.operators.tuning import draw_params
+from basketry.settings import EVENT_COLUMNS, FEATURES, NA_TOKENS, SEARCH_FOLDS, TREE_MODELS
 
 _DAY = "strftime({}, '%Y-%m-%d')"
 _STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
@@ -194,15 +200,16 @@ _EVENT_OUT = ", ".join(
 )
 _CLEAN_OUT = f"SELECT {_EVENT_OUT}, {_DAY.format('event_time')} AS date FROM single"
 
+_SOURCE_NO = "CASE WHEN source_file = 'first-half' THEN 0 WHEN event_id % 2 = 0 THEN 1 ELSE 2 END"
 _STATS = f"""{_NORMAL},
 credited AS (
-  SELECT min(source_file) AS source_file FROM normal GROUP BY {", ".join(EVENT_COLUMNS)}
+  SELECT min({_SOURCE_NO}) AS source_no FROM normal GROUP BY {", ".join(EVENT_COLUMNS)}
 ),
 stats AS (
-  SELECT source_file, rows_in, coalesce(rows_out, 0) AS rows_out
-  FROM (SELECT source_file, count(*) AS rows_in FROM raw GROUP BY 1)
-  LEFT JOIN (SELECT source_file, count(*) AS rows_out FROM credited GROUP BY 1)
-    USING (source_file)
+  SELECT source_no, ['first-half', 'second-half', 'second-half'][source_no + 1] AS source_file,
+         rows_in, coalesce(rows_out, 0) AS rows_out
+  FROM (SELECT {_SOURCE_NO} AS source_no, count(*) AS rows_in FROM raw GROUP BY 1)
+  LEFT JOIN (SELECT source_no, count(*) AS rows_out FROM credited GROUP BY 1) USING (source_no)
 )"""
 
 
@@ -296,6 +303,62 @@ def _long(name: str) -> str:
     )
 
 
+def _stump(name: str, train: str, least: int) -> str:
+    """CTE ``stump_<name>``: the split (feature, cut) and the two means of a tree of depth one.
+
+    A cut lies halfway between two values that follow each other. The best one explains most of
+    the variance of ``y``, that is, it has the largest sum of squared sums by size.
+    """
+    values = " UNION ALL ".join(
+        f"SELECT {i} AS place, '{c}' AS f, coalesce(CAST({c} AS DOUBLE), 0) AS v, y FROM ({train})"
+        for i, c in enumerate(FEATURES)
+    )
+    return f"""
+points_{name} AS (
+  SELECT place, f, v, count(*) AS n, sum(y) AS s FROM ({values}) GROUP BY ALL
+),
+cuts_{name} AS (
+  SELECT place, f, (v + lead(v) OVER w) / 2 AS cut, sum(n) OVER w AS n, sum(s) OVER w AS s,
+    sum(n) OVER (PARTITION BY f) AS all_n, sum(s) OVER (PARTITION BY f) AS all_s
+  FROM points_{name} WINDOW w AS (PARTITION BY f ORDER BY v)
+),
+stump_{name} AS (
+  SELECT f, cut, s / n AS below, (all_s - s) / (all_n - n) AS above
+  FROM cuts_{name} WHERE cut IS NOT NULL AND n >= {least} AND all_n - n >= {least}
+  ORDER BY s * s / n + (all_s - s) * (all_s - s) / (all_n - n) DESC, place, cut LIMIT 1
+)"""
+
+
+def _stump_value(stump: str) -> str:
+    """Forecast of a stump for the columns in scope."""
+    fields = " ".join(f"WHEN '{c}' THEN coalesce(CAST({c} AS DOUBLE), 0)" for c in FEATURES)
+    parts = {c: f"(SELECT {c} FROM stump_{stump})" for c in ("f", "cut", "below", "above")}
+    return (
+        f"CASE WHEN CASE {parts['f']} {fields} END <= {parts['cut']} "
+        f"THEN {parts['below']} ELSE {parts['above']} END"
+    )
+
+
+def _train(name: str) -> str:
+    return f"SELECT *, CAST(purchases_next_day AS DOUBLE) AS y FROM sides_{name} WHERE side = 'train'"
+
+
+def _stumps(name: str, models=TREE_MODELS) -> str:
+    """Stumps of the tree models on one split, and its forecasts with theirs added."""
+    stumps = "," .join(_stump(f"{name}_{m}", _train(name), STUMP_LEAVES[m]) for m in models)
+    columns = ", ".join(f"{_stump_value(f'{name}_{m}')} AS pred_{m}" for m in models)
+    return f"{stumps},\ntrees_{name} AS (SELECT *, {columns} FROM forecast_{name})"
+
+
+def _all_measured(name: str) -> str:
+    """Measures of all six forecasts of one split."""
+    long = " UNION ALL ".join(
+        f"SELECT '{m}' AS model, {place} AS place, y, pred_{m} AS p FROM trees_{name}"
+        for place, m in enumerate(("lag1", "ma7", "hist_mean", *TREE_MODELS))
+    )
+    return f"SELECT model, place, {_MEASURES} FROM ({long}) GROUP BY model, place"
+
+
 _MEASURES = """count(*) AS n, avg(abs(y - p)) AS mae, sqrt(avg((y - p) * (y - p))) AS rmse,
   avg(abs(y - p) / abs(y)) FILTER (y <> 0) * 100 AS mape,
   CASE WHEN count(*) <= 1 THEN NULL
@@ -366,10 +429,13 @@ FROM labelled JOIN numbered USING (date)"""
 
 
 def _hash(seed: int) -> str:
-    return (
-        f"(((product_id * 7919 + (date - DATE '1970-01-01') * 104729 + {seed}) % 1000003) "
-        "+ 1000003) % 1000003"
+    """The sample's key hash: two rounds modulo a prime in 128-bit whole numbers."""
+    p, (a, b, c, d) = SAMPLE_PRIME, sample_factors(seed)
+    first = (
+        f"((((product_id::HUGEINT % {p} + {p}) % {p}) * {a}::HUGEINT % {p}"
+        f" + (date - DATE '1970-01-01' + 1000000)::HUGEINT * {b}::HUGEINT % {p} + {c}) % {p})"
     )
+    return f"(({first} * {first} % {p}) * {d}::HUGEINT % {p})"
 
 
 _SCORE = " + ".join(f"{w} * CAST({c} AS DOUBLE)" for c, w in zip(FEATURES, LINEAR_WEIGHTS))
@@ -455,6 +521,150 @@ cuts AS (SELECT quantile_cont(CAST(views AS DOUBLE), 0.33::DOUBLE) AS q33,
     )
 
 
+def _fit(model: str) -> str:
+    return _with(
+        f"{_CLICK_GOLD},{_split('e1', _E1)},{_stumps('e1', (model,))}",
+        f"SELECT product_id, {_DAY.format('date')} AS date, purchases_next_day, "
+        f"round(pred_{model}, 6) AS prediction FROM trees_e1",
+    )
+
+
+_RUN = f"{_ON_ALL},{_stumps('e1')},{_stumps('e2')},{_stumps('e_final')}"
+_RUN_RESULTS = " UNION ALL ".join(
+    f"""SELECT '{e}' AS experiment, *,
+  (SELECT count(*) FROM sides_{e} WHERE side = 'train') AS train_rows,
+  (SELECT count(*) FROM sides_{e} WHERE side = 'test') AS test_rows FROM ({_all_measured(e)})"""
+    for e in CLICK_EXPERIMENTS
+)
+
+
+def _run_experiments() -> str:
+    return _with(
+        f"""{_RUN},
+results AS ({_RUN_RESULTS})""",
+        f"SELECT experiment, model, {_ROUNDED}, train_rows, test_rows, row_number() OVER "
+        "(PARTITION BY experiment ORDER BY results.mae, place) = 1 AS is_best FROM results",
+    )
+
+
+def _analysis_run() -> str:
+    """The best tree of e_final on its test window."""
+    served = " ".join(f"WHEN '{m}' THEN pred_{m}" for m in TREE_MODELS)
+    trees = ", ".join(f"'{m}'" for m in TREE_MODELS)
+    return _with(
+        f"""{_ON_ALL},{_stumps('e_final')},
+served AS (
+  SELECT model FROM ({_all_measured("e_final")}) WHERE model IN ({trees}) ORDER BY mae, place LIMIT 1
+),
+errors AS (
+  SELECT y - CASE (SELECT model FROM served) {served} END AS r, views FROM trees_e_final
+),
+cuts AS (SELECT quantile_cont(CAST(views AS DOUBLE), 0.33::DOUBLE) AS q33,
+                quantile_cont(CAST(views AS DOUBLE), 0.66::DOUBLE) AS q66 FROM errors)""",
+        "SELECT (SELECT model FROM served) AS model_name, 'e_final' AS split, count(*) AS n_test, "
+        "round(avg(abs(r)), 6) AS mae, round(sqrt(avg(r * r)), 6) AS rmse, "
+        "round(avg(r), 6) AS mean_residual, "
+        "round(avg(abs(r)) FILTER (views <= q33), 6) AS low_views, "
+        "round(avg(abs(r)) FILTER (views > q33 AND views <= q66), 6) AS medium_views, "
+        "round(avg(abs(r)) FILTER (views > q66), 6) AS high_views, "
+        "count(*) AS in_histogram, CAST(1 AS BIGINT) AS log_rows FROM errors, cuts",
+    )
+
+
+_LEAF_PARAMETER = {"random_forest": "min_samples_leaf", "gbt_leafcap": "min_child_samples"}
+
+
+def _search() -> str:
+    """Every trial of the search: draws, fold errors of the stump, their mean, the best."""
+    start = f"n - {SEARCH_FOLDS} * (n // {SEARCH_FOLDS + 1})"
+    size = f"(n // {SEARCH_FOLDS + 1})"
+    trials = [
+        (m, i, params, params.get(_LEAF_PARAMETER.get(m), 1))
+        for m, space in STUMP_SPACES.items()
+        for i, params in enumerate(draw_params(space, 2))
+    ]
+    leaves = sorted({t[3] for t in trials})
+    stumps, errors = [], []
+    for leaf in leaves:
+        for fold in range(SEARCH_FOLDS):
+            train = f"SELECT * FROM places WHERE i < {start} + {fold} * {size}"
+            stumps.append(_stump(f"t{leaf}_{fold}", train, leaf))
+            errors.append(
+                f"SELECT {leaf} AS leaf, avg(abs(y - {_stump_value(f't{leaf}_{fold}')})) AS mae "
+                f"FROM places WHERE i >= {start} + {fold} * {size} AND i < {start} + {fold + 1} * {size}"
+            )
+    listed = ", ".join(
+        f"('{m}', {i}, '{json.dumps(params, sort_keys=True)}', {leaf})" for m, i, params, leaf in trials
+    )
+    return f"""{_ON_FINAL},
+places AS (
+  SELECT *, CAST(purchases_next_day AS DOUBLE) AS y,
+    row_number() OVER (ORDER BY date, product_id) - 1 AS i, count(*) OVER () AS n
+  FROM sides_f WHERE side = 'train'
+),{",".join(stumps)},
+means AS (SELECT leaf, avg(mae) AS cv FROM ({" UNION ALL ".join(errors)}) GROUP BY leaf),
+trials AS (
+  SELECT t.model, t.trial, t.params, cv,
+    row_number() OVER (PARTITION BY t.model ORDER BY round(cv, 12), t.trial) = 1 AS is_best
+  FROM (VALUES {listed}) t(model, trial, params, leaf) JOIN means USING (leaf)
+)"""
+
+
+_STUMP_ON_FINAL = f"{_ON_FINAL},{_stumps('f', ('random_forest',))}"
+
+
+def _stump_shapley() -> str:
+    """A stump looks at one feature, which gets the whole difference to the mean forecast."""
+    value = _stump_value("f_random_forest")
+    phi = ", ".join(
+        f"round(CASE WHEN (SELECT f FROM stump_f_random_forest) = '{c}' "
+        f"THEN p - base_value ELSE 0 END, 6) AS phi_{c}"
+        for c in FEATURES
+    )
+    return _with(
+        f"""{_STUMP_ON_FINAL},
+sample AS (
+  SELECT *, {value} AS p FROM (SELECT * FROM sides_f WHERE side = 'test'
+  ORDER BY {_hash(42)}, product_id, date LIMIT 5000)
+),
+centre AS (
+  SELECT avg({value}) AS base_value FROM (SELECT * FROM sides_f WHERE side = 'train'
+  ORDER BY {_hash(43)}, product_id, date LIMIT 50)
+)""",
+        f"SELECT product_id, {_DAY.format('date')} AS date, round(base_value, 6) AS base_value, "
+        f"round(p, 6) AS prediction, {phi} FROM sample, centre",
+    )
+
+
+def _stump_lookup() -> str:
+    value = _stump_value("f_random_forest")
+    return _with(
+        f"""{_STUMP_ON_FINAL},{_REQUESTS},
+scored AS (SELECT product_id, strftime(date, '%Y-%m-%d') AS date, purchases_next_day, {value} AS p
+           FROM gold)""",
+        "SELECT request_id, r.product_id, r.date, "
+        "round(coalesce(p, 0), 6) AS predicted_purchases_next_day, "
+        "CAST(purchases_next_day AS DOUBLE) AS actual_purchases_next_day, "
+        "round(p - purchases_next_day, 6) AS prediction_error, 'random_forest' AS model_used, "
+        "CASE WHEN p IS NULL THEN 'no data for this product/date combination' END AS note "
+        "FROM requests r LEFT JOIN scored g ON r.product_id = g.product_id AND r.date = g.date",
+    )
+
+
+def _stump_top() -> str:
+    value = _stump_value("f_random_forest")
+    return _with(
+        f"""{_STUMP_ON_FINAL},
+scored AS (SELECT *, {value} AS p FROM gold WHERE gold.date = DATE '{TOP_DATE}')""",
+        f"SELECT '{TOP_DATE}' AS date, CAST(row_number() OVER (ORDER BY p DESC, product_id) "
+        "AS INTEGER) AS rank, product_id, round(p, 6) AS predicted_purchases_next_day, "
+        "CAST(purchases_next_day AS DOUBLE) AS actual_purchases_next_day, "
+        "round(p - purchases_next_day, 6) AS prediction_error, "
+        "CAST(purchases AS DOUBLE) AS purchases, CAST(views AS DOUBLE) AS views, "
+        "'random_forest' AS model_used FROM scored ORDER BY rank LIMIT 10",
+    )
+
+
 _STATUS_CASES = (
     (TOP_DATE, f"DATE '{TOP_DATE}'", 0.0),
     (TOP_DATE, f"DATE '{TOP_DATE}'", 1e9),
@@ -467,11 +677,10 @@ def _status(asked: str, day: str, views: float) -> str:
     return f"""SELECT '{asked}' AS date, count(*) FILTER (date = {day}) AS rows_on_date,
   count(*) FILTER (date = {day} AND views >= {views:.1f}) AS rows_kept,
   CASE WHEN count(*) FILTER (date = {day}) = 0
-       THEN 'no gold rows for date {asked}; valid range {{''min_date'': ''' ||
-            strftime(min(date), '%Y-%m-%d') || ''', ''max_date'': ''' ||
-            strftime(max(date), '%Y-%m-%d') || '''}}'
+       THEN 'no gold rows for date {asked}'
        WHEN count(*) FILTER (date = {day} AND views >= {views:.1f}) = 0
-       THEN 'no products with views >= {views} on {asked}' END AS note
+       THEN 'no products with views >= {views} on {asked}' END AS note,
+  strftime(min(date), '%Y-%m-%d') AS min_date, strftime(max(date), '%Y-%m-%d') AS max_date
 FROM gold"""
 
 
@@ -519,7 +728,9 @@ def oracle_sql() -> dict[str, str]:
         "bronze_scan": _with(_DIRTY, f"SELECT {', '.join(EVENT_COLUMNS)}, source_file FROM raw"),
         "bronze_limit": _with(
             _DIRTY,
-            "SELECT source_file, least(count(*), 500) AS rows FROM raw GROUP BY source_file",
+            "SELECT event_id, CAST(event_id % 8 AS INTEGER) AS source_no FROM (SELECT event_id, "
+            "row_number() OVER (PARTITION BY event_id % 8 ORDER BY event_id) AS place FROM dirty) "
+            "WHERE place <= 50",
         ),
         "silver_roundtrip": _with(_NORMAL, _CLEAN_OUT),
         "gold_roundtrip": _with(
@@ -528,9 +739,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "run_log": _with(
             f"{_STATS},{_SILVER.removeprefix(_CLICKS + ',')},{_DAILY}",
-            "SELECT 'clean' AS stage, source_file, rows_in, rows_out, "
-            "CAST(NULL AS BIGINT) AS product_by_day_rows FROM stats UNION ALL "
-            "SELECT 'build_features', NULL, NULL, NULL, count(*) FROM daily",
+            "SELECT 'clean' AS stage, CAST(source_no AS BIGINT) AS source_no, source_file, rows_in, "
+            "rows_out, CAST(NULL AS BIGINT) AS product_by_day_rows FROM stats UNION ALL "
+            "SELECT 'build_features', NULL, NULL, NULL, NULL, count(*) FROM daily",
         ),
         "experiment_results": _with(
             _RANKED,
@@ -563,7 +774,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "clean_dedup": _with(_NORMAL, f"SELECT {_EVENT_OUT} FROM single"),
         "clean_all": _with(_NORMAL, _CLEAN_OUT),
-        "clean_stats": _with(_STATS, "SELECT source_file, rows_in, rows_out FROM stats"),
+        "clean_stats": _with(_STATS, "SELECT source_no, source_file, rows_in, rows_out FROM stats"),
         "streaming_ingest": _with(_NORMAL, _CLEAN_OUT),
         "product_counts": _with(_SILVER, _TOTALS),
         "product_rates": _with(
@@ -702,13 +913,32 @@ dated AS (SELECT product_id, date,
                 for c in FEATURES
             ),
         ),
-        "feature_attribution_model": _with(
-            _SHAPLEY, f"SELECT product_id, {day}, true AS adds_up FROM sample"
-        ),
+        "feature_attribution_model": _stump_shapley(),
+        "fit_random_forest": _fit("random_forest"),
+        "fit_gbt_depthwise": _fit("gbt_depthwise"),
+        "fit_gbt_leafcap": _fit("gbt_leafcap"),
+        "evaluate_models": _with(
+            f"{_CLICK_GOLD},{_split('e1', _E1)},{_stumps('e1')}",
+            f"SELECT model, n, {_ROUNDED} FROM ({_all_measured('e1')})",
+        ),
+        "evaluate_models_lineitem": _with(
+            f"{_ON_LINES},{_stumps('l')}",
+            f"SELECT model, n, {_ROUNDED} FROM ({_all_measured('l')})",
+        ),
+        "run_experiments": _run_experiments(),
+        "analysis_run": _analysis_run(),
+        "tune_models": _with(
+            _search(),
+            "SELECT model, CAST(trial AS INTEGER) AS trial, params, round(cv, 6) AS cv_mae, is_best "
+            "FROM trials",
+        ),
+        "best_params_roundtrip": _with(_search(), "SELECT model, params FROM trials WHERE is_best"),
+        "predict_lookup_model": _stump_lookup(),
+        "top_predicted_model": _stump_top(),
         "model_roundtrip": _with(
-            _ON_FINAL,
-            f"SELECT product_id, {day}, true AS same_forecast, round(mean, 6) AS mean "
-            "FROM forecast_f LEFT JOIN means_f USING (product_id)",
+            _STUMP_ON_FINAL,
+            f"SELECT product_id, {day}, round(pred_random_forest, 6) AS prediction, "
+            "round(mean, 6) AS mean FROM trees_f LEFT JOIN means_f USING (product_id)",
         ),
         "predict_lookup": _with(
             f"{_CLICK_GOLD},{_REQUESTS}",

@@ -1,11 +1,14 @@
 """Where jobs put checkpoints and short-lived tables.
 
 On a cluster this is the shared folder named in ``spark.checkpoint.dir``. Only a
-local session without that setting gets a folder of its own.
+local session without that setting gets a folder of its own, which goes when Python ends.
+``clear`` deletes what a session has put into the shared folder so far.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -26,13 +29,27 @@ def shared_dir(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     own = tempfile.mkdtemp(prefix="basketry-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
     context.setCheckpointDir(own)
     return own
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/basketry-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/basketry-{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete every scratch path made so far; for the owner of a run, after its last read."""
+    context = spark.sparkContext
+    while _made:
+        path = context._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

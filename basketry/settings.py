@@ -94,6 +94,7 @@ MODEL_DEFAULTS = {
     "gbt_leafcap": {
         "n_estimators": 200,
         "max_depth": 8,
+        "num_leaves": 31,
         "learning_rate": 0.1,
         "colsample": 0.8,
     },
@@ -133,5 +134,10 @@ EXPERIMENTS = {
     "e_final": {"train_end": "2019-11-15", "test_start": "2019-11-16", "test_days": 14},
 }
 
+# Notes of lookups and reports that have no data.
+NO_DATA = "no data for this product/date combination"
+NO_GOLD = "no gold rows for date {date}"
+NO_VIEWS = "no products with views >= {views} on {date}"
+
 ATTRIBUTION_ROWS = 5000
 ATTRIBUTION_BACKGROUND = 50

@@ -6,15 +6,20 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SOURCE_COLUMN = "source_file"
+SOURCE_NO = "source_no"
 
 
 def source_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
+def entries(paths: str | Sequence[str]) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
+
+
 def bronze_paths(folder: str, files: Sequence[str] = (), single: str | None = None) -> list[str]:
     """Paths of the listed monthly files, or of the single file when no list is given."""
     names = list(files) or ([single] if single else [])
@@ -23,48 +28,27 @@ def bronze_paths(folder: str, files: Sequence[str] = (), single: str | None = No
     return [f"{folder.rstrip('/')}/{name}" for name in names]
 
 
-def _first_rows(df: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` rows of an entry, in file order.
-
-    The rows are counted per file split. Whole splits before the one that holds row ``n``
-    are kept by a filter; only that one split is numbered. A plain ``limit`` would send up
-    to ``n`` rows of every split to one task.
-    """
-    placed = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_start"),
-    )
-    counts = placed.groupBy("_file", "_start").agg(F.count("*").alias("n")).collect()
-    before = 0
-    for split in sorted(counts, key=lambda r: (r["_file"], r["_start"])):
-        if before + split["n"] > n:
-            break
-        before += split["n"]
-    else:
-        return df
-    here = (F.col("_file") == split["_file"]) & (F.col("_start") == split["_start"])
-    earlier = (F.col("_file") < split["_file"]) | (
-        (F.col("_file") == split["_file"]) & (F.col("_start") < split["_start"])
-    )
-    order = Window.partitionBy("_file").orderBy("_row")
-    numbered = placed.where(here).withColumn("_row", F.monotonically_increasing_id())
-    cut = numbered.withColumn("_no", F.row_number().over(order)).where(F.col("_no") <= n - before)
-    return placed.where(earlier).select(*df.columns).unionByName(cut.select(*df.columns))
-
-
-def _read_one(spark: SparkSession, path: str, limit: int | None) -> DataFrame:
+def _read_csv(spark: SparkSession, path: str) -> DataFrame:
     # Columns bind by the header of this entry. With enforceSchema off, a folder whose
     # files carry different headers fails loudly instead of mixing up its columns; the
     # escape setting reads doubled quotes the way CSV writers emit them.
     try:
-        df = spark.read.csv(path, header=True, escape='"', enforceSchema=False)
+        return spark.read.csv(path, header=True, escape='"', enforceSchema=False)
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"Bronze file missing: {path}") from problem
+            raise FileNotFoundError(f"no raw events at {path}") from problem
         raise
-    rows = df if limit is None else _first_rows(df, limit)
-    return rows.withColumn(SOURCE_COLUMN, F.lit(source_name(path)))
+
+
+def _first_rows(entry: DataFrame, n: int) -> list[DataFrame]:
+    """The first ``n`` rows of each file of an entry, in file order.
+
+    Splits are read in order until there are ``n`` rows, usually one, so the rest of a file is
+    not touched. The rows of a dry run, ``n`` for each file, pass through the driver.
+    """
+    spark = entry.sparkSession
+    files = (_read_csv(spark, path) for path in sorted(entry.inputFiles()))
+    return [spark.createDataFrame(f.take(n), f.schema) for f in files]
 
 
 def read_bronze(
@@ -72,11 +56,17 @@ def read_bronze(
     paths: str | Sequence[str],
     limit_per_file: int | None = None,
 ) -> DataFrame:
-    """One text frame over all entries, matched by column name, with the entry's name added.
+    """One text frame over all entries, matched by column name.
 
     An entry is a file, a folder or a glob, and ``.gz`` / ``.bz2`` files are decompressed by
-    suffix. ``limit_per_file`` is for dry runs: it keeps the first rows of each entry.
+    suffix. ``source_file`` is the last part of the entry's path and ``source_no`` its position,
+    which tells entries of equal names apart. ``limit_per_file`` is for dry runs: it keeps the
+    first rows of each file.
     """
-    entries = [paths] if isinstance(paths, str) else list(paths)
-    frames = [_read_one(spark, p, limit_per_file) for p in entries]
+    frames = []
+    for number, path in enumerate(entries(paths)):
+        whole = _read_csv(spark, path)
+        parts = [whole] if limit_per_file is None else _first_rows(whole, limit_per_file)
+        source = {SOURCE_COLUMN: F.lit(source_name(path)), SOURCE_NO: F.lit(number)}
+        frames += [part.withColumns(source) for part in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

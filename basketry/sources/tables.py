@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from basketry.settings import EVENT_COLUMNS
+
 
 def _read_parquet(spark: SparkSession, path: str) -> DataFrame:
     try:
@@ -32,7 +34,8 @@ def write_silver(events: DataFrame, path: str) -> None:
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return _read_parquet(spark, path)
+    """The cleaned events; the number of the entry they came from is left in the files."""
+    return _read_parquet(spark, path).select(*EVENT_COLUMNS, "date")
 
 
 def write_gold(gold: DataFrame, path: str, by_day: bool = False) -> None:

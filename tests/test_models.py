@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.operators import attribution as attr, models, scoring, splits, tuning
-from basketry.plans import experiments
+from basketry.plans import analysis, experiments
 from basketry.settings import FEATURES, MODEL_DEFAULTS, MODELS, SEARCH_SPACES, TARGET
 from basketry.sources import tables
 from data import day
@@ -96,13 +96,28 @@ def test_parameters_reach_the_trees(split):
     assert deep.getMaxDepth() == 8 and deep.getSubsamplingRate() == 0.8
 
 
-def test_levels_keep_the_order(spark):
-    values = [-1e6, -70.0, -2.0, 0.0, 0.5, *map(float, range(1, 70)), 1e3, 1.2e3, 1e6, 1e12]
-    frame = spark.createDataFrame([(v,) for v in values], "x double")
-    got = [r[0] for r in frame.selectExpr(models.level_sql("x")).collect()]
-    assert got == sorted(got)
-    assert got[3:69] == values[3:69]  # exact below 64
-    assert len(set(got[-4:])) == 4 and max(got) < 600
+def test_features_are_used_as_they_are(spark):
+    # shares of 0.01 and 0.1 tell the two groups apart
+    frame = spark.range(400).select(
+        F.col("id").alias("product_id"),
+        F.lit(day(0)).alias("date"),
+        *[F.lit(1.0).alias(c) for c in FEATURES[1:]],
+        F.when(F.col("id") % 2 == 0, 0.01).otherwise(0.1).alias(FEATURES[0]),
+        (F.col("id") % 2 * 10.0).alias(TARGET),
+    )
+    forest = models.fit_random_forest(frame, params={"n_estimators": 1, "max_depth": 1, "bootstrap": False})
+    got = {r[0] for r in scoring.with_prediction(frame, forest).select("prediction").collect()}
+    assert got == {0.0, 10.0}
+    # the same rows twice give the same split
+    twice = models.fit_random_forest(
+        frame.union(frame), params={"n_estimators": 1, "max_depth": 1, "bootstrap": False}
+    )
+    assert twice.stages[-1].toDebugString.splitlines()[2:] == forest.stages[-1].toDebugString.splitlines()[2:]
+
+
+def test_a_depth_beyond_the_engine_is_an_error(split):
+    with pytest.raises(ValueError, match="max_depth"):
+        models.fit_random_forest(split.train, params={"max_depth": 40})
 
 
 def test_a_rare_giant_does_not_spoil_the_others(spark):
@@ -221,8 +236,37 @@ def test_experiments(gold, tmp_path, spark, rows):
     assert rows(back, "experiment", "model", "mae") == rows(run.results, "experiment", "model", "mae")
     served = tables.load_model(f"{tmp_path}/models/e_final/{run.serving['model_name']}")
     assert predictions(served, gold) == predictions(run.serving_model, gold)
-    info = json.loads(spark.read.json(f"{tmp_path}/serving").first()["info"])
+    info = experiments.load_serving(spark, str(tmp_path))
     assert info["model_name"] == run.serving["model_name"]
+    assert (info["feature_columns"], info["target"]) == (list(FEATURES), TARGET)
+
+
+def test_a_saved_run_is_analysed_on_its_window(gold, tmp_path, spark):
+    root, log = str(tmp_path / "run"), str(tmp_path / "log")
+    late = {**CONFIGS["e_final"], "train_end": "2030-01-01", "test_start": "2030-01-02"}
+    configs = {"e1": CONFIGS["e1"], "e_final": late}
+    run = experiments.run_experiments(
+        gold, configs, params=SMALL, models=("random_forest",), attribute="random_forest",
+        attribution_rows=20, background=3,
+    )
+    assert run.attribution.count() == 20
+    experiments.save_run(run, root, log)
+    reports = analysis.analyse(gold, root, configs, log)
+    summary = reports["summary"].first()
+    assert summary["split"] == "e1" and summary["n_test"] == reports["pairs"].count()
+    forest = next(r for r in run.results.collect() if r["model"] == "random_forest")
+    assert summary["mae"] == pytest.approx(forest["mae"])
+    assert reports["histogram"].agg(F.sum("residuals")).first()[0] == summary["n_test"]
+    assert set(reports) == {"summary", "histogram", "activity", "pairs", "comparison"}
+    assert {r[0] for r in spark.read.json(log).select("stage").collect()} == {"train", "analyze"}
+
+
+def test_best_parameters_are_read_back(split, tmp_path, spark):
+    space = {"random_forest": {"n_estimators": [2], "max_depth": [1, 2]}}
+    found = tuning.tune(split.train, space, n_iter=2, n_splits=2)
+    experiments.save_search(found, str(tmp_path), f"{tmp_path}/log")
+    assert experiments.load_best_params(spark, str(tmp_path)) == found.best
+    assert spark.read.json(f"{tmp_path}/log").where("stage = 'tune'").count() == 2
 
 
 def test_missing_dates_skip_or_fall_back(gold):
@@ -230,10 +274,10 @@ def test_missing_dates_skip_or_fall_back(gold):
     configs = {"e1": CONFIGS["e1"], "e_final": late}
     run = experiments.run_experiments(gold, configs, params=SMALL, models=("random_forest",))
     assert set(run.skipped) == {"e_final"}
-    assert run.serving["experiment"] == "e1" and "e_final unavailable" in run.serving["note"]
-    with pytest.raises(ValueError, match="test dates"):
+    assert run.serving["experiment"] == "e1" and "e_final" in run.serving["note"]
+    with pytest.raises(ValueError, match="training window|test window"):
         experiments.run_experiments(gold, configs, tuned_params={})
-    with pytest.raises(ValueError, match="at least"):
+    with pytest.raises(ValueError, match="not 99"):
         experiments.run_experiments(gold, {"e1": {"train_days": 99, "test_days": 1}})
 
 

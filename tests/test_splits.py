@@ -36,7 +36,7 @@ def test_dates_with_gaps_count_as_dates(spark):
 
 
 def test_too_few_dates(spark):
-    with pytest.raises(ValueError, match="Need at least 30 dates; got 29"):
+    with pytest.raises(ValueError, match="test window has 6 days, not 7"):
         splits.split_first_n(gold_of(spark, 29), 23, 7)
 
 
@@ -56,9 +56,9 @@ def test_boundary_split_skips_the_days_between(spark):
 @pytest.mark.parametrize(
     "end, start, n, message",
     [
-        (10, 11, 30, "Need 30 test dates"),
-        (-5, 3, 2, "No train dates"),
-        (12, 11, 2, "must come before"),
+        (10, 11, 30, "test window has 9 days, not 30"),
+        (-5, 3, 2, "training window has 0 days"),
+        (12, 11, 2, "overlap"),
     ],
 )
 def test_boundary_errors(spark, end, start, n, message):
@@ -136,4 +136,21 @@ def test_key_hash_is_spread(spark):
         key_hash(F.col("id"), F.date_add(F.lit(day(0)), (F.col("id") % 60).cast("int")), 42).alias("h")
     )
     low, high, distinct = frame.agg(F.min("h"), F.max("h"), F.countDistinct("h")).first()
-    assert low >= 0 and high < 1000003 and distinct > 19_000
+    assert low >= 0 and high < 2**61 and distinct == 20_000
+
+
+def test_seeds_give_samples_that_differ(spark):
+    frame = spark.range(0, 100_000).select(F.col("id"), F.lit(day(0)).alias("date"))
+    n, chosen = 5_000, []
+    for seed in (42, 43, 50):
+        hashed = frame.orderBy(key_hash(F.col("id"), F.col("date"), seed)).limit(n)
+        chosen.append({r["id"] for r in hashed.collect()})
+    for a, b in ((0, 1), (0, 2), (1, 2)):
+        assert abs(len(chosen[a] & chosen[b]) - n * n / 100_000) < 80
+
+
+def test_key_hash_takes_any_long(spark):
+    ids = [2 * 10**15, 9223372036854775807, -9223372036854775808, -1, 0]
+    frame = spark.createDataFrame([(i, day(0)) for i in ids], "id long, date date")
+    got = [r[0] for r in frame.select(key_hash(F.col("id"), F.col("date"), 42)).collect()]
+    assert len(set(got)) == 5 and all(0 <= h < 2**61 for h in got)
