@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.llm.blocks import Block, mix, small_batches, span_hashes, text_blocks
-from basketry.llm.tables import stored, with_text
+from basketry.llm.tables import stored, text_schema, with_text
 
 REACH = 16
 LEAST, MOST = 32, 512
@@ -144,10 +144,9 @@ def repeated(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        spans = batch.column(batch.schema.get_field_index("spans")).to_pylist()
-        at = batch.schema.get_field_index("text")
+        spans = batch.column("spans").to_pylist()
         texts = []
-        for text, own in zip(batch.column(at).to_pylist(), spans):
+        for text, own in zip(batch.column("text").to_pylist(), spans):
             if text is not None and own:
                 raw, pieces, done = text.encode(), [], 0
                 for s in own:
@@ -156,15 +155,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 # a cut may fall inside a character: what is left of it goes
                 text = b"".join([*pieces, raw[done:]]).decode("utf-8", "ignore")
             texts.append(text)
-        columns = [pa.array(texts, pa.string()) if k == at else c for k, c in enumerate(batch.columns)]
-        yield pa.RecordBatch.from_arrays(columns[:-1], batch.schema.names[:-1])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
 
 
 def deduplicate(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
     """``docs`` without the repeated runs, all other columns as they were."""
-    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    numbered = stored(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("no")), "numbered")
     # the row number stands in for the id, so that each row finds its own spans
-    spans = repeated(numbered.select(F.col("_row").alias("doc_id"), "text"), least_run)
-    joined = numbered.join(spans.select(F.col("doc_id").alias("_row"), "spans"), "_row", "left")
-    rows = joined.select(*docs.columns, "spans")
-    return with_text(rows.mapInArrow(_cut, docs.schema), F.col("text"))
+    spans = repeated(numbered.select(F.col("no").alias("doc_id"), "row.text"), least_run)
+    joined = numbered.join(spans.select(F.col("doc_id").alias("no"), "spans"), "no", "left")
+    rows = joined.select("row", "row.text", "spans")
+    return with_text(rows.mapInArrow(_cut, text_schema(docs)), docs)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from basketry.llm import bloom
 from basketry.llm.blocks import SIGNS, Block, Words, small_batches, text_blocks
-from basketry.llm.tables import row_key, same_row, stored
+from basketry.llm.tables import keyed, row_key, same_row, stored
 
 SEED = 5
 THRESHOLD = 0.6
@@ -167,5 +167,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
 def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents into which no item leaks, with all their columns."""
     bad = leaks(docs, benchmark, threshold).select("doc_id", "row_key")
-    keyed = docs.withColumn("row_key", row_key("text"))
-    return keyed.join(bad, same_row(keyed, bad), "left_anti").select(*docs.columns)
+    rows = keyed(docs, "text")
+    return rows.join(bad, same_row(rows, bad), "left_anti").select("row.*")

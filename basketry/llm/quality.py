@@ -29,7 +29,7 @@ from basketry.llm.blocks import (
     span_hashes,
     text_blocks,
 )
-from basketry.llm.tables import row_key, same_row, stored, with_text
+from basketry.llm.tables import keyed, row_key, same_row, stored, text_schema, with_text
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -190,7 +190,7 @@ def judge(
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        bad = batch.column(batch.schema.get_field_index("bad_lines")).to_pylist()
+        bad = batch.column("bad_lines").to_pylist()
         for low, high, block in text_blocks(batch, "text"):
             words = Words(block, lower=False)
             text, first, start, end = text_lines(block, words)
@@ -208,11 +208,9 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     raw = b"".join(pieces) + raw[done:]
                 texts.append(raw)
             own_rows = batch.slice(low, high - low)
-            at = batch.schema.get_field_index("text")
             fresh = pa.array(texts, pa.binary()).cast(pa.string())
-            fresh = pc.if_else(own_rows.column(at).is_valid(), fresh, pa.scalar(None, pa.string()))
-            columns = [fresh if k == at else own_rows.column(k) for k in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays(columns[:-1], batch.schema.names[:-1])
+            fresh = pc.if_else(own_rows.column("text").is_valid(), fresh, pa.scalar(None, pa.string()))
+            yield pa.RecordBatch.from_arrays([own_rows.column("row"), fresh], ["row", "text"])
 
 
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
@@ -224,9 +222,6 @@ def keep_good(docs: DataFrame, **limits) -> DataFrame:
         .select("doc_id", "row_key", "bad_lines")
         .dropDuplicates(["doc_id", "row_key"])
     )
-    keyed = docs.withColumn("row_key", row_key("source", "text"))
-    rows = keyed.join(good, same_row(keyed, good)).select(
-        *(keyed[c] for c in docs.columns), good["bad_lines"]
-    )
-    stripped = rows.mapInArrow(_strip, docs.schema)
-    return with_text(stripped, F.col("text"))
+    rows = keyed(docs, "source", "text")
+    rows = rows.join(good, same_row(rows, good)).select("row", "row.text", good["bad_lines"])
+    return with_text(rows.mapInArrow(_strip, text_schema(docs)), docs)

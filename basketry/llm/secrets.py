@@ -184,18 +184,27 @@ def scan(
     hex_bits: float = HEX_BITS,
     mixed_bits: float = MIXED_BITS,
 ) -> DataFrame:
-    """``docs`` with ``secret_spans``: array of (start, kind_no, stop), sorted; the kind is ``KINDS[kind_no]``."""
+    """``docs`` with ``secret_spans``: array of (start, kind_no, stop), sorted; the kind is ``KINDS[kind_no]``.
+
+    A column of that name is replaced.
+    """
+    found = _scanned(docs, allowed, window, hex_bits, mixed_bits)
+    return found.select(*(F.col(f"row.`{c}`") for c in docs.columns if c != "secret_spans"), "secret_spans")
+
+
+def _scanned(docs: DataFrame, allowed, window: int, hex_bits: float, mixed_bits: float) -> DataFrame:
+    """Every row as one struct ``row``, and its ``secret_spans``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     candidate = f"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{window},}}"
     pieces = docs.select(
-        *docs.columns,
+        F.struct("*").alias("row"),
         _pieces(text, ASSIGN, 2, ASSIGN_LEAST).alias("_assign"),
         _pieces(text, ACCESS, 0, 0).alias("_access"),
         _pieces(text, HEX, 0, 0).alias("_hex"),
         _pieces(text, candidate, 0, 0).alias("_runs"),
     )
     placed = pieces.select(
-        *docs.columns, *(_placed(c).alias(c) for c in ("_assign", "_access", "_hex", "_runs"))
+        "row", *(_placed(c).alias(c) for c in ("_assign", "_access", "_hex", "_runs"))
     )
 
     def numbered(column: str, kind_no: int) -> Column:
@@ -220,7 +229,7 @@ def scan(
         )
     )
     spans = F.concat(numbered("_assign", 0), numbered("_access", 1), numbered("_hex", 2), entropy)
-    return placed.select(*docs.columns, F.array_sort(spans).alias("secret_spans"))
+    return placed.select("row", F.array_sort(spans).alias("secret_spans"))
 
 
 def count(spans: str, kind: str) -> Column:
@@ -237,13 +246,20 @@ def written(spans: str, base_only: bool = False) -> Column:
     )
 
 
-def mask(docs: DataFrame, **options) -> DataFrame:
+def mask(
+    docs: DataFrame,
+    allowed=ALLOWED,
+    window: int = WINDOW,
+    hex_bits: float = HEX_BITS,
+    mixed_bits: float = MIXED_BITS,
+) -> DataFrame:
     """``docs`` with every span, overlaps counting as one, replaced by ``[SECRET]``."""
-    found = scan(docs, **options)
+    found = _scanned(docs, allowed, window, hex_bits, mixed_bits)
+    text = F.col("row.text")
 
     def cut(state: Column, s: Column) -> Column:
         fresh = s["start"] >= state["at"]
-        before = F.substring(F.col("text"), state["at"] + 1, s["start"] - state["at"])
+        before = F.substring(text, state["at"] + 1, s["start"] - state["at"])
         return F.struct(
             F.greatest(state["at"], s["stop"]).alias("at"),
             F.when(fresh, F.concat(state["out"], F.array(before, F.lit(MASK)))).otherwise(state["out"]).alias("out"),
@@ -255,8 +271,8 @@ def mask(docs: DataFrame, **options) -> DataFrame:
         zero,
         cut,
         lambda s: F.concat(
-            s["out"], F.array(F.substring(F.col("text"), s["at"] + 1, F.length(F.col("text"))))
+            s["out"], F.array(F.substring(text, s["at"] + 1, F.length(text)))
         ),
     )
-    masked = F.when(F.size("secret_spans") > 0, F.array_join(parts, "")).otherwise(F.col("text"))
-    return with_text(found, masked).select(*docs.columns)
+    masked = F.when(F.size("secret_spans") > 0, F.array_join(parts, "")).otherwise(text)
+    return with_text(found.select("row", masked.alias("text")), docs)
