@@ -28,9 +28,11 @@ def _by_day(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", F.col("date"))
 
 
-def write_silver(events: DataFrame, path: str) -> None:
-    """Replace the silver table, one folder per day."""
-    _by_day(events).write.mode("overwrite").partitionBy("date").parquet(path)
+def write_silver(events: DataFrame, path: str, only_days: bool = False) -> None:
+    """Replace the silver table, one folder per day; with ``only_days`` just the days of ``events``."""
+    mode = "dynamic" if only_days else "static"
+    writer = _by_day(events).write.mode("overwrite").option("partitionOverwriteMode", mode)
+    writer.partitionBy("date").parquet(path)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:

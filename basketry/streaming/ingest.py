@@ -6,6 +6,7 @@ files never has to be read at once. A micro-batch plays the part of a chunk.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -57,12 +58,32 @@ def read_ingested(spark: SparkSession, silver: str) -> DataFrame:
 
 
 def ingest_folder(spark: SparkSession, folder: str, target: str) -> DataFrame:
-    """Ingest everything that lies in ``folder``, then settle it into the silver table.
+    """Ingest what is new in ``folder``, then settle the days it touches into the silver table.
 
     The batches stay in ``target/batches``. Copies across batches are dropped once, while
-    ``target/silver`` is written, so that readers of silver do not repeat that shuffle.
+    ``target/silver`` is written, so that readers of silver do not repeat that shuffle; equal
+    events have equal days, so only the days of new batches are read and written again. The
+    number of the last settled batch is noted after the write: a run that fails in between
+    settles the same days once more.
     """
     stream = stream_bronze(prepare(spark), folder)
     start_ingest(stream, f"{target}/batches", f"{target}/state").awaitTermination()
-    write_silver(read_ingested(spark, f"{target}/batches"), f"{target}/silver")
+    batches = spark.read.parquet(f"{target}/batches")
+    fresh = batches.where(F.col("batch") > _last_settled(spark, f"{target}/settled"))
+    found = fresh.groupBy("date").agg(F.max("batch").alias("batch")).collect()  # a row for each day
+    if found:
+        touched = batches.where(F.col("date").isin([r["date"] for r in found]))
+        rows = cleaning.drop_copies(touched.select(*EVENT_COLUMNS, "date"))
+        write_silver(rows, f"{target}/silver", only_days=True)
+        note = spark.createDataFrame([(max(r["batch"] for r in found),)], "batch int")
+        note.write.mode("append").json(f"{target}/settled")
     return read_silver(spark, f"{target}/silver")
+
+
+def _last_settled(spark: SparkSession, path: str) -> int:
+    try:
+        return spark.read.schema("batch int").json(path).agg(F.max("batch")).first()[0]
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return -1
+        raise

@@ -30,6 +30,23 @@ def test_stream_equals_batch_and_resumes(spark, rows, tmp_path):
     assert spark.read.parquet(str(silver)).select("batch").distinct().count() == 3
 
 
+def test_only_touched_days_are_settled_again(spark, rows, tmp_path):
+    folder, target = tmp_path / "in", tmp_path / "out"
+    folder.mkdir()
+    write(folder, "1.csv", RAW[:6])
+    first = rows(ingest.ingest_folder(spark, str(folder), str(target)))
+    assert first == rows(cleaning.clean_events(raw_frame(spark, RAW[:6])))
+    old = {p.name for p in (target / "silver" / "date=2024-03-01").iterdir()}
+    write(folder, "2.csv", RAW[4:5] + RAW[6:8])  # one known row of March 1st, two new ones of the 2nd
+    ingest.ingest_folder(spark, str(folder), str(target))
+    write(folder, "3.csv", RAW[8:])
+    kept = {p.name for p in (target / "silver" / "date=2024-03-01").iterdir()}
+    done = rows(ingest.ingest_folder(spark, str(folder), str(target)))
+    assert done == rows(cleaning.clean_events(raw_frame(spark)))
+    assert kept != old and {p.name for p in (target / "silver" / "date=2024-03-01").iterdir()} == kept
+    assert rows(ingest.ingest_folder(spark, str(folder), str(target))) == done
+
+
 def test_a_replayed_batch_replaces_itself(spark, rows, tmp_path):
     folder, silver = tmp_path / "in", tmp_path / "silver"
     folder.mkdir()
