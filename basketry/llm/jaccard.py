@@ -221,6 +221,8 @@ def linked_leaves(bits: np.ndarray, n: np.ndarray, component: np.ndarray, percen
     a = b = np.zeros(1, np.int64)
     most = np.zeros(1, np.int64)
     for depth in range(len(levels) - 1, -1, -1):
+        if not len(a):
+            break
         level = levels[depth]
         kept_a, kept_b, kept_most = [], [], []
         for at in range(0, len(a), 2048):
