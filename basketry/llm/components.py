@@ -26,21 +26,40 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("a", F.col("m").alias("b")))
 
 
+def _step(edges: DataFrame) -> DataFrame:
+    return _small_star(_large_star(edges).distinct()).distinct()
+
+
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` (node, component) after further ``links`` (a, b) between nodes or new nodes.
+
+    Links are first led from nodes to their components, so only what really merges is worked on.
+    """
+    if labels is None:
+        return stored(components(links), "labels")
+    for end in ("a", "b"):
+        own = labels.select(F.col("node").alias(end), F.col("component").alias(f"{end}_component"))
+        links = links.join(own, end, "left").withColumn(end, F.coalesce(f"{end}_component", end)).select("a", "b")
+    joined = stored(components(links), "merged")
+    moved = labels.join(
+        joined.select(F.col("node").alias("component"), F.col("component").alias("other")), "component", "left"
+    ).select("node", F.coalesce("other", "component").alias("component"))
+    return stored(moved.union(joined.join(labels, "node", "left_anti")), "labels")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); the component is its smallest node.
 
-    Each round is written to the shared folder, so the plan does not grow and a lost executor
-    costs no more than its part of one round. Rounds grow with the logarithm of the longest path.
+    Two steps at a time are written to the shared folder, so the plan does not grow and a lost
+    executor costs no more than its part of them. Rounds grow with the logarithm of the longest
+    path. The end is reached when links only lead from nodes to roots.
     """
     now = stored(edges.select("a", "b").where("a <> b").distinct(), "links")
-    before = None
     while True:
-        now = stored(_small_star(_large_star(now).distinct()).distinct(), "stars")
-        state = now.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("b", "a"))
-        ).first()
-        if state == before:
+        now = stored(_step(_step(now)), "stars")
+        below_another = now.select(F.col("b").alias("a")).join(now.select("a"), "a", "left_semi")
+        with_two = now.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
+        if below_another.union(with_two).isEmpty():
             break
-        before = state
     nodes = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

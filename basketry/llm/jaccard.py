@@ -15,6 +15,7 @@ could join two components are decided on the whole sets.
 4. The forest's pairs are checked on whole sets, the true ones join components, and the traversal
    starts again with the new components, without the pairs that failed, until no pair is left.
    So large groups of near copies cost about one check for each member, not one for each pair.
+   Where pairs fail, later rounds choose several forests at once, ever more of them.
 5. Shingles of more than ``TILE`` members are cut into tiles. After the first round the members
    outside the largest component of such a shingle visit all its tiles, so no pair is missed.
 
@@ -34,14 +35,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from basketry.llm import bloom
 from basketry.llm.blocks import mix, shingle_sets, small_batches, text_blocks
-from basketry.llm.components import components
-from basketry.llm.tables import row_key, stored
+from basketry.llm.components import merged
+from basketry.llm.tables import keyed, row_key, same_row, stored
 
 SHINGLE_WORDS, PERCENT = 4, 85
 COUNTERS = 1 << 20  # of the sketch: 4 MB broadcast
 SLICE = 1 << 14
-BITS = 2048
+BITS = 4096
 FANOUT = 8
+FORESTS = 8  # times as many in each round
 TILE = 2048
 
 
@@ -247,34 +249,50 @@ def linked_leaves(bits: np.ndarray, n: np.ndarray, component: np.ndarray, percen
     return order[a], order[b], most
 
 
-def forest(unit: dict[str, np.ndarray], failed: dict[int, set], percent: int) -> list[tuple[int, int]]:
-    """Pairs of uids that, if they link, join the components of a unit; no pair that failed before."""
+def forests(
+    unit: dict[str, np.ndarray], failed: dict[int, set], percent: int, most: int
+) -> list[tuple[int, int]]:
+    """Pairs of uids that, if they link, join the components of a unit; no pair that failed before.
+
+    They are ``most`` spanning forests without common pairs, likely links first: the second holds
+    what would join the components should pairs of the first fail, and so on.
+    """
     uid, component = unit["uid"], unit["component"]
-    a, b, most = linked_leaves(unit["bits"], unit["n"], component, percent)
+    a, b, upper = linked_leaves(unit["bits"], unit["n"], component, percent)
     # visitors have met each other at home
     home = unit["home"]
     use = (home[a] | home[b]) & (component[a] != component[b])
-    a, b, most = a[use], b[use], most[use]
-    share = most / (unit["n"][a] + unit["n"][b])
+    a, b, upper = a[use], b[use], upper[use]
+    share = upper / (unit["n"][a] + unit["n"][b])
     order = np.lexsort((np.maximum(uid[a], uid[b]), np.minimum(uid[a], uid[b]), -share))
-    parent = {int(c): int(c) for c in np.unique(component)}
+    numbers = np.unique(component, return_inverse=True)[1]
+    parents: list[list[int]] = []
+    joins_left: list[int] = []
 
-    def root(c: int) -> int:
+    def root(parent: list[int], c: int) -> int:
         while parent[c] != c:
             parent[c] = parent[parent[c]]
             c = parent[c]
         return c
 
-    left, chosen = len(parent) - 1, []
-    for k in order.tolist():
-        x, y = int(uid[a[k]]), int(uid[b[k]])
-        p, q = root(int(component[a[k]])), root(int(component[b[k]]))
-        if p != q and y not in failed.get(x, ()):
-            parent[max(p, q)] = min(p, q)
-            chosen.append((min(x, y), max(x, y)))
-            left -= 1
-            if not left:
-                break
+    chosen = []
+    ends = zip(uid[a[order]].tolist(), uid[b[order]].tolist(), numbers[a[order]].tolist(), numbers[b[order]].tolist())
+    for x, y, p, q in ends:
+        if y in failed.get(x, ()):
+            continue
+        for level in range(most):
+            if level == len(parents):
+                parents.append(list(range(numbers.max() + 1)))
+                joins_left.append(int(numbers.max()))
+            if joins_left[level]:
+                i, j = root(parents[level], p), root(parents[level], q)
+                if i != j:
+                    parents[level][max(i, j)] = min(i, j)
+                    joins_left[level] -= 1
+                    chosen.append((min(x, y), max(x, y)))
+                    break
+        if len(joins_left) == most and not any(joins_left):
+            break
     return chosen
 
 
@@ -308,12 +326,12 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.nda
         yield pending, failed
 
 
-def candidates(units: DataFrame, percent: int) -> DataFrame:
+def candidates(units: DataFrame, percent: int, most: int) -> DataFrame:
     """(a, b) of the pairs to check next."""
 
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit, failed in _units(batches):
-            pairs = forest(unit, failed, percent)
+            pairs = forests(unit, failed, percent, most)
             if pairs:
                 a, b = zip(*pairs)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -349,8 +367,7 @@ def verified(docs: DataFrame, signed: DataFrame, pairs: DataFrame, words: int, p
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
     sets = _texts(docs).where(passes).mapInArrow(shingle, "doc_id long, row_key long, shingles binary")
-    same = sets["doc_id"].eqNullSafe(keys["doc_id"]) & (sets["row_key"] == keys["row_key"])
-    own = sets.join(keys, same).select(keys["uid"], sets["shingles"])
+    own = sets.join(keys, same_row(sets, keys)).select(keys["uid"], sets["shingles"])
     own = own.repartition("uid").persist(StorageLevel.MEMORY_AND_DISK)
     half = pairs.join(own.select(F.col("uid").alias("a"), F.col("shingles").alias("left")), "a")
     full = half.join(own.select(F.col("uid").alias("b"), F.col("shingles").alias("right")), "b")
@@ -406,17 +423,18 @@ def link(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) ->
     members = memberships(signed, classes, percent)
     none = F.lit(None).cast("array<long>")
     units = members.withColumns({"component": F.col("uid"), "failed": none, "home": F.lit(True)})
-    edges = failed = labels = None
+    failed = labels = None
+    most = 1
     while True:
-        pairs = stored(candidates(units, percent), "pairs")
+        pairs = stored(candidates(units, percent, most), "pairs")
         if pairs.isEmpty():
             break
         checked = verified(docs, signed, pairs, words, percent)
         good, bad = checked.where("linked").select("a", "b"), checked.where("NOT linked").select("a", "b")
-        edges = good if edges is None else edges.union(good)
         failed = bad if failed is None else failed.union(bad)
-        labels = stored(components(edges), "labels")
+        labels = merged(labels, good)
         units = _active(members, labels, failed)
+        most *= FORESTS
     found = classes.withColumn("component", F.col("rep"))
     if labels is not None:
         found = classes.join(labels, classes["rep"] == labels["node"], "left").select(
@@ -438,8 +456,7 @@ def one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
     linked = link(docs, words, percent)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid", "row_key")).alias("first")
     winners = linked.groupBy("component").agg(first).select("first.doc_id", "first.row_key")
-    keyed = docs.withColumn("row_key", row_key("doc_id", "text"))
-    same = keyed["doc_id"].eqNullSafe(winners["doc_id"]) & (keyed["row_key"] == winners["row_key"])
+    rows = keyed(docs, "doc_id", "text")
     copies = Window.partitionBy("doc_id", "row_key").orderBy("doc_id")
-    kept = keyed.join(winners, same, "left_semi").withColumn("copy_no", F.row_number().over(copies))
-    return kept.where("copy_no = 1").select(*docs.columns)
+    kept = rows.join(winners, same_row(rows, winners), "left_semi")
+    return kept.withColumn("copy_no", F.row_number().over(copies)).where("copy_no = 1").select("row.*")
