@@ -1,4 +1,11 @@
-"""Connected components of a table of links, by alternating star steps."""
+"""Connected components of a table of links, by contraction.
+
+In each round every node points to its smallest neighbour, or to itself; pointers are followed one
+step further, links are led to where their ends point, and what has become one node is dropped.
+The nodes that are left at least halve from round to round. Each round is written to the shared
+folder, so plans stay small and a lost executor costs no more than its part of one round. Joins are
+by sort and merge, which can split the rows of a very large component.
+"""
 
 from __future__ import annotations
 
@@ -7,59 +14,41 @@ from pyspark.sql import DataFrame, functions as F
 from basketry.llm.tables import stored
 
 
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Each node hands its smallest neighbour to the neighbours above it."""
-    both = _both_ways(edges)
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Each node hands its smallest neighbour to itself and to the neighbours below it."""
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select("a", F.col("m").alias("b")))
+def _led(links: DataFrame, pointers: DataFrame) -> DataFrame:
+    """``links`` between the nodes that the ends of links point to."""
+    for end in ("a", "b"):
+        to = pointers.select(F.col("node").alias(end), F.col("component").alias("to")).hint("merge")
+        links = links.join(to, end, "left").withColumn(end, F.coalesce("to", end)).select("a", "b")
+    return links.where("a <> b")
 
 
-def _step(edges: DataFrame) -> DataFrame:
-    return _small_star(_large_star(edges).distinct()).distinct()
+def _followed(pointers: DataFrame, further: DataFrame) -> DataFrame:
+    """``pointers`` (node, component) led on by ``further`` ones."""
+    to = further.select(F.col("node").alias("component"), F.col("component").alias("to")).hint("merge")
+    return pointers.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
 
 
 def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
-    """``labels`` (node, component) after further ``links`` (a, b) between nodes or new nodes.
-
-    Links are first led from nodes to their components, so only what really merges is worked on.
-    """
-    if labels is None:
-        return stored(components(links), "labels")
-    for end in ("a", "b"):
-        own = labels.select(F.col("node").alias(end), F.col("component").alias(f"{end}_component"))
-        links = links.join(own, end, "left").withColumn(end, F.coalesce(f"{end}_component", end)).select("a", "b")
-    joined = stored(components(links), "merged")
-    moved = labels.join(
-        joined.select(F.col("node").alias("component"), F.col("component").alias("other")), "component", "left"
-    ).select("node", F.coalesce("other", "component").alias("component"))
-    return stored(moved.union(joined.join(labels, "node", "left_anti")), "labels")
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of ``edges`` (a, b); the component is its smallest node.
+    """``labels`` (node, component) after ``links`` (a, b) between their nodes or new ones.
 
-    Two steps at a time are written to the shared folder, so the plan does not grow and a lost
-    executor costs no more than its part of them. Rounds grow with the logarithm of the longest
-    path. The end is reached when links only lead from nodes to roots.
+    The component is the smallest node. Nodes without a link have no label of their own.
     """
-    now = stored(edges.select("a", "b").where("a <> b").distinct(), "links")
-    while True:
-        now = stored(_step(_step(now)), "stars")
-        below_another = now.select(F.col("b").alias("a")).join(now.select("a"), "a", "left_semi")
-        with_two = now.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
-        if below_another.union(with_two).isEmpty():
-            break
-    nodes = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return nodes.union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    links = links.select("a", "b").where("a <> b")
+    links = stored((links if labels is None else _led(links, labels)).distinct(), "links")
+    while not links.isEmpty():
+        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        nearest = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
+        nearest = stored(nearest.select("node", F.least("node", "component").alias("component")), "nearest")
+        pointers = stored(_followed(nearest, nearest), "pointers")
+        if labels is None:
+            labels = pointers
+        else:
+            fresh = pointers.join(labels.select("node").hint("merge"), "node", "left_anti")
+            labels = stored(_followed(labels, pointers).union(fresh), "labels")
+        links = stored(_led(links, pointers).distinct(), "links")
+    return labels
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, component) for every node of ``links`` (a, b) with another node."""
+    return merged(None, links)

@@ -227,8 +227,8 @@ def linked_leaves(bits: np.ndarray, n: np.ndarray, component: np.ndarray, percen
             break
         level = levels[depth]
         kept_a, kept_b, kept_most = [], [], []
-        for at in range(0, len(a), 2048):
-            x, y = a[at : at + 2048], b[at : at + 2048]
+        for at in range(0, len(a), 256):  # 256 pairs of nodes have 16,384 pairs of children
+            x, y = a[at : at + 256], b[at : at + 256]
             if depth < len(levels) - 1:
                 steps = np.arange(FANOUT)
                 x, y = np.broadcast_arrays(
@@ -360,8 +360,8 @@ def verified(docs: DataFrame, signed: DataFrame, pairs: DataFrame, words: int, p
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
-            for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for left, right in zip(batch.column("left"), batch.column("right")):
+                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (left, right))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(linked, pa.bool_())], ["a", "b", "linked"])
@@ -377,8 +377,10 @@ def verified(docs: DataFrame, signed: DataFrame, pairs: DataFrame, words: int, p
     return out
 
 
-def _active(members: DataFrame, node_component: DataFrame, failed: DataFrame) -> DataFrame:
-    """Members of units that span components, with visitors in large shingles."""
+def _active(members: DataFrame, node_component: DataFrame | None, failed: DataFrame, tiled: bool) -> DataFrame:
+    """Members of units that span components; if there are tiles, with visitors in them."""
+    if node_component is None:
+        node_component = members.select(F.col("uid").alias("node"), F.col("uid").alias("component")).limit(0)
     labelled = members.join(node_component, members["uid"] == node_component["node"], "left").select(
         *(members[c] for c in members.columns), F.coalesce("component", members["uid"]).alias("component")
     )
@@ -392,7 +394,10 @@ def _active(members: DataFrame, node_component: DataFrame, failed: DataFrame) ->
         .where("low <> high")
         .select("shingle")
     )
+    mixed = stored(mixed, "mixed")
     rows = labelled.join(mixed, "shingle", "left_semi").join(refused, "uid", "left").withColumn("home", F.lit(True))
+    if not tiled:
+        return rows
     large = rows.where(F.col("members") > TILE)
     main = (
         large.groupBy("shingle", "component")
@@ -424,6 +429,7 @@ def link(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) ->
     none = F.lit(None).cast("array<long>")
     units = members.withColumns({"component": F.col("uid"), "failed": none, "home": F.lit(True)})
     failed = labels = None
+    tiled = not members.where(F.col("members") > TILE).isEmpty()
     most = 1
     while True:
         pairs = stored(candidates(units, percent, most), "pairs")
@@ -431,9 +437,9 @@ def link(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) ->
             break
         checked = verified(docs, signed, pairs, words, percent)
         good, bad = checked.where("linked").select("a", "b"), checked.where("NOT linked").select("a", "b")
-        failed = bad if failed is None else failed.union(bad)
+        failed = stored(bad if failed is None else failed.union(bad), "failed")
         labels = merged(labels, good)
-        units = _active(members, labels, failed)
+        units = _active(members, labels, failed, tiled)
         most *= FORESTS
     found = classes.withColumn("component", F.col("rep"))
     if labels is not None:
@@ -445,7 +451,8 @@ def link(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) ->
         found.select("d1", "d2", "n", "component"), ["d1", "d2", "n"], "left"
     )
     rows = stored(rows.withColumn("component", F.coalesce("component", "uid")), "components")
-    least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    # written, so that the join may split the rows of a very large component
+    least = stored(rows.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
     return rows.join(least, "component").select(
         "uid", "doc_id", "row_key", F.col("n").cast("long").alias("n_shingles"), "component_id", "component"
     )

@@ -88,7 +88,13 @@ def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200)]
     found = components.components(spark.createDataFrame(links, "a long, b long"))
     got = {r["node"]: r["component"] for r in found.collect()}
-    assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+    want = {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+    assert got == want
+    more = components.merged(found, spark.createDataFrame([(40, 129), (500, 501), (3, 4)], "a long, b long"))
+    got = {r["node"]: r["component"] for r in more.collect()}
+    assert got == {**dict.fromkeys(want, 0), 500: 500, 501: 500}
+    again = components.merged(more, spark.createDataFrame([(1, 2)], "a long, b long"))
+    assert {r["node"]: r["component"] for r in again.collect()} == got
 
 
 @pytest.mark.parametrize("most", [4096, 1])
