@@ -125,6 +125,7 @@ def repeated(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
         .where("n > 1")
         .select("d1", "d2", F.col("first.uid").alias("first_uid"), F.col("first.start").alias("first_start"))
     )
+    first = stored(first, "first-chunks")  # so that the join may split a very common chunk
     later = chunks.join(first, ["d1", "d2"]).where("uid <> first_uid OR start <> first_start")
     runs = (
         later.groupBy("uid")
