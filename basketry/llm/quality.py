@@ -2,10 +2,14 @@
 
 A line is normalised to its words, ASCII letters in lower case and digits as ``0``. For each
 host (``source``) a line is boilerplate if more than ``max_share`` of the host's distinct texts,
-and more than ``min_docs`` of them, hold it. Exact copies count as one document, so that a text
-is not taken for boilerplate because it was copied. Boilerplate lines are removed; a document
-that loses lines and then has under ``min_words`` words, or under ``min_left`` of them, is
-depleted and rejected.
+and more than ``min_docs`` of them, hold it. With ``most_docs`` more than so many texts are enough
+whatever their share, so that a line does not stay because its host is large. Exact copies count as
+one document, so that a text is not taken for boilerplate because it was copied. Boilerplate lines
+are removed; a document that loses lines and then has under ``least_left`` words, or under
+``min_left`` of them, is depleted and rejected.
+
+``op9_quality_rules`` is held to its SQL, which has neither ``most_docs`` nor ``least_left``; the
+pipeline works with ``PIPELINE_LIMITS``.
 
 Null and empty texts have no words and fail the base rule. Null and empty sources are one host.
 Equal rows get equal results, an empty table gives none, and other columns are left alone.
@@ -37,6 +41,8 @@ REPEAT_WINDOW = 8
 MAX_SHARE = 0.1
 MIN_DOCS = 20
 MIN_LEFT = 0.3
+# the share decides on hosts of 200 to 10,000 texts, on larger ones a count
+PIPELINE_LIMITS = {"most_docs": 1000, "least_left": MIN_WORDS}
 
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 _PLAIN = LOWER.copy()
@@ -139,7 +145,9 @@ def measure(docs: DataFrame) -> DataFrame:
     return stored(rows.mapInArrow(_measure, _SCHEMA), "quality")
 
 
-def boilerplate(measured: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS) -> DataFrame:
+def boilerplate(
+    measured: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS, most_docs: int | None = None
+) -> DataFrame:
     """(source, line): lines held by too many distinct texts of a host."""
     per_host = (
         measured.select("source", "content").distinct().groupBy("source").agg(F.count("*").alias("host_docs"))
@@ -152,6 +160,8 @@ def boilerplate(measured: DataFrame, max_share: float = MAX_SHARE, min_docs: int
         .where(F.col("docs") > min_docs)
     )
     too_many = F.col("docs") > F.col("host_docs") * max_share
+    if most_docs is not None:
+        too_many |= F.col("docs") > most_docs
     return per_line.join(per_host, "source").where(too_many).select("source", "line")
 
 
@@ -161,13 +171,15 @@ def judge(
     min_docs: int = MIN_DOCS,
     min_left: float = MIN_LEFT,
     min_words: int = MIN_WORDS,
+    most_docs: int | None = None,
+    least_left: int = 0,
 ) -> DataFrame:
     """One row per document: counts, ``base_failed``, ``removed_words``, ``kept`` and ``bad_lines``.
 
     ``bad_lines`` lists the normalised lines to remove (null: none).
     """
     measured = measure(docs)
-    bad = stored(boilerplate(measured, max_share, min_docs), "boilerplate")
+    bad = stored(boilerplate(measured, max_share, min_docs, most_docs), "boilerplate")
     lines = measured.select("uid", "source", F.explode(F.arrays_zip("lines", "line_words")).alias("x"))
     lost = (
         lines.select("uid", "source", F.col("x.lines").alias("line"), F.col("x.line_words").alias("n"))
@@ -178,7 +190,7 @@ def judge(
     n, removed = F.col("n_words"), F.coalesce("removed_words", F.lit(0))
     failed = (n < min_words) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n)
     left = n - removed
-    depleted = (removed > 0) & (left < n * min_left)
+    depleted = (removed > 0) & ((left < n * min_left) | (left < least_left))
     return (
         measured.drop("lines", "line_words")
         .join(lost, "uid", "left")

@@ -19,7 +19,7 @@ SHINGLE_WORDS, PERCENT = 5, 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.keep_good(docs)
+    return quality.keep_good(docs, **quality.PIPELINE_LIMITS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
