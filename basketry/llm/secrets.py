@@ -6,7 +6,9 @@ candidate; counts per character are carried along, so a step updates two counts
 ``n * log2(n)`` (as whole millionths, so that results do not depend on the order of additions).
 A window is a hit if its Shannon entropy reaches the bound of its character class: ``hex`` if all
 its characters are hexadecimal, else ``mixed``, which asks for a digit, a capital and a small
-letter. Hits that touch are one span of kind ``entropy``. Candidates on the allow list add none.
+letter. With ``single_case_bits`` two more classes count: windows of capitals and digits alone and of
+small letters and digits alone have that bound, and upper-case hexadecimal windows that of ``hex``.
+``op1_secret_scans`` is held to its SQL, which lacks them; the pipeline masks them too. Hits that touch are one span of kind ``entropy``. Candidates on the allow list add none.
 
 Null texts count as empty and have no spans. Every row gets one result; other columns are left
 alone. Texts are scanned whole, and no row is moved.
@@ -37,6 +39,7 @@ WINDOW = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = f"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
 HEX_BITS, MIXED_BITS = 3.0, 3.7
+SINGLE_CASE_BITS = 3.3  # random base32 and base36 windows have 3.34 and 3.38 at least, 99 times of 100
 # Candidates that are no secrets: without a digit, numbers and dates, UUIDs, one repeated character.
 ALLOWED = (
     "[^0-9]*",
@@ -105,7 +108,9 @@ def _placed(pieces: str) -> Column:
     return F.when(F.size(pieces) > 0, placed).otherwise(F.array().cast(kind))
 
 
-def _entropy_spans(candidate: Column, window: int, hex_bits: float, mixed_bits: float) -> Column:
+def _entropy_spans(
+    candidate: Column, window: int, hex_bits: float, mixed_bits: float, single_case_bits: float | None
+) -> Column:
     """Spans of a candidate, from its start, whose windows are hits."""
     terms = F.array(*map(F.lit, spread_terms(window)))
     codes = F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
@@ -118,6 +123,19 @@ def _entropy_spans(candidate: Column, window: int, hex_bits: float, mixed_bits:
     def is_hex(k: Column) -> Column:
         return ((k >= 26) & (k <= 31) | (k >= 52) & (k <= 61)).cast("int")
 
+    def is_upper_hex(k: Column) -> Column:
+        return ((k >= 0) & (k <= 5) | (k >= 52) & (k <= 61)).cast("int")
+
+    # carried along the window: how many characters are of each group
+    groups = {
+        "capitals": lambda k: between(k, 0, 25),
+        "smalls": lambda k: between(k, 26, 51),
+        "digits": lambda k: between(k, 52, 61),
+        "hexes": is_hex,
+    }
+    if single_case_bits is not None:
+        groups["upper_hexes"] = is_upper_hex
+
     def step(s: Column, k: Column) -> Column:
         full = F.size(s["recent"]) == window
         out = F.when(full, s["recent"][0]).otherwise(F.lit(-1))
@@ -135,10 +153,7 @@ def _entropy_spans(candidate: Column, window: int, hex_bits: float, mixed_bits:
             counts.alias("counts"),
             recent.alias("recent"),
             (s["spread"] + more - less).alias("spread"),
-            carried("capitals", lambda x: between(x, 0, 25)).alias("capitals"),
-            carried("smalls", lambda x: between(x, 26, 51)).alias("smalls"),
-            carried("digits", lambda x: between(x, 52, 61)).alias("digits"),
-            carried("hexes", is_hex).alias("hexes"),
+            *(carried(name, member).alias(name) for name, member in groups.items()),
             (s["at"] + 1).alias("at"),
             s["a"].alias("a"),
             s["b"].alias("b"),
@@ -148,12 +163,17 @@ def _entropy_spans(candidate: Column, window: int, hex_bits: float, mixed_bits:
     def settle(s: Column) -> Column:
         hexes = (s["hexes"] == window) & (s["spread"] <= spread_bound(hex_bits, window))
         mixed = (s["capitals"] > 0) & (s["smalls"] > 0) & (s["spread"] <= spread_bound(mixed_bits, window))
-        hit = (F.size(s["recent"]) == window) & (s["digits"] > 0) & (hexes | mixed)
+        found = hexes | mixed
+        if single_case_bits is not None:
+            one_case = (s["capitals"] + s["digits"] == window) | (s["smalls"] + s["digits"] == window)
+            found |= one_case & (s["spread"] <= spread_bound(single_case_bits, window))
+            found |= (s["upper_hexes"] == window) & (s["spread"] <= spread_bound(hex_bits, window))
+        hit = (F.size(s["recent"]) == window) & (s["digits"] > 0) & found
         apart = hit & (s["at"] - window > s["b"])
         closes = apart & (s["b"] > 0)
         span = F.struct(s["a"].alias("a"), s["b"].alias("b"))
         return F.struct(
-            *(s[c].alias(c) for c in ("counts", "recent", "spread", "capitals", "smalls", "digits", "hexes", "at")),
+            *(s[c].alias(c) for c in ("counts", "recent", "spread", *groups, "at")),
             F.when(apart | (hit & (s["b"] == 0)), s["at"] - window).otherwise(s["a"]).alias("a"),
             F.when(hit, s["at"]).otherwise(s["b"]).alias("b"),
             F.when(closes, F.concat(s["out"], F.array(span))).otherwise(s["out"]).alias("out"),
@@ -162,7 +182,7 @@ def _entropy_spans(candidate: Column, window: int, hex_bits: float, mixed_bits:
     zero = F.struct(
         F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"),
         F.array().cast("array<int>").alias("recent"),
-        *(F.lit(0).alias(c) for c in ("spread", "capitals", "smalls", "digits", "hexes", "at", "a", "b")),
+        *(F.lit(0).alias(c) for c in ("spread", *groups, "at", "a", "b")),
         F.array().cast(pair).alias("out"),
     )
 
@@ -188,11 +208,13 @@ def scan(
 
     A column of that name is replaced.
     """
-    found = _scanned(docs, allowed, window, hex_bits, mixed_bits)
+    found = _scanned(docs, allowed, window, hex_bits, mixed_bits, None)
     return found.select(*(F.col(f"row.`{c}`") for c in docs.columns if c != "secret_spans"), "secret_spans")
 
 
-def _scanned(docs: DataFrame, allowed, window: int, hex_bits: float, mixed_bits: float) -> DataFrame:
+def _scanned(
+    docs: DataFrame, allowed, window: int, hex_bits: float, mixed_bits: float, single_case_bits: float | None
+) -> DataFrame:
     """Every row as one struct ``row``, and its ``secret_spans``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     candidate = f"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{window},}}"
@@ -219,7 +241,7 @@ def _scanned(docs: DataFrame, allowed, window: int, hex_bits: float, mixed_bits:
         F.transform(
             suspects,
             lambda x: F.transform(
-                _entropy_spans(x["own"], window, hex_bits, mixed_bits),
+                _entropy_spans(x["own"], window, hex_bits, mixed_bits, single_case_bits),
                 lambda s: F.struct(
                     (x["start"] + s["a"]).alias("start"),
                     F.lit(3).alias("kind_no"),
@@ -252,9 +274,10 @@ def mask(
     window: int = WINDOW,
     hex_bits: float = HEX_BITS,
     mixed_bits: float = MIXED_BITS,
+    single_case_bits: float | None = None,
 ) -> DataFrame:
     """``docs`` with every span, overlaps counting as one, replaced by ``[SECRET]``."""
-    found = _scanned(docs, allowed, window, hex_bits, mixed_bits)
+    found = _scanned(docs, allowed, window, hex_bits, mixed_bits, single_case_bits)
     text = F.col("row.text")
 
     def cut(state: Column, s: Column) -> Column:

@@ -31,7 +31,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.mask(docs)
+    return secrets.mask(docs, single_case_bits=secrets.SINGLE_CASE_BITS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
