@@ -430,16 +430,21 @@ def link(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) ->
     units = members.withColumns({"component": F.col("uid"), "failed": none, "home": F.lit(True)})
     failed = labels = None
     tiled = not members.where(F.col("members") > TILE).isEmpty()
+    complete = not tiled  # members of other tiles are met as visitors, from the second round on
     most = 1
     while True:
         pairs = stored(candidates(units, percent, most), "pairs")
-        if pairs.isEmpty():
+        if not pairs.isEmpty():
+            checked = verified(docs, signed, pairs, words, percent)
+            good, bad = checked.where("linked").select("a", "b"), checked.where("NOT linked").select("a", "b")
+            failed = stored(bad if failed is None else failed.union(bad), "failed")
+            labels = merged(labels, good)
+        elif complete:
             break
-        checked = verified(docs, signed, pairs, words, percent)
-        good, bad = checked.where("linked").select("a", "b"), checked.where("NOT linked").select("a", "b")
-        failed = stored(bad if failed is None else failed.union(bad), "failed")
-        labels = merged(labels, good)
+        else:
+            failed = pairs.select("a", "b")
         units = _active(members, labels, failed, tiled)
+        complete = True
         most *= FORESTS
     found = classes.withColumn("component", F.col("rep"))
     if labels is not None:
