@@ -16,6 +16,7 @@ A null or empty text is the single id 0. Rows with equal or null ids are packed
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -40,7 +41,8 @@ class Encoder:
     The vocabulary's pre-tokenizer cuts texts into words of letters, of digits, of other signs and
     of white space, with single blanks leading the next word; no merge crosses a cut. So texts are
     cut in numpy and each distinct word is encoded once by the tokenizer. The kind of a character
-    is asked of the tokenizer itself when it is first seen.
+    is asked of the tokenizer itself when it is first seen. Texts are first cut at the added tokens
+    of the vocabulary, such as ``<|endoftext|>``, which are one id wherever they stand.
     """
 
     ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -49,7 +51,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.single_word or t.lstrip or t.rstrip for t in added):
+            raise ValueError("added tokens that depend on the text around them are not supported")
+        longest = sorted((t.content for t in added), key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, longest))) if longest else None
         self.kinds = np.full(0x110000, _UNSEEN, np.uint8)
         self.forget()
 
@@ -67,6 +73,14 @@ class Encoder:
                 return kind
         return _SPACE
 
+    def _added(self, raw: str, cuts: np.ndarray) -> np.ndarray:
+        """(start, stop) of the added tokens; ``cuts`` has the borders of the texts, which none crosses."""
+        found = []
+        if self.added and self.added.search(raw):
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                found += [m.span() for m in self.added.finditer(raw, a, b)]
+        return np.array(found, np.int64).reshape(-1, 2)
+
     def _words(self, points: np.ndarray, cuts: np.ndarray) -> np.ndarray:
         """Where the words of the texts begin; ``cuts`` has the borders of the texts."""
         kinds = self.kinds[points]
@@ -115,7 +129,11 @@ class Encoder:
         if not raw:
             return np.zeros(0, np.uint32), np.zeros(len(block) + 1, np.int64)
         points = np.frombuffer(raw.encode("utf-32-le"), np.uint32)
-        starts = self._words(points, cuts)
+        added = self._added(raw, cuts)
+        starts = self._words(points, np.union1d(cuts, added))
+        if len(added):  # each is one word
+            inside = np.searchsorted(added[:, 0], starts, "right") - 1
+            starts = starts[(inside < 0) | (starts == added[inside, 0]) | (starts >= added[inside, 1])]
         ends = np.append(starts[1:], len(points))
         hashes = sequence_hashes(mix(points.astype(np.uint64) + np.uint64(1)), starts, ends)
         distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
