@@ -2,10 +2,13 @@
 
 A page is cut into blocks at block-level tags. Regions that hold no article (menus, page headers
 and footers, sidebars, forms, adverts, notices, reader comments, by tag name or by a word of their
-class, id or role) are not content whatever they say. The first pass decides blocks by link
+class, id or role, unless a word such as ``has`` or ``no`` stands before it in the same token) are
+not content whatever they say. The first pass decides blocks by link
 density, length and stop-word density; blocks inside ``article`` or ``main`` count as content
-unless links fill them, and where a page has such a region the rest of it is not content. Short
-blocks stay undecided. In the second pass these take the label of the nearest decided block of
+unless links fill them, and where a page has such a region the rest of it is not content. Stop words
+decide only where the page shows that its language is in the lists, that is if they are a tenth of
+the words of its longer blocks, and never a block whose letters are mostly of another script; all
+other long blocks that links do not fill are content. Short blocks stay undecided. In the second pass these take the label of the nearest decided block of
 their region, content at a tie; a region without any decided block is content unless the page has
 its article elsewhere.
 
@@ -28,6 +31,7 @@ from basketry.llm.blocks import small_batches
 MOST_LINKS = 1 / 3
 SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH = 0.15, 0.3
+LISTED = 0.1
 
 # Stop words, and the tags and words that mark regions without content.
 STOP_WORDS = frozenset(
@@ -56,6 +60,7 @@ HINTS = frozenset(
     "signup social sponsor sponsored sponsors subscribe toolbar widget widgets alert footer complementary "
     "contentinfo search".split()
 )
+QUALIFIERS = frozenset("has have no non not with without".split())
 COMMENTS = frozenset("comment comments disqus replies reply respond".split())
 
 _TOKEN = re.compile(
@@ -69,13 +74,22 @@ _TOKEN = re.compile(
 )
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
+_OTHER_SCRIPT = re.compile(r"[^\W\d_\u0000-\u024f\u1e00-\u1eff]")
+# signs of Chinese, Japanese and Korean, which say as much as two or three letters
+_WIDE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def _marks(attributes: str) -> set[str]:
     if "=" not in attributes:
         return set()
     values = " ".join("".join(m) for m in _MARKS.findall(attributes))
-    return set(re.split(r"[\s_-]+", values.lower()))
+    marks = set()
+    for token in values.lower().split():
+        for word in re.split(r"[_-]+", token):
+            if word in QUALIFIERS:  # has-sidebar and no-sidebar say something of the page, not of the region
+                break
+            marks.add(word)
+    return marks
 
 
 class _Block:
@@ -154,16 +168,33 @@ def _stop_share(text: str) -> float:
     return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
 
 
-def _first_pass(block: _Block, has_article: bool) -> bool | None:
+def _other_script(text: str) -> bool:
+    return 2 * len(_OTHER_SCRIPT.findall(text)) > sum(map(len, _WORD.findall(text)))
+
+
+def _listed_language(blocks: list[_Block]) -> bool:
+    """Whether the longer blocks have as many stop words as texts of the listed languages."""
+    words = stops = 0
+    for block in blocks:
+        if not block.skipped and len(block.text) >= SHORT and block.links <= len(block.text) * MOST_LINKS:
+            found = _WORD.findall(block.text.lower())
+            words += len(found)
+            stops += sum(w in STOP_WORDS for w in found)
+    return stops > 0 and stops >= words * LISTED
+
+
+def _first_pass(block: _Block, has_article: bool, listed: bool) -> bool | None:
     """True for content, False for other text, None if undecided."""
     if block.skipped or (has_article and not block.inside):
         return False
     size = len(block.text)
     if block.links > size * MOST_LINKS:
         return False
+    if size < SHORT and not block.text.isascii():
+        size += len(_WIDE.findall(block.text))
     if size < SHORT:
         return None
-    if block.inside:
+    if block.inside or not listed or _other_script(block.text):
         return True
     share = _stop_share(block.text)
     if share >= STOP_HIGH or (size >= LONG and share >= STOP_LOW):
@@ -174,7 +205,8 @@ def _first_pass(block: _Block, has_article: bool) -> bool | None:
 def main_text(page: str | None) -> str:
     blocks = _cut(page or "")
     has_article = any(b.inside and not b.skipped for b in blocks)
-    labels = [_first_pass(b, has_article) for b in blocks]
+    listed = not has_article and _listed_language(blocks)
+    labels = [_first_pass(b, has_article, listed) for b in blocks]
     region = [k for k, b in enumerate(blocks) if not b.skipped and b.inside == has_article]
     decided = [k for k in region if labels[k] is not None]
     if not decided:
