@@ -1,7 +1,9 @@
 """Substring dedup by content-defined chunks.
 
-A gear hash rolls over the bytes of each text; it depends on the last ``REACH`` bytes alone, so
-cuts move with the content and an insertion changes the chunks around it only. Equal chunks, by a
+A gear hash rolls over the bytes of each text; it depends on the last ``REACH`` bytes alone. A cut
+is where it is smallest among its ``LEAST`` neighbours on either side, so that cuts depend on the
+content around them alone, not on the cut before, and an insertion changes the chunks around it only.
+Cuts near the ends of a text would depend on its neighbours and are left out. Equal chunks, by a
 128-bit digest, are kept where they come first (smallest doc_id, then table order, then place).
 Runs of later copies that make up at least ``least_run`` bytes are removed; shorter ones, such as
 a stray common phrase, stay. Chunks of under ``LEAST`` bytes, which only end a text, never count.
@@ -23,9 +25,8 @@ from basketry.llm.blocks import Block, mix, small_batches, span_hashes, text_blo
 from basketry.llm.tables import stored, text_schema, with_text
 
 REACH = 16
-LEAST, MOST = 32, 512
-CUT_BITS = 5  # a cut every 32 bytes on average, from LEAST bytes on
-LEAST_RUN = 128
+LEAST, MOST = 16, 512  # a cut every 2 * LEAST + 1 bytes on average
+LEAST_RUN = 64
 
 _GEAR = np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 32, 256, dtype=np.uint32)
 
@@ -42,10 +43,26 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def cut_places(block: Block) -> np.ndarray:
+    """Ends of chunks by content: bytes whose hash is the smallest of LEAST on either side."""
+    h = gear(block.data)
+    n = len(h)
+    if n < 2 * LEAST + REACH:
+        return np.zeros(0, np.int64)
+    least, width = h, 1  # smallest of ``width`` hashes from here on
+    while width < LEAST:
+        least = np.minimum(least[: len(least) - width], least[width:])
+        width *= 2
+    at = np.arange(LEAST, n - LEAST)
+    at = at[(h[at] < least[at - LEAST]) & (h[at] <= least[at + 1])]
+    text = np.searchsorted(block.offsets, at, "right") - 1
+    inside = (at - LEAST - REACH + 1 >= block.offsets[text]) & (at + LEAST < block.offsets[text + 1])
+    return at[inside] + 1
+
+
 def chunk_ends(block: Block) -> tuple[np.ndarray, np.ndarray]:
     """(text, end byte in the block) of every chunk."""
-    # the top bits of a sum of shifted codes depend on the whole reach
-    cuts = (np.flatnonzero(gear(block.data) >> np.uint32(32 - CUT_BITS) == 0) + 1).tolist()
+    cuts = cut_places(block).tolist()
     texts, ends = [], []
     at = 0
     for i in range(len(block)):
