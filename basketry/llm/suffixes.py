@@ -1,4 +1,4 @@
-"""Exact substring dedup: sampled suffixes, range-partitioned and sorted, compared with neighbours.
+"""Exact substring dedup: sampled suffixes, grouped by digests; what digests leave open is sorted.
 
 Every byte goes that lies in a string of ``WINDOW`` bytes which also starts somewhere else, in any
 document or the same one. Sorting a suffix for every byte would move the corpus many times over,
@@ -10,7 +10,7 @@ places, about one byte in 85 is an anchor, and the windows of an anchor are cons
 2. Anchors whose whole stretch of windows occurs twice or more are repeats as they are. Each
    distinct stretch is kept once, with its count, so copies by the thousand become one row.
 3. What is left, stretches that agree at their anchor but differ further out, is read from the
-   texts and range-partitioned by leading bytes with splitters that Spark samples. A task sorts its
+   texts and range-partitioned by a 64-bit hash of the leading bytes. A task sorts its
    windows by a multikey sort, eight bytes at a time, going on only where neighbours still tie.
    Equal leading bytes never straddle a boundary, except for anchors of more than ``MOST`` distinct
    stretches: their windows are counted by 128-bit digests instead, which no task holds together.
