@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from basketry.llm import quality, secrets, urls
+import itertools
+
+from basketry.llm import audit, infill, quality, secrets, urls
 from basketry.llm.urls import LOWER, UPPER
 
 
@@ -162,9 +164,89 @@ def op9_quality_rules() -> str:
     FROM judged"""
 
 
+def op12_filter_audit() -> str:
+    orders = ", ".join("'" + "".join(p) + "'" for p in itertools.permutations(audit.FILTERS))
+    bit = f"(1 << (strpos('{audit.FILTERS}', %s) - 1))"
+    own = bit % "substr(filter_order, step, 1)"
+    return rf"""
+    WITH texts AS (
+      SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+    words AS (
+      SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM texts),
+    marks AS (
+      SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+      FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+    failed AS (
+      SELECT part, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic,
+        (len(w) < {audit.LEAST_WORDS})::INT
+        + 2 * (100 * len(list_distinct(w)) < {audit.LEAST_DISTINCT_PERCENT} * len(w))::INT
+        + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > {audit.MOST_CAPITALS_PERCENT} * length(text))::INT
+        + 8 * regexp_matches(text, '[{audit.SIGNS}]')::INT
+        + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), FALSE)::INT AS fails
+      FROM words LEFT JOIN marks USING (doc_id)),
+    masks AS (
+      SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM failed GROUP BY ALL),
+    sets AS (SELECT unnest(range({audit.SUBSETS}))::INT AS s),
+    passing AS (
+      SELECT part, s, coalesce(sum(n) FILTER (fails & s = 0), 0) AS n,
+        coalesce(sum(good) FILTER (fails & s = 0), 0) AS good, coalesce(sum(toxic) FILTER (fails & s = 0), 0) AS toxic
+      FROM masks, sets GROUP BY ALL),
+    orders AS (SELECT unnest([{orders}]) AS filter_order),
+    steps AS (
+      SELECT filter_order, step::INT AS step, {own} AS own,
+        list_sum([{bit % "x"} FOR x IN string_split(substr(filter_order, 1, step - 1), '') IF x <> ''])::INT AS before
+      FROM orders, range(1, 6) t(step)),
+    cut AS (
+      SELECT filter_order, step, own, coalesce(before, 0) AS before, coalesce(before, 0) | own AS after FROM steps),
+    removals AS (
+      SELECT p.part, filter_order, step, own, q.n AS kept, p.n - q.n AS removed,
+        p.good - q.good AS good_lost, p.toxic - q.toxic AS toxic_lost
+      FROM cut JOIN passing p ON p.s = before JOIN passing q ON q.s = after AND q.part = p.part),
+    shares AS (SELECT part, own, sum(removed) AS shapley FROM removals GROUP BY ALL),
+    failing AS (
+      SELECT part, own, coalesce(sum(n) FILTER (fails & own > 0), 0) AS fail, coalesce(sum(n) FILTER (fails = own), 0) AS only_own
+      FROM masks, (SELECT DISTINCT own FROM steps) GROUP BY ALL)
+    SELECT part, filter_order, step, substr(filter_order, step, 1) AS filter, kept::BIGINT AS kept, removed::BIGINT AS removed,
+      (fail - removed)::BIGINT AS redundant, only_own::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+      toxic_lost::BIGINT AS toxic_lost, shapley::BIGINT AS shapley
+    FROM removals JOIN shares USING (part, own) JOIN failing USING (part, own)"""
+
+
+def op13_fill_in_middle() -> str:
+    p, s, m = infill.PREFIX, infill.SUFFIX, infill.MIDDLE
+    draw = "('0x' || substr(digest, {}, 8))::BIGINT"
+    h1, h2, h3, h4 = (draw.format(8 * k + 1) for k in range(4))
+    return rf"""
+    WITH texts AS (
+      SELECT doc_id, coalesce(text, '') AS text, sha256('{infill.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
+    units AS (
+      SELECT *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM texts),
+    drawn AS (
+      SELECT *, len(u) AS n, {h1} % (len(u) + 1) AS a, {h2} % (len(u) + 1) AS b,
+        CASE WHEN text = '' OR contains(text, '{p}') OR contains(text, '{s}') OR contains(text, '{m}')
+          OR {h3} % 100 >= {infill.FILL_PERCENT} THEN 'plain'
+          WHEN {h4} % 100 < {infill.SUFFIX_FIRST_PERCENT} THEN 'spm' ELSE 'psm' END AS form
+      FROM units),
+    parts AS (
+      SELECT *, coalesce(array_to_string(u[1:least(a, b)], ''), '') AS first,
+        coalesce(array_to_string(u[least(a, b) + 1:greatest(a, b)], ''), '') AS mid,
+        coalesce(array_to_string(u[greatest(a, b) + 1:], ''), '') AS rest
+      FROM drawn)
+    SELECT doc_id, n::BIGINT AS n, form,
+      CASE WHEN form <> 'plain' THEN length(first) END AS prefix_chars,
+      CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+      sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '{p}' || first || '{s}' || rest || '{m}' || mid
+        ELSE '{s}' || rest || '{p}' || first || '{m}' || mid END) AS output_sha256,
+      sha256(text) AS restored_sha256
+    FROM parts"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_secret_scans": op1_secret_scans(),
         "op8_url_filters": op8_url_filters(),
         "op9_quality_rules": op9_quality_rules(),
+        "op12_filter_audit": op12_filter_audit(),
+        "op13_fill_in_middle": op13_fill_in_middle(),
     }

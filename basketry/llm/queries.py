@@ -7,12 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.llm import chunks, decontamination, html, jaccard, langid, packing, quality, secrets, suffixes, urls
+from basketry.llm import audit, chunks, classify, decontamination, html, infill, jaccard, langid, packing, quality, secrets, suffixes, urls
 from basketry.llm.tables import documents
 from basketry.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# A document with a lower score is predicted to be of low quality.
+LEAST_SCORE = 0.3
+
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
@@ -101,6 +104,36 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(prepare(spark), sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = classify.train(docs, labels, ~classify.held_out(F.col("doc_id")))
+    return classify.score(docs, model).select(
+        "row.doc_id",
+        classify.held_out(F.col("row.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= LEAST_SCORE).cast("int").alias("predicted"),
+    )
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return audit.audit(audit.survivors(documents(prepare(spark), sf_dir), labels))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.fill_in_middle(documents(prepare(spark), sf_dir).select("doc_id", "text"))
+    return made.select(
+        "row.doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(), 256).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scans": op1_secret_scans,
@@ -113,4 +146,7 @@ def queries() -> dict[str, Query]:
         "op8_url_filters": op8_url_filters,
         "op9_quality_rules": op9_quality_rules,
         "op10_packing": op10_packing,
+        "op11_quality_classifier": op11_quality_classifier,
+        "op12_filter_audit": op12_filter_audit,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }
