@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from basketry import scratch
 from basketry.jobs import side_by_side
+from basketry.operators import bagging, boosting
 from basketry.operators.baselines import BASELINE_COLUMNS, with_baselines
+from basketry.operators.ensembles import Ensemble
 from basketry.operators.metrics import regression_metrics
 from basketry.operators.scoring import with_prediction
 from basketry.operators.splits import Split, labelled
-from basketry.settings import FEATURES, MODEL_DEFAULTS, MODELS, SEED, TARGET, TREE_MODELS
+from basketry.settings import FEATURES, KEYED_MODELS, MODEL_DEFAULTS, MODELS, SEED, TARGET, TREE_MODELS
 
 # MLlib's deepest tree, standing in for "no limit".
 DEEPEST = 30
@@ -124,7 +126,69 @@ def _leafcap(rows, features, target, seed, params) -> PipelineModel:
     return _boosted(rows, features, target, seed, p, depth, 1.0, p.get("min_child_samples", 20))
 
 
-_FITTERS = {"random_forest": _forest, "gbt_depthwise": _depthwise, "gbt_leafcap": _leafcap}
+def _keyed_forest(rows, features, target, seed, params) -> PipelineModel:
+    p = _settings("forest_keyed", params)
+    return bagging.fit_bagged(
+        rows,
+        features,
+        target,
+        seed,
+        trees=p["n_estimators"],
+        max_depth=_depth(p["max_depth"]),
+        min_rows=p["min_samples_leaf"],
+        max_features=str(p["max_features"]),
+        max_bins=p.get("max_bins", MAX_BINS),
+    )
+
+
+def second_order_settings(params: dict | None = None) -> boosting.Boosting:
+    p = _settings("gbt_second_order", params)
+    growth = boosting.Growth(
+        max_depth=p["max_depth"], l2=p["reg_lambda"], min_weight=p["min_child_weight"]
+    )
+    return _boosting(p, p["subsample"], growth)
+
+
+def leafwise_settings(params: dict | None = None) -> boosting.Boosting:
+    # As with gbt_leafcap, "subsample" is accepted and has no effect.
+    p = _settings("gbt_leafwise", params, ("subsample",))
+    growth = boosting.Growth(
+        max_depth=p["max_depth"],
+        max_leaves=p["num_leaves"],
+        l2=p["reg_lambda"],
+        min_rows=p["min_child_samples"],
+        min_weight=0.0,
+    )
+    return _boosting(p, 1.0, growth)
+
+
+def _boosting(p: dict, subsample: float, growth: boosting.Growth) -> boosting.Boosting:
+    return boosting.Boosting(
+        p["n_estimators"],
+        p["learning_rate"],
+        float(subsample),
+        float(p["colsample"]),
+        p.get("max_bins", boosting.Boosting.max_bins),
+        growth,
+    )
+
+
+def _second_order(rows, features, target, seed, params) -> PipelineModel:
+    return boosting.boost(rows, features, target, seed, second_order_settings(params)).pipeline()
+
+
+def _leafwise(rows, features, target, seed, params) -> PipelineModel:
+    return boosting.boost(rows, features, target, seed, leafwise_settings(params)).pipeline()
+
+
+_FITTERS = {
+    "random_forest": _forest,
+    "gbt_depthwise": _depthwise,
+    "gbt_leafcap": _leafcap,
+    "forest_keyed": _keyed_forest,
+    "gbt_second_order": _second_order,
+    "gbt_leafwise": _leafwise,
+}
 
 
 def _persisted(fit):
@@ -158,6 +222,26 @@ fit_random_forest = _persisted(_forest)
 fit_gbt_depthwise = _persisted(_depthwise)
 fit_gbt_leafcap = _persisted(_leafcap)
 
+# Bags by a hash of the key, boosting with second-order gains by depth, and leaf by leaf.
+fit_forest_keyed = _persisted(_keyed_forest)
+fit_gbt_second_order = _persisted(_second_order)
+fit_gbt_leafwise = _persisted(_leafwise)
+
+
+def boosted_trees(
+    train: DataFrame,
+    how: boosting.Boosting,
+    features: Sequence[str] = FEATURES,
+    target: str = TARGET,
+    seed: int = SEED,
+) -> Ensemble:
+    """The boosted trees themselves, for attribution and for a table of their nodes."""
+    rows = training_rows(train, features, target).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return boosting.boost(rows, features, target, seed, how)
+    finally:
+        rows.unpersist()
+
 
 def fit_all(
     train: DataFrame,
@@ -204,5 +288,5 @@ def evaluate_models(
     for name, model in fitted.items():
         rows = with_prediction(rows, model, features, f"pred_{name}")
     columns = {**BASELINE_COLUMNS, **{m: f"pred_{m}" for m in fitted}}
-    ordered = {m: columns[m] for m in MODELS if m in columns}
+    ordered = {m: columns[m] for m in (*MODELS, *KEYED_MODELS) if m in columns}
     return regression_metrics(rows, target, ordered), fitted

@@ -25,6 +25,7 @@ from basketry.operators import (
     scoring,
     splits,
     summary,
+    tree_attribution,
     tuning,
 )
 from basketry.plans import analysis, experiments, testdata
@@ -82,6 +83,13 @@ STUMP_SPACES = {
     },
 }
 
+# Ensembles that SQL can grow as well: bags, samples of rows and columns, several rounds.
+ENSEMBLES = {
+    "forest_keyed": {"n_estimators": 5, "max_depth": 2, "min_samples_leaf": 5},
+    "gbt_second_order": {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.5},
+    "gbt_leafwise": {"n_estimators": 2, "num_leaves": 3, "learning_rate": 0.5},
+}
+
 # Weights of a fixed linear scorer, in feature order.
 LINEAR_WEIGHTS = (0.05, 0.1, -0.05, 0.2, 0.01, 0.02, 0.1)
 
@@ -452,11 +460,14 @@ def _fit_query(model: str) -> Query:
         "random_forest": models.fit_random_forest,
         "gbt_depthwise": models.fit_gbt_depthwise,
         "gbt_leafcap": models.fit_gbt_leafcap,
+        "forest_keyed": models.fit_forest_keyed,
+        "gbt_second_order": models.fit_gbt_second_order,
+        "gbt_leafwise": models.fit_gbt_leafwise,
     }[model]
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         split = _split(spark, sf_dir, "e1")
-        fitted = fit(split.train, params=STUMPS[model])
+        fitted = fit(split.train, params={**STUMPS, **ENSEMBLES}[model])
         scored = scoring.with_prediction(split.test, fitted)
         return scored.select("product_id", "date", TARGET, "prediction")
 
@@ -471,6 +482,10 @@ def _evaluate_models_lineitem(spark, sf_dir):
     return models.evaluate_models(_line_split(spark, sf_dir), params=STUMPS)[0]
 
 
+def _evaluate_ensembles(split: splits.Split) -> DataFrame:
+    return models.evaluate_models(split, params=ENSEMBLES, models=tuple(ENSEMBLES))[0]
+
+
 def _run_experiments(spark, sf_dir):
     gold = _gold_table(spark, sf_dir)
     run = experiments.run_experiments(gold, CLICK_EXPERIMENTS, params=STUMPS)
@@ -500,6 +515,13 @@ def _attribution_model(spark, sf_dir):
     return attr.attribution(stump, sample, attr.background_rows(split.train))
 
 
+def _tree_attribution(spark, sf_dir):
+    split = _split(spark, sf_dir)
+    how = models.second_order_settings(ENSEMBLES["gbt_second_order"])
+    trees = models.boosted_trees(split.train, how)
+    return tree_attribution.tree_attribution(trees, attr.attribution_sample(split.test))
+
+
 # -- scoring -------------------------------------------------------------------------------
 
 
@@ -661,6 +683,11 @@ _QUERIES: dict[str, Query] = {
     "fit_random_forest": _fit_query("random_forest"),
     "fit_gbt_depthwise": _fit_query("gbt_depthwise"),
     "fit_gbt_leafcap": _fit_query("gbt_leafcap"),
+    "fit_forest_keyed": _fit_query("forest_keyed"),
+    "fit_gbt_second_order": _fit_query("gbt_second_order"),
+    "fit_gbt_leafwise": _fit_query("gbt_leafwise"),
+    "evaluate_ensembles": lambda s, d: _evaluate_ensembles(_split(s, d, "e1")),
+    "evaluate_ensembles_lineitem": lambda s, d: _evaluate_ensembles(_line_split(s, d)),
     "evaluate_models": _evaluate_models,
     "evaluate_models_lineitem": _evaluate_models_lineitem,
     "run_experiments": _run_experiments,
@@ -677,6 +704,7 @@ _QUERIES: dict[str, Query] = {
         _attribution(_split(s, d))
     ),
     "feature_attribution_model": _attribution_model,
+    "tree_attribution": _tree_attribution,
     # scoring
     "predict_lookup": _predict_lookup,
     "predict_lookup_lineitem": _predict_lookup_lineitem,

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 
-from basketry.functions.ordering import SAMPLE_PRIME, sample_factors
+from basketry.plans import tree_checks
 from basketry.plans.catalog import (
     CLICK_EXPERIMENTS,
+    ENSEMBLES,
     LINE_DATE,
     LINE_EXPERIMENT,
     LINEAR_WEIGHTS,
@@ -14,6 +15,7 @@ from basketry.plans.catalog import (
     STUMP_SPACES,
     TOP_DATE,
 )
+from basketry.plans.tree_checks import key_hash as _hash
 from basketry.operators.tuning import draw_params
 from basketry.settings import EVENT_COLUMNS, FEATURES, NA_TOKENS, SEARCH_FOLDS, TREE_MODELS
 
@@ -428,16 +430,6 @@ FROM labelled JOIN numbered USING (date)"""
 # -- attribution, scoring, residuals -------------------------------------------------------
 
 
-def _hash(seed: int) -> str:
-    """The sample's key hash: two rounds modulo a prime in 128-bit whole numbers."""
-    p, (a, b, c, d) = SAMPLE_PRIME, sample_factors(seed)
-    first = (
-        f"((((product_id::HUGEINT % {p} + {p}) % {p}) * {a}::HUGEINT % {p}"
-        f" + (date - DATE '1970-01-01' + 1000000)::HUGEINT * {b}::HUGEINT % {p} + {c}) % {p})"
-    )
-    return f"(({first} * {first} % {p}) * {d}::HUGEINT % {p})"
-
-
 _SCORE = " + ".join(f"{w} * CAST({c} AS DOUBLE)" for c, w in zip(FEATURES, LINEAR_WEIGHTS))
 def _shapley(base: str, name: str) -> str:
     """Sample, background, and the closed form of a linear scorer's contributions."""
@@ -721,6 +713,43 @@ SELECT (SELECT count(*) FROM silver) AS rows,
    FROM ({_top_viewed()})) AS top_viewed"""
 
 
+def _fit_ensemble(model: str) -> str:
+    return _with(
+        f"{_CLICK_GOLD},{_split('e1', _E1)},{tree_checks.forecasts('e1', (model,))}",
+        f"SELECT product_id, {_DAY.format('date')} AS date, CAST(y AS BIGINT) AS purchases_next_day, "
+        f"round(m, 6) AS prediction FROM {tree_checks.forecast_of('e1', model)} WHERE side = 'test'",
+    )
+
+
+def _evaluate_ensembles(base: str, name: str) -> str:
+    long = " UNION ALL ".join(
+        [f"SELECT model, y, p FROM ({_long(name)})"]
+        + [
+            f"SELECT '{m}' AS model, y, m AS p FROM {tree_checks.forecast_of(name, m)} WHERE side = 'test'"
+            for m in ENSEMBLES
+        ]
+    )
+    return _with(
+        f"{base},{tree_checks.forecasts(name)}",
+        f"SELECT model, n, {_ROUNDED} FROM (SELECT model, {_MEASURES} FROM ({long}) GROUP BY model)",
+    )
+
+
+def _tree_attribution() -> str:
+    chosen = f"""
+chosen AS (
+  SELECT * FROM rows_f WHERE side = 'test' ORDER BY {_hash(42)}, product_id, date LIMIT 5000
+)"""
+    trees = tree_checks.forecasts("f", ("gbt_second_order",))
+    # what rounds to nothing is written without a sign
+    phi = ", ".join(f"CASE WHEN abs(phi_{c}) < 5e-7 THEN 0.0::DOUBLE ELSE round(phi_{c}, 6) END AS phi_{c}" for c in FEATURES)
+    return _with(
+        f"{_ON_FINAL},{trees},{chosen},{tree_checks.contributions('f', 'chosen')}",
+        f"SELECT product_id, {_DAY.format('date')} AS date, round(base_value, 6) AS base_value, "
+        f"round(prediction, 6) AS prediction, {phi} FROM phi",
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     raw_out = f"SELECT event_id, {', '.join(EVENT_COLUMNS)} FROM raw"
     day = f"{_DAY.format('date')} AS date"
@@ -917,6 +946,10 @@ dated AS (SELECT product_id, date,
         "fit_random_forest": _fit("random_forest"),
         "fit_gbt_depthwise": _fit("gbt_depthwise"),
         "fit_gbt_leafcap": _fit("gbt_leafcap"),
+        **{f"fit_{m}": _fit_ensemble(m) for m in ENSEMBLES},
+        "evaluate_ensembles": _evaluate_ensembles(f"{_CLICK_GOLD},{_split('e1', _E1)}", "e1"),
+        "evaluate_ensembles_lineitem": _evaluate_ensembles(_ON_LINES, "l"),
+        "tree_attribution": _tree_attribution(),
         "evaluate_models": _with(
             f"{_CLICK_GOLD},{_split('e1', _E1)},{_stumps('e1')}",
             f"SELECT model, n, {_ROUNDED} FROM ({_all_measured('e1')})",

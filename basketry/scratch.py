@@ -44,12 +44,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete one scratch path that nothing reads any more."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+    if path in _made:
+        _made.remove(path)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete every scratch path made so far; for the owner of a run, after its last read."""
-    context = spark.sparkContext
     while _made:
-        path = context._jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, _made[-1])
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

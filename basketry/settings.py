@@ -73,6 +73,8 @@ FEATURES = (
 BASELINES = ("lag1", "ma7", "hist_mean")
 TREE_MODELS = ("random_forest", "gbt_depthwise", "gbt_leafcap")
 MODELS = BASELINES + TREE_MODELS
+# Models of this library's own: bags by key, second-order and leaf-wise boosting.
+KEYED_MODELS = ("forest_keyed", "gbt_second_order", "gbt_leafwise")
 
 SEED = 42
 
@@ -100,6 +102,18 @@ MODEL_DEFAULTS = {
     },
 }
 
+MODEL_DEFAULTS["forest_keyed"] = MODEL_DEFAULTS["random_forest"]
+MODEL_DEFAULTS["gbt_second_order"] = {
+    **MODEL_DEFAULTS["gbt_depthwise"],
+    "reg_lambda": 1.0,
+    "min_child_weight": 1.0,
+}
+MODEL_DEFAULTS["gbt_leafwise"] = {
+    **MODEL_DEFAULTS["gbt_leafcap"],
+    "reg_lambda": 0.0,
+    "min_child_samples": 20,
+}
+
 # Parameter values that the search draws from.
 SEARCH_SPACES = {
     "random_forest": {
