@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from basketry.functions import cells
 from basketry.settings import EVENT_COLUMNS, EVENT_TYPES
@@ -145,3 +145,29 @@ def cleaning_stats(raw: DataFrame, cleaned: DataFrame, sources: Sequence[str]) -
         "rows_in",
         F.coalesce("rows_out", F.lit(0).cast("long")).alias("rows_out"),
     )
+
+
+class RowCounts:
+    """Rows of each entry, counted while another job reads them.
+
+    ``watch`` adds the counters to a frame, ``get`` waits for the job that runs it. No frame is read
+    again, and what comes back is one number for each entry.
+    """
+
+    def __init__(self, entries: int):
+        self.entries = entries
+        self.seen = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        counts = [F.count_if(F.col(SOURCE_NO) == n).alias(f"n{n}") for n in range(self.entries)]
+        return df.observe(self.seen, *counts)
+
+    def get(self) -> list[int]:
+        found = self.seen.get
+        return [found[f"n{n}"] for n in range(self.entries)]
+
+
+def counted_stats(spark: SparkSession, rows_in: RowCounts, rows_out: RowCounts, sources: Sequence[str]) -> DataFrame:
+    """The table of ``cleaning_stats`` from counters of the job that cleaned; entries without rows are left out."""
+    rows = [r for r in zip(range(len(sources)), sources, rows_in.get(), rows_out.get()) if r[2]]
+    return spark.createDataFrame(rows, f"{SOURCE_NO} int, {SOURCE_COLUMN} string, rows_in long, rows_out long")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -23,6 +24,7 @@ from basketry.operators import (
     profile,
     residuals,
     scoring,
+    sketches,
     splits,
     summary,
     tree_attribution,
@@ -32,7 +34,7 @@ from basketry.plans import analysis, experiments, testdata
 from basketry.session import prepare
 from basketry.settings import EVENT_COLUMNS, FEATURES, TARGET
 from basketry.sources import bronze, tables
-from basketry.streaming import ingest
+from basketry.streaming import ingest, live
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,6 +97,7 @@ LINEAR_WEIGHTS = (0.05, 0.1, -0.05, 0.2, 0.01, 0.02, 0.1)
 
 TOP_DATE = "2024-01-16"
 LINE_DATE = "1997-10-16"
+SKETCH_DAYS = ("2024-01-08", "2024-01-21")
 
 
 def linear_scorer() -> Column:
@@ -138,6 +141,15 @@ def _by_day(gold: DataFrame) -> DataFrame:
     return tables.read_gold(gold.sparkSession, path).select(*gold.columns)
 
 
+def _bucketed_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold as a catalog table in buckets, in as many as there are shuffle partitions."""
+    path = scratch.scratch_path(spark, "buckets")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables.write_bucketed_gold(_gold(spark, sf_dir), name, path, buckets)
+    return tables.read_bucketed_gold(spark, name)
+
+
 def _line_gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold of the sparse stream, written in date order: with years of small days, a folder for
     each would be thousands of tiny files, while row groups in order are skipped just as well."""
@@ -234,15 +246,18 @@ def clean_stats(spark, sf_dir):
     half = F.when(F.col("source_file") == "first-half", 0)
     number = half.when(F.col("event_id").cast("long") % 2 == 0, 1).otherwise(2)
     raw = testdata.dirty_bronze(spark, sf_dir).withColumn(bronze.SOURCE_NO, number).drop("event_id")
-    cleaned = scratch.materialise(cleaning.clean_events(raw, keep_source=True), "cleaned")
-    return cleaning.cleaning_stats(raw, cleaned, ["first-half", "second-half", "second-half"])
+    rows_in, rows_out = cleaning.RowCounts(3), cleaning.RowCounts(3)
+    cleaned = cleaning.clean_events(rows_in.watch(raw), keep_source=True)
+    scratch.materialise(rows_out.watch(cleaned), "cleaned")
+    names = ["first-half", "second-half", "second-half"]
+    return cleaning.counted_stats(spark, rows_in, rows_out, names)
 
 
 # -- sources and sinks ---------------------------------------------------------------------
 
 
-def _write_csv(rows: DataFrame, path: str, columns, codec: str = "none") -> None:
-    rows.select(*columns).write.option("compression", codec).csv(
+def _write_csv(rows: DataFrame, path: str, columns, codec: str = "none", mode: str = "error") -> None:
+    rows.select(*columns).write.mode(mode).option("compression", codec).csv(
         path,
         header=True,
         escape='"',
@@ -343,6 +358,34 @@ def streaming_ingest(spark, sf_dir):
     return ingest.ingest_folder(spark, landing, scratch.scratch_path(spark, "stream"))
 
 
+def _landed(rows: DataFrame, landing: str, parts: int, number: Column) -> None:
+    """Raw files that come one after the other, in the order of ``number``."""
+    for part in range(parts):
+        _write_csv(rows.where(number == part).coalesce(1), landing, EVENT_COLUMNS, mode="append")
+
+
+def streaming_dedup(spark, sf_dir):
+    """Three files of dirty rows, whose copies fall into different ones, as a stream of batches."""
+    landing, out, state = (scratch.scratch_path(spark, n) for n in ("landing", "live", "state"))
+    number = (F.xxhash64(*EVENT_COLUMNS) % 3 + 3) % 3
+    _landed(testdata.dirty_bronze(spark, sf_dir), landing, 3, number)
+    events = live.live_events(ingest.stream_bronze(spark, landing, 1), "60 days")
+    live.start(events, out, state).awaitTermination()
+    return spark.read.schema(events.schema).parquet(out)
+
+
+def streaming_product_days(spark, sf_dir):
+    """Ten days a file; the rows whose next active day closed before the stream stopped."""
+    landing, out, state = (scratch.scratch_path(spark, n) for n in ("landing", "days", "state"))
+    clicks = testdata.click_events(spark, sf_dir)
+    text = clicks.select(*(F.col(c).cast("string").alias(c) for c in EVENT_COLUMNS))
+    _landed(text, landing, 3, F.floor((F.dayofmonth(F.col("event_time").cast("timestamp")) - 1) / 11))
+    raw = ingest.stream_bronze(spark, landing, 1)
+    events = cleaning.normalise(raw).withWatermark("event_time", live.DELAY)
+    live.start(live.live_product_days(events), out, state).awaitTermination()
+    return spark.read.schema(live.product_day_schema()).parquet(out)
+
+
 # -- aggregates, profile -------------------------------------------------------------------
 
 
@@ -482,6 +525,33 @@ def _evaluate_models_lineitem(spark, sf_dir):
     return models.evaluate_models(_line_split(spark, sf_dir), params=STUMPS)[0]
 
 
+def _unique_viewers_sketch(spark, sf_dir):
+    """Viewers of a fortnight: merged daily sketches, held against the exact count."""
+    events = testdata.click_silver(spark, sf_dir)
+    stored = scratch.materialise(sketches.viewer_sketches(events), "sketches")
+    found = sketches.unique_viewers_sketch(stored, *SKETCH_DAYS).withColumnRenamed("unique_viewers", "estimate")
+    first, last = (F.lit(d).cast("date") for d in SKETCH_DAYS)
+    exact = summary.viewers(events.where(F.col("date").between(first, last)))
+    near = F.abs(F.col("estimate") - F.col("unique_viewers")) <= F.greatest(F.lit(0.5), 0.03 * F.col("unique_viewers"))
+    return exact.join(found, "product_id", "full").select("product_id", "unique_viewers", near.alias("within_3_percent"))
+
+
+def _activity_sketch(spark, sf_dir):
+    """Activity cuts of each side of a split, merged from sketches of every day, and their rank error."""
+    rows = _line_split(spark, sf_dir).both.select("is_test", "date", F.col("views"))
+    rows = scratch.materialise(rows, "activity")
+    daily_sketches = sketches.activity_sketches(rows, ["is_test", "date"])
+    cuts = sketches.sketch_quantiles(sketches.merged_sketches(daily_sketches, ["is_test"]))
+    shares = [
+        F.count_if(F.col("views") < F.col(c)) / F.count("*") <= q + 0.01 for c, q in (("low_cut", 0.33), ("high_cut", 0.66))
+    ] + [F.count_if(F.col("views") <= F.col(c)) / F.count("*") >= q - 0.01 for c, q in (("low_cut", 0.33), ("high_cut", 0.66))]
+    return (
+        rows.join(cuts, "is_test")
+        .groupBy("is_test")
+        .agg(F.count("*").alias("n"), reduce(Column.__and__, shares).alias("within_1_percent"))
+    )
+
+
 def _evaluate_ensembles(split: splits.Split) -> DataFrame:
     return models.evaluate_models(split, params=ENSEMBLES, models=tuple(ENSEMBLES))[0]
 
@@ -539,8 +609,21 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _baseline_on_buckets(spark, sf_dir):
+    gold = splits.labelled(_bucketed_gold(spark, sf_dir))
+    return baselines.baseline_predictions(experiments.make_split(gold, CLICK_EXPERIMENTS["e2"]))
+
+
 def _predict_lookup(spark, sf_dir):
-    answers = scoring.score(_gold_table(spark, sf_dir), requests(spark, sf_dir))
+    return _lookup_answers(_gold_table(spark, sf_dir), requests(spark, sf_dir))
+
+
+def _predict_lookup_on_buckets(spark, sf_dir):
+    return _lookup_answers(_bucketed_gold(spark, sf_dir), requests(spark, sf_dir))
+
+
+def _lookup_answers(gold, asked):
+    answers = scoring.score(gold, asked)
     used = [F.col("features_used")[c].alias(f"used_{c}") for c in FEATURES]
     return answers.select(*[c for c in answers.columns if c != "features_used"], *used)
 
@@ -635,6 +718,7 @@ _QUERIES: dict[str, Query] = {
     "product_counts": _on_clicks(summary.product_counts),
     "product_rates": _on_clicks(summary.product_rates),
     "unique_viewers": _on_clicks(summary.unique_viewers),
+    "unique_viewers_sketch": _unique_viewers_sketch,
     "repeat_viewers": _on_clicks(summary.repeat_viewers),
     "avg_purchase_price": _on_clicks(summary.avg_purchase_price),
     "peak_view_hour": _on_clicks(summary.peak_view_hour),
@@ -674,6 +758,7 @@ _QUERIES: dict[str, Query] = {
     "baseline_lag1": _baseline_lag1,
     "baseline_ma7": _baseline_ma7,
     "baseline_on_split": lambda s, d: baselines.baseline_predictions(_split(s, d, "e2")),
+    "baseline_on_buckets": _baseline_on_buckets,
     "hist_mean": _hist_mean,
     "metrics_baselines": _metrics_long,
     "evaluate_baselines": lambda s, d: models.evaluate_baselines(_split(s, d)),
@@ -707,6 +792,7 @@ _QUERIES: dict[str, Query] = {
     "tree_attribution": _tree_attribution,
     # scoring
     "predict_lookup": _predict_lookup,
+    "predict_lookup_on_buckets": _predict_lookup_on_buckets,
     "predict_lookup_lineitem": _predict_lookup_lineitem,
     "predict_lookup_model": _predict_lookup_model,
     "top_products": _on_gold(scoring.top_products),
@@ -729,10 +815,13 @@ _QUERIES: dict[str, Query] = {
     ),
     "residual_histogram_lineitem": _on_line_forecast(residuals.residual_histogram),
     "error_by_activity_lineitem": _on_line_forecast(residuals.error_by_activity),
+    "activity_sketch": _activity_sketch,
     "pred_vs_actual": _on_forecast(lambda f: residuals.pred_vs_actual(f, "ma7")),
     "experiment_comparison": _comparison,
     # incremental ingest
     "streaming_ingest": streaming_ingest,
+    "streaming_dedup": streaming_dedup,
+    "streaming_product_days": streaming_product_days,
 }
 
 

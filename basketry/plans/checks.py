@@ -11,6 +11,7 @@ from basketry.plans.catalog import (
     LINE_DATE,
     LINE_EXPERIMENT,
     LINEAR_WEIGHTS,
+    SKETCH_DAYS,
     STUMP_LEAVES,
     STUMP_SPACES,
     TOP_DATE,
@@ -753,7 +754,7 @@ chosen AS (
 def oracle_sql() -> dict[str, str]:
     raw_out = f"SELECT event_id, {', '.join(EVENT_COLUMNS)} FROM raw"
     day = f"{_DAY.format('date')} AS date"
-    return {
+    found = {
         "bronze_scan": _with(_DIRTY, f"SELECT {', '.join(EVENT_COLUMNS)}, source_file FROM raw"),
         "bronze_limit": _with(
             _DIRTY,
@@ -804,6 +805,23 @@ def oracle_sql() -> dict[str, str]:
         "clean_dedup": _with(_NORMAL, f"SELECT {_EVENT_OUT} FROM single"),
         "clean_all": _with(_NORMAL, _CLEAN_OUT),
         "clean_stats": _with(_STATS, "SELECT source_no, source_file, rows_in, rows_out FROM stats"),
+        "streaming_dedup": _with(_NORMAL, _CLEAN_OUT),
+        "streaming_product_days": _with(
+            _CLICK_GOLD,
+            f"SELECT {_GOLD_COLUMNS} FROM (SELECT *, lead(date) OVER (PARTITION BY product_id "
+            "ORDER BY date) AS following FROM gold) "
+            "WHERE following + INTERVAL 1 DAY <= (SELECT max(event_time) FROM silver) - INTERVAL 2 DAY",
+        ),
+        "unique_viewers_sketch": _with(
+            _SILVER,
+            "SELECT product_id, count(DISTINCT user_id) AS unique_viewers, true AS within_3_percent FROM silver "
+            f"WHERE event_type = 'view' AND date BETWEEN DATE '{SKETCH_DAYS[0]}' AND DATE '{SKETCH_DAYS[1]}' "
+            "GROUP BY product_id",
+        ),
+        "activity_sketch": _with(
+            _ON_LINES,
+            "SELECT side = 'test' AS is_test, count(*) AS n, true AS within_1_percent FROM sides_l GROUP BY side",
+        ),
         "streaming_ingest": _with(_NORMAL, _CLEAN_OUT),
         "product_counts": _with(_SILVER, _TOTALS),
         "product_rates": _with(
@@ -1046,3 +1064,7 @@ scored AS (SELECT *, {_SCORE} AS p FROM gold WHERE gold.date = DATE '{LINE_DATE}
             + ", CAST(NULL AS DOUBLE) AS e_final_tuned FROM ranked GROUP BY model",
         ),
     }
+    # the same rows from gold in buckets
+    found["baseline_on_buckets"] = found["baseline_on_split"]
+    found["predict_lookup_on_buckets"] = found["predict_lookup"]
+    return found

@@ -13,8 +13,12 @@ from pyspark.sql.streaming import StreamingQuery
 from basketry.operators import cleaning
 from basketry.session import prepare
 from basketry.settings import EVENT_COLUMNS
-from basketry.sources.tables import read_silver, write_silver
+from basketry.sources.tables import write_silver
 
+_SILVER_SCHEMA = (
+    "event_time timestamp, event_type string, product_id long, category_id long, category_code string, "
+    "brand string, price double, user_id long, user_session string, date date"
+)
 _RAW_SCHEMA = ", ".join(f"{c} string" for c in EVENT_COLUMNS)
 
 
@@ -53,8 +57,7 @@ def start_ingest(
 
 def read_ingested(spark: SparkSession, silver: str) -> DataFrame:
     """Silver events of all batches, with the copies that fell into different batches dropped."""
-    rows = spark.read.parquet(silver)
-    return cleaning.drop_copies(rows.select(*EVENT_COLUMNS, "date"))
+    return cleaning.drop_copies(_stored(spark, silver, _SILVER_SCHEMA))
 
 
 def ingest_folder(spark: SparkSession, folder: str, target: str) -> DataFrame:
@@ -68,7 +71,7 @@ def ingest_folder(spark: SparkSession, folder: str, target: str) -> DataFrame:
     """
     stream = stream_bronze(prepare(spark), folder)
     start_ingest(stream, f"{target}/batches", f"{target}/state").awaitTermination()
-    batches = spark.read.parquet(f"{target}/batches")
+    batches = _stored(spark, f"{target}/batches", f"{_SILVER_SCHEMA}, batch int")
     fresh = batches.where(F.col("batch") > _last_settled(spark, f"{target}/settled"))
     found = fresh.groupBy("date").agg(F.max("batch").alias("batch")).collect()  # a row for each day
     if found:
@@ -77,7 +80,21 @@ def ingest_folder(spark: SparkSession, folder: str, target: str) -> DataFrame:
         write_silver(rows, f"{target}/silver", only_days=True)
         note = spark.createDataFrame([(max(r["batch"] for r in found),)], "batch int")
         note.write.mode("append").json(f"{target}/settled")
-    return read_silver(spark, f"{target}/silver")
+    return _stored(spark, f"{target}/silver", _SILVER_SCHEMA)
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table that has no files, or no folder, as long as no valid row has come."""
+    try:
+        return spark.read.schema(schema).parquet(path).select(*_columns(schema))
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def _columns(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(", ")]
 
 
 def _last_settled(spark: SparkSession, path: str) -> int:

@@ -7,6 +7,7 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from basketry.operators import baselines, daily, folds, models, scoring, splits, summary
@@ -167,3 +168,40 @@ def test_metrics_of_six_models_take_one_pass(gold):
     split = splits.split_first_n(splits.labelled(gold), 20, 5)
     table, _ = models.evaluate_models(split, params=catalog.STUMPS, models=("random_forest",))
     assert physical(table).count("FileScan") == 1
+
+
+def test_gold_in_buckets_is_not_shuffled(spark, tmp_path):
+    from basketry.sources import tables
+
+    gold = daily.product_by_day(testdata.click_silver(spark, SF_DIR))
+    tables.write_bucketed_gold(gold, "gold_in_buckets", str(tmp_path / "gold"), 8)
+    try:
+        held = tables.read_bucketed_gold(spark, "gold_in_buckets")
+        split = splits.split_first_n(splits.labelled(held), 20, 5)
+        assert "Exchange" not in physical(baselines.with_baselines(split))
+        assert "Exchange" not in physical(summary.with_rates(held.groupBy("product_id").agg(
+            *(F.sum(c).alias(f"total_{c}") for c in ("views", "carts", "purchases"))
+        )))
+        # a lookup moves its requests alone
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = physical(scoring.score(held, catalog.requests(spark, SF_DIR)))
+        above = nodes_above(plan, "gold_in_buckets")
+        assert any("SortMergeJoin" in node for node in above)
+        first_join = next(k for k, node in enumerate(above) if "Join" in node)
+        assert not [node for node in above[: first_join + 1] if "Exchange" in node]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE gold_in_buckets")
+
+
+def nodes_above(plan: str, scan: str) -> list[str]:
+    """The nodes from a scan up to the root of a plan."""
+    lines = plan.splitlines()
+    depth = [len(re.match(r"[\s:+-]*", line)[0]) for line in lines]
+    at = next(k for k, line in enumerate(lines) if "FileScan" in line and scan in line)
+    found = []
+    for k in range(at, -1, -1):
+        if depth[k] < depth[at]:
+            found.append(lines[k])
+            at = k
+    return found

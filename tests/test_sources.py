@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import glob
 import gzip
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -171,3 +172,25 @@ def test_scratch_follows_the_session(spark):
         assert first.startswith(root.rstrip("/"))
     else:
         assert spark.sparkContext.getCheckpointDir()
+
+
+def test_raw_files_are_read_once(spark, months, tmp_path, monkeypatch):
+    """The rows in and out are known although the raw files are gone after the write."""
+    import shutil
+
+    (tmp_path / "raw").mkdir()
+    raw = [shutil.copy(m, tmp_path / "raw") for m in months]
+    write = tables.write_silver
+
+    def write_and_lose(*args, **kwargs):
+        write(*args, **kwargs)
+        for path in raw:
+            Path(path).rename(f"{path}.gone")
+
+    monkeypatch.setattr(tables, "write_silver", write_and_lose)
+    build.build_silver(spark, [str(r) for r in raw], str(tmp_path / "silver"), str(tmp_path / "log"))
+    monkeypatch.undo()
+    build.build_silver(spark, months, str(tmp_path / "silver2"), str(tmp_path / "log2"))
+    columns = ("source_no", "rows_in", "rows_out")
+    one, two = (sorted(map(tuple, spark.read.json(str(tmp_path / n)).select(*columns).collect())) for n in ("log", "log2"))
+    assert one == two and sum(r[2] for r in one) == spark.read.parquet(str(tmp_path / "silver")).count()

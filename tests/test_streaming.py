@@ -55,3 +55,16 @@ def test_a_replayed_batch_replaces_itself(spark, rows, tmp_path):
         stream = ingest.stream_bronze(spark, str(folder))
         ingest.start_ingest(stream, str(silver), str(tmp_path / attempt)).awaitTermination()
     assert spark.read.parquet(str(silver)).count() == 10
+
+
+def test_folders_without_a_valid_row(spark, rows, tmp_path):
+    folder, target = tmp_path / "in", tmp_path / "out"
+    folder.mkdir()
+    want = cleaning.clean_events(raw_frame(spark, RAW[9:11]))
+    nothing = ingest.ingest_folder(spark, str(folder), str(target))
+    assert nothing.collect() == [] and nothing.schema.simpleString() == want.schema.simpleString()
+    write(folder, "1.csv", RAW[9:11])  # a bad time, an unknown type
+    again = ingest.ingest_folder(spark, str(folder), str(target))
+    assert again.collect() == [] and again.columns == want.columns
+    write(folder, "2.csv", RAW)
+    assert rows(ingest.ingest_folder(spark, str(folder), str(target))) == rows(cleaning.clean_events(raw_frame(spark)))
