@@ -3,11 +3,14 @@
 Tasks get Arrow batches, cut them into blocks of about ``BLOCK_BYTES`` and work on the bytes
 of a whole block at once. A text longer than that is a block of its own; nothing is cut off.
 Hashes are 64 bits wide. Their constants are drawn from a fixed seed, so every task of every
-run gives equal words equal hashes.
+run gives equal words equal hashes. Short spans have polynomials modulo 2^64, all of a block at once;
+some different texts of a thousand characters and more agree in every such polynomial, so spans
+of over ``LONG`` elements have a digest instead.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +19,7 @@ import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 20
 BATCH_ROWS = 500
+LONG = 128
 
 _draw = np.random.Generator(np.random.PCG64(20240229))
 _BYTE_CODES = _draw.integers(1, 2**64 - 1, 256, dtype=np.uint64)
@@ -116,7 +120,18 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE_CODES[data] * _power("base", _BASE, max(n, 1))[:n], out=sums[1:])
     inverse = _power("inverse", _BASE_INVERSE, n + 1)
-    return mix((sums[ends] - sums[starts]) * inverse[starts])
+    return _long_digested(mix((sums[ends] - sums[starts]) * inverse[starts]), data, starts, ends)
+
+
+def _long_digested(hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``hashes`` with those of long spans replaced by digests of the spans."""
+    long = np.flatnonzero(ends - starts > LONG)
+    if len(long):
+        data = np.ascontiguousarray(data)
+        spans = zip(starts[long].tolist(), ends[long].tolist())
+        digests = b"".join(hashlib.blake2b(data[a:b], digest_size=8).digest() for a, b in spans)
+        hashes[long] = np.frombuffer(digests, np.uint64)
+    return hashes
 
 
 def sequence_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -125,7 +140,8 @@ def sequence_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) ->
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(hashes * _power("base", _BASE, max(n, 1))[:n], out=sums[1:])
     inverse = _power("inverse", _BASE_INVERSE, n + 1)
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    own = mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    return _long_digested(own, hashes, starts, ends)
 
 
 class Words:
