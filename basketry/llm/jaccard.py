@@ -146,7 +146,7 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def memberships(signed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(shingle, tile, members, uid, n, bits): who shares one of its first shingles with another."""
+    """(shingle, tile, members, uid, n): who shares one of its first shingles with another."""
     reps = classes.select(F.col("rep").alias("uid"))
     postings = (
         signed.where("n > 0")
@@ -177,8 +177,18 @@ def memberships(signed: DataFrame, classes: DataFrame, percent: int) -> DataFram
     large = joined.where(F.col("members") > TILE).withColumn(
         "tile", F.pmod(F.xxhash64("uid"), F.ceil(F.col("members") / TILE))
     )
-    found = small.unionByName(large)
-    return stored(found.join(signed.select("uid", "bits"), "uid"), "members")
+    return stored(small.unionByName(large), "members")
+
+
+def with_bitmaps(units: DataFrame, signed: DataFrame) -> DataFrame:
+    """Units with their members' bitmaps, which are by far their largest part and so come last.
+
+    A filter of the members' ids keeps most bitmaps of others from being shuffled.
+    """
+    key = F.xxhash64("uid")
+    words = bloom.build(units.select("uid").distinct().select(key.alias("key")), "key")
+    bits = signed.where(bloom.may_contain(signed.sparkSession, words, key)).select("uid", "bits")
+    return units.join(bits, "uid")
 
 
 # -- signature trees -----------------------------------------------------------------------
@@ -433,7 +443,7 @@ def link(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) ->
     complete = not tiled  # members of other tiles are met as visitors, from the second round on
     most = 1
     while True:
-        pairs = stored(candidates(units, percent, most), "pairs")
+        pairs = stored(candidates(with_bitmaps(units, signed), percent, most), "pairs")
         if not pairs.isEmpty():
             checked = verified(docs, signed, pairs, words, percent)
             good, bad = checked.where("linked").select("a", "b"), checked.where("NOT linked").select("a", "b")
@@ -443,7 +453,7 @@ def link(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) ->
             break
         else:
             failed = pairs.select("a", "b")
-        units = _active(members, labels, failed, tiled)
+        units = stored(_active(members, labels, failed, tiled), "units")
         complete = True
         most *= FORESTS
     found = classes.withColumn("component", F.col("rep"))
