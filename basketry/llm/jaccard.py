@@ -15,6 +15,7 @@ could join two components are decided on the whole sets.
 4. The forest's pairs are checked on whole sets, the true ones join components, and the traversal
    starts again with the new components, without the pairs that failed, until no pair is left.
    So large groups of near copies cost about one check for each member, not one for each pair.
+   A unit that gives no pair is done and takes no part in later rounds.
    Where pairs fail, later rounds choose several forests at once, ever more of them.
 5. Shingles of more than ``TILE`` members are cut into tiles. After the first round the members
    outside the largest component of such a shingle visit all its tiles, so no pair is missed.
@@ -155,10 +156,11 @@ def memberships(signed: DataFrame, classes: DataFrame, percent: int) -> DataFram
         .select(F.explode("head").alias("shingle"), "uid", "n")
     )
     same = ("members", "x1", "x2")
+    # counting sizes, so that both uses of the postings have the same columns and share a shuffle
     shared = (
         postings.groupBy("shingle")
         .agg(
-            F.count("*").alias("members"),
+            F.count("n").alias("members"),
             F.bit_xor(F.xxhash64("uid")).alias("x1"),
             F.bit_xor(F.xxhash64("uid", F.lit(1))).alias("x2"),
         )
@@ -337,17 +339,19 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.nda
 
 
 def candidates(units: DataFrame, percent: int, most: int) -> DataFrame:
-    """(a, b) of the pairs to check next."""
+    """(a, b, shingle, tile): the pairs to check next, and the units that want them checked."""
 
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit, failed in _units(batches):
             pairs = forests(unit, failed, percent, most)
             if pairs:
-                a, b = zip(*pairs)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                a, b = (pa.array(x, pa.int64()) for x in zip(*pairs))
+                names = ["a", "b", "shingle", "tile"]
+                own = [pa.array(unit[c][:1].repeat(len(pairs))) for c in names[2:]]
+                yield pa.RecordBatch.from_arrays([a, b, *own], names)
 
     together = units.repartition("shingle", "tile").sortWithinPartitions("shingle", "tile")
-    return together.mapInArrow(traverse, "a long, b long").distinct()
+    return together.mapInArrow(traverse, "a long, b long, shingle long, tile long")
 
 
 # -- rounds --------------------------------------------------------------------------------
@@ -387,6 +391,16 @@ def verified(docs: DataFrame, signed: DataFrame, pairs: DataFrame, words: int, p
     return out
 
 
+def _busy(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the units that may still give pairs.
+
+    A unit without tiles that gives no pair is done: components only grow, failed pairs only become more.
+    """
+    units = found.select("shingle", "tile").distinct()
+    small = members.where(F.col("members") <= TILE).join(units, ["shingle", "tile"], "left_semi")
+    return small.select(*members.columns).unionByName(members.where(F.col("members") > TILE))
+
+
 def _active(members: DataFrame, node_component: DataFrame | None, failed: DataFrame, tiled: bool) -> DataFrame:
     """Members of units that span components; if there are tiles, with visitors in them."""
     if node_component is None:
@@ -443,7 +457,8 @@ def link(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) ->
     complete = not tiled  # members of other tiles are met as visitors, from the second round on
     most = 1
     while True:
-        pairs = stored(candidates(with_bitmaps(units, signed), percent, most), "pairs")
+        wanted = stored(candidates(with_bitmaps(units, signed), percent, most), "candidates")
+        pairs = stored(wanted.select("a", "b").distinct(), "pairs")
         if not pairs.isEmpty():
             checked = verified(docs, signed, pairs, words, percent)
             good, bad = checked.where("linked").select("a", "b"), checked.where("NOT linked").select("a", "b")
@@ -453,7 +468,7 @@ def link(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) ->
             break
         else:
             failed = pairs.select("a", "b")
-        units = stored(_active(members, labels, failed, tiled), "units")
+        units = stored(_active(_busy(members, wanted), labels, failed, tiled), "units")
         complete = True
         most *= FORESTS
     found = classes.withColumn("component", F.col("rep"))
