@@ -1,16 +1,20 @@
 """Main text of HTML pages by two passes of block rules.
 
 A page is cut into blocks at block-level tags. Regions that hold no article (menus, page headers
-and footers, sidebars, forms, adverts, notices, reader comments, by tag name or by a word of their
-class, id or role, unless a word such as ``has`` or ``no`` stands before it in the same token) are
-not content whatever they say. The first pass decides blocks by link
+and footers, sidebars, forms, adverts, notices, reader comments, by tag name or by their class, id
+or role) are not content whatever they say. A class names such a region if its last word does
+(``left-sidebar``), or its first before words that only name boxes (``comments-list``); what follows
+``--`` is left out, and a word such as ``has`` or ``no`` before it undoes it. Classes of ``main`` and ``article``
+say nothing unless all of them do. The first pass decides blocks by link
 density, length and stop-word density; blocks inside ``article`` or ``main`` count as content
-unless links fill them, and where a page has such a region the rest of it is not content. Stop words
+unless links fill them, and where a page has such a region the rest of it is not content, unless
+the rest has more than twice as much text that the rules take for content (teasers). Stop words
 decide only where the page shows that its language is in the lists, that is if they are a tenth of
 the words of its longer blocks, and never a block whose letters are mostly of another script; all
 other long blocks that links do not fill are content. Short blocks stay undecided. In the second pass these take the label of the nearest decided block of
 their region, content at a tie; a region without any decided block is content unless the page has
-its article elsewhere.
+its article elsewhere. If all this leaves nothing, forms and regions named for a page's layout
+(search, sidebars, widgets) that hold at least half of the page's text count as wrappers of the article.
 
 Null and empty pages give an empty text. Character references are decoded, white space inside a
 block becomes one space, and the blocks are joined by line breaks in page order. Pages are taken
@@ -46,6 +50,7 @@ STOP_WORDS = frozenset(
     "su sus un una y ya".split()
 )
 RAW_TAGS = "script style textarea title noscript template svg iframe select button object canvas video audio"
+CODE_TAGS = frozenset("script style".split())
 SKIPPED_TAGS = frozenset("nav header footer aside form menu dialog head".split())
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure "
@@ -61,17 +66,25 @@ HINTS = frozenset(
     "contentinfo search".split()
 )
 QUALIFIERS = frozenset("has have no non not with without".split())
+BOXES = frozenset(
+    "area bar block body box col column container content form group holder inner item items left link links list "
+    "main outer panel region right section slot space title top unit wrap wrapper zone".split()
+)
+# Marks that name a part of a page's layout, so that a careless page may give them to the whole of it.
+LAYOUT = frozenset(
+    "menu nav navbar navigation related search share sharing sidebar sidebars social toolbar widget widgets".split()
+)
 COMMENTS = frozenset("comment comments disqus replies reply respond".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({RAW_TAGS.replace(' ', '|')})\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>"""
     r"|</?[a-zA-Z][^>]*(?:>|\Z)"
     r"|([^<]+|<)",
-    re.S | re.I,
+    re.S,
 )
+_RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW_TAGS.split()}
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 _OTHER_SCRIPT = re.compile(r"[^\W\d_\u0000-\u024f\u1e00-\u1eff]")
@@ -79,17 +92,26 @@ _OTHER_SCRIPT = re.compile(r"[^\W\d_\u0000-\u024f\u1e00-\u1eff]")
 _WIDE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
-def _marks(attributes: str) -> set[str]:
+def _mark(token: str) -> str | None:
+    """The hint that a class names, if it does."""
+    words = [w for w in re.split(r"[_-]+", token.split("--")[0]) if w]
+    if not words or QUALIFIERS & set(words):
+        return None
+    if words[-1] in HINTS:
+        return words[-1]
+    rest = (w in BOXES or w.isdigit() for w in words[1:])
+    return words[0] if words[0] in HINTS and all(rest) else None
+
+
+def _marks(name: str, attributes: str) -> set[str]:
+    """Hints of a tag's class, id and role."""
     if "=" not in attributes:
         return set()
-    values = " ".join("".join(m) for m in _MARKS.findall(attributes))
-    marks = set()
-    for token in values.lower().split():
-        for word in re.split(r"[_-]+", token):
-            if word in QUALIFIERS:  # has-sidebar and no-sidebar say something of the page, not of the region
-                break
-            marks.add(word)
-    return marks
+    tokens = " ".join("".join(m) for m in _MARKS.findall(attributes)).lower().split()
+    found = [_mark(token) for token in tokens]
+    if name in ("article", "main") and None in found:  # "post comments" is a post
+        return set()
+    return {mark for mark in found if mark is not None}
 
 
 class _Block:
@@ -99,31 +121,46 @@ class _Block:
         self.text, self.links, self.inside, self.skipped = text, links, inside, skipped
 
 
-def _cut(page: str) -> list[_Block]:
-    """Blocks with some text, in page order."""
+def _cut(page: str, wrappers: frozenset[int] = frozenset()) -> tuple[list[_Block], frozenset[int]]:
+    """Blocks with some text, in page order; and the numbers of the forms and layout regions with half of it.
+
+    The regions with the given numbers are entered as if they had no name.
+    """
     blocks: list[_Block] = []
-    open_tags: list[tuple[str, bool, bool, bool]] = []  # name, skipped, by comments, inside an article
+    open_tags: list[tuple[str, bool, bool, bool, int]] = []  # name, skipped, by comments, inside an article, number
+    count_open: dict[str, int] = {}
+    layout: dict[int, tuple[int, int]] = {}  # region number: characters of text before it and up to its end
+    endless: set[str] = set()  # raw tags that nothing closes any more
     skipped = comments = inside = False
     parts: list[str] = []
-    links = link_depth = 0
+    links = link_depth = size = number = at = 0
 
     def flush() -> None:
-        nonlocal links
+        nonlocal links, size
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 blocks.append(_Block(text, min(links, len(text)), inside, skipped))
+                size += len(text)
             parts.clear()
         links = 0
 
-    for token in _TOKEN.finditer(page):
-        raw, closing, name, attributes, text = token.groups()
+    def close(k: int) -> None:
+        for tag, *_, region in open_tags[k:]:
+            count_open[tag] -= 1
+            if region in layout:
+                layout[region] = (layout[region][0], size)
+        del open_tags[k:]
+
+    while token := _TOKEN.match(page, at):
+        at = token.end()
+        closing, name, attributes, text = token.groups()
         if text is not None:
             parts.append(text)
             if link_depth:
                 links += len(text.strip())
             continue
-        if name is None:  # comments, scripts, broken ends
+        if name is None:  # comments, broken ends
             continue
         name = name.lower()
         if name == "a":
@@ -132,6 +169,15 @@ def _cut(page: str) -> list[_Block]:
         if name == "br":
             parts.append(" ")
             continue
+        if name in _RAW_ENDS and not closing and not (name == "svg" and attributes.endswith("/")):
+            end = None if name in endless else _RAW_ENDS[name].search(page, at)
+            if end is not None:
+                at = end.end()
+            elif name in CODE_TAGS:
+                break
+            else:
+                endless.add(name)
+            continue
         if name not in BLOCK_TAGS:
             continue
         flush()
@@ -140,27 +186,36 @@ def _cut(page: str) -> list[_Block]:
         if name in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6"):
             link_depth = 0
         if closing:
-            for k in range(len(open_tags) - 1, -1, -1):
-                if open_tags[k][0] == name:
-                    del open_tags[k:]
-                    break
+            if count_open.get(name):  # else no search, so that stray ends cost nothing
+                k = len(open_tags) - 1
+                while open_tags[k][0] != name:
+                    k -= 1
+                close(k)
         elif name not in ("html", "body"):
             if name == "p" and open_tags and open_tags[-1][0] == "p":
-                open_tags.pop()
-            _, was_skipped, was_comments, was_inside = open_tags[-1] if open_tags else ("", False, False, False)
-            marks = _marks(attributes)
+                close(len(open_tags) - 1)
+            number += 1
+            _, was_skipped, was_comments, was_inside, _ = open_tags[-1] if open_tags else ("", False, False, False, 0)
+            marks = _marks(name, attributes)
+            soft = name == "form" or bool(marks & HINTS)
+            if soft and marks <= LAYOUT and (name == "form" or name not in SKIPPED_TAGS):
+                layout[number] = (size, size)
+                if number in wrappers:
+                    marks, soft = set(), False
             by_comments = was_comments or bool(marks & COMMENTS)
             opens = name in ("article", "main")
             skip = (
                 by_comments
-                or bool(marks & HINTS)
-                or (name in SKIPPED_TAGS and not (name == "header" and was_inside))
+                or soft
+                or (name in SKIPPED_TAGS and name != "form" and not (name == "header" and was_inside))
                 or (was_skipped and not opens)
             )
-            open_tags.append((name, skip, by_comments, was_inside or (opens and not skip)))
-        _, skipped, comments, inside = open_tags[-1] if open_tags else ("", False, False, False)
+            open_tags.append((name, skip, by_comments, was_inside or (opens and not skip), number))
+            count_open[name] = count_open.get(name, 0) + 1
+        _, skipped, comments, inside, _ = open_tags[-1] if open_tags else ("", False, False, False, 0)
     flush()
-    return blocks
+    close(0)
+    return blocks, frozenset(n for n, (low, high) in layout.items() if high > low and 2 * (high - low) >= size)
 
 
 def _stop_share(text: str) -> float:
@@ -202,25 +257,41 @@ def _first_pass(block: _Block, has_article: bool, listed: bool) -> bool | None:
     return None if share >= STOP_LOW else False
 
 
-def main_text(page: str | None) -> str:
-    blocks = _cut(page or "")
+def _teasers_alone(blocks: list[_Block], listed: bool) -> bool:
+    """Whether the text outside ``article`` and ``main`` is so much more that they hold teasers only."""
+    held = sum(len(b.text) for b in blocks if b.inside and not b.skipped and b.links <= len(b.text) * MOST_LINKS)
+    rest = [b for b in blocks if not b.inside and not b.skipped and _first_pass(b, False, listed)]
+    return sum(len(b.text) for b in rest) > 2 * held
+
+
+def _content(blocks: list[_Block]) -> list[_Block]:
     has_article = any(b.inside and not b.skipped for b in blocks)
-    listed = not has_article and _listed_language(blocks)
+    listed = False
+    if not has_article or any(not b.inside and not b.skipped and len(b.text) >= SHORT for b in blocks):
+        listed = _listed_language(blocks)
+        has_article = has_article and not _teasers_alone(blocks, listed)
     labels = [_first_pass(b, has_article, listed) for b in blocks]
-    region = [k for k, b in enumerate(blocks) if not b.skipped and b.inside == has_article]
+    region = [k for k, b in enumerate(blocks) if not b.skipped and (b.inside or not has_article)]
     decided = [k for k in region if labels[k] is not None]
     if not decided:
-        kept = region
-    else:
-        kept, at = [], 0
-        for k in region:
-            while at + 1 < len(decided) and decided[at + 1] <= k:
-                at += 1
-            near = decided[at : at + 2]
-            distance = min(abs(d - k) for d in near)
-            if any(labels[d] for d in near if abs(d - k) == distance):
-                kept.append(k)
-    return "\n".join(blocks[k].text for k in kept)
+        return [blocks[k] for k in region]
+    kept, at = [], 0
+    for k in region:
+        while at + 1 < len(decided) and decided[at + 1] <= k:
+            at += 1
+        near = decided[at : at + 2]
+        distance = min(abs(d - k) for d in near)
+        if any(labels[d] for d in near if abs(d - k) == distance):
+            kept.append(blocks[k])
+    return kept
+
+
+def main_text(page: str | None) -> str:
+    blocks, wrappers = _cut(page or "")
+    kept = _content(blocks)
+    if not kept and wrappers:
+        kept = _content(_cut(page, wrappers)[0])
+    return "\n".join(b.text for b in kept)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +304,10 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def extract(pages: DataFrame, keep: list[str] = ("page_id", "url")) -> DataFrame:
-    """The columns ``keep`` of every page with its main ``text``."""
+    """The columns ``keep`` of every page with its main ``text``, which replaces one of that name."""
     small_batches(pages.sparkSession)
-    rows = pages.select(*keep, F.col("html").cast("string").alias("_html"))
-    return rows.mapInArrow(_extract, rows.drop("_html").schema.add("text", "string"))
+    names = [c for c in keep if c != "text"]
+    # under names of their own, as a kept column may have the name of the page's
+    own = [f"kept_{i}" for i in range(len(names))]
+    rows = pages.select(*(F.col(f"`{c}`").alias(k) for c, k in zip(names, own)), F.col("html").cast("string").alias("_html"))
+    return rows.mapInArrow(_extract, rows.drop("_html").schema.add("text", "string")).toDF(*names, "text")

@@ -180,3 +180,43 @@ def repeated_bytes(texts, width=200):
         spans = len(re.findall(b"\1+", bytes(gone)))
         out.append((sum(gone), spans, bytes(c for c, g in zip(r, gone) if not g)))
     return out
+
+
+def main_blocks(blocks, stop_words):
+    """Texts of the (text, linked characters, inside an article, in a skipped region) that are content."""
+
+    def letters(text):
+        return re.findall(r"[^\W\d_]+", text.lower())
+
+    def share(texts):
+        found = [w for t in texts for w in letters(t)]
+        return sum(w in stop_words for w in found) / len(found) if found else 0
+
+    open_blocks = [b for b in blocks if not b[3]]
+    unlinked = [b for b in open_blocks if b[1] <= len(b[0]) / 3]
+    listed = share([b[0] for b in unlinked if len(b[0]) >= 70]) >= 0.1
+
+    def label(text, links, trusted):
+        if links > len(text) / 3:
+            return False
+        if len(text) < 70:
+            return None
+        low = 0.3 if len(text) < 200 else 0.15
+        if trusted or not listed or share([text]) >= low:
+            return True
+        return None if share([text]) >= 0.15 else False
+
+    outside = sum(len(b[0]) for b in open_blocks if not b[2] and label(b[0], b[1], False))
+    article = any(b[2] for b in open_blocks) and outside <= 2 * sum(len(b[0]) for b in unlinked if b[2])
+    region = [b for b in open_blocks if b[2] or not article]
+    all_labels = [label(b[0], b[1], b[2]) for b in blocks]
+    marks = {k: all_labels[k] for k, b in enumerate(blocks) if not b[3] and (b[2] or not article) and all_labels[k] is not None}
+    if not marks:
+        return [b[0] for b in region]
+    out = []
+    for k, b in enumerate(blocks):
+        if not b[3] and (b[2] or not article):
+            nearest = min(abs(k - d) for d in marks)
+            if any(good for d, good in marks.items() if abs(k - d) == nearest):
+                out.append(b[0])
+    return out
