@@ -29,7 +29,7 @@ from basketry.llm.tables import stored
 
 WIDTH = 1024
 END_ID = 0
-SALTS = 64
+ROWS_A_SALT = 1 << 16
 MOST_REMEMBERED = 1_000_000
 
 _OTHER, _LETTER, _NUMBER, _SPACE, _UNSEEN = range(5)
@@ -279,9 +279,16 @@ def _slots(patterns: list[tuple[int, tuple[int, ...]]]) -> list[tuple[int, int,
     return slots
 
 
-def _numbered(pieces: DataFrame, by: str, order: list[str]) -> DataFrame:
-    """Adds ``rank``: 0, 1, … among the rows with the same ``by``, without sorting them in one task."""
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)).cast("int"))
+def _numbered(
+    pieces: DataFrame, by: str, order: list[str], sizes: dict[int, int], rows_a_salt: int = ROWS_A_SALT
+) -> DataFrame:
+    """Adds ``rank``: 0, 1, … among the rows with the same ``by``, without sorting them in one task.
+
+    ``sizes`` says how many rows a value has: it is sorted in parts of some ``rows_a_salt`` rows, so
+    that a task's rows do not grow with the corpus, and what adds up over parts is one count for each.
+    """
+    parts = pieces.sparkSession.createDataFrame([(k, 1 + n // rows_a_salt) for k, n in sizes.items()], f"{by} long, parts long")
+    salted = pieces.join(F.broadcast(parts), by).withColumn("salt", F.pmod(F.xxhash64(*order), "parts")).drop("parts")
     counts = salted.groupBy(by, "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy(by).orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select(by, "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
@@ -298,10 +305,11 @@ def pack(pieces: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     spark = pieces.sparkSession
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    sizes = dict(histogram)
     full = histogram.pop(width, 0)
     slots = _slots(shortest_pack_first(histogram, width))
     order = [c for c in pieces.columns if c != "length" and "array" not in dict(pieces.dtypes)[c]]
-    ranked = _numbered(pieces, "length", order)
+    ranked = _numbered(pieces, "length", order, sizes)
     packs = 1 + max((s[3] + (s[2] - s[1]) // s[5] - 1 for s in slots), default=-1)
     slots.append((width, 0, full, packs, 0, 1))
     schema = "length long, low long, high long, first long, slot_offset long, each long"

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import collections
 import random
 import zlib
 
@@ -84,3 +85,15 @@ def test_shortest_pack_first_uses_each_piece_once(seed):
     assert used == histogram
     least = sum(k * n for k, n in histogram.items()) / 64
     assert sum(n for n, _ in packs) <= 1.1 * least + 1
+
+
+def test_numbers_of_a_frequent_length_come_from_many_parts(spark):
+    rows = [(i, 7 if i % 4 else i % 5) for i in range(3000)] + [(1, 7)] * 5
+    pieces = spark.createDataFrame(rows, "doc_id long, length long")
+    sizes = collections.Counter(n for _, n in rows)
+    for each in (1, 50, 10**6):
+        found = packing._numbered(pieces, "length", ["doc_id"], sizes, rows_a_salt=each).collect()
+        ranks = collections.defaultdict(list)
+        for r in found:
+            ranks[r["length"]].append(r["rank"])
+        assert {k: sorted(v) for k, v in ranks.items()} == {k: list(range(n)) for k, n in sizes.items()}
