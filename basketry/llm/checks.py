@@ -51,7 +51,8 @@ def op1_secret_scans() -> str:
     hits AS (
       SELECT uid, start, o FROM spreads
       WHERE regexp_matches(part, '[0-9]') AND (
-        regexp_full_match(part, '[0-9a-f]*') AND spread <= {secrets.spread_bound(secrets.HEX_BITS)}
+        regexp_full_match(part, '[0-9a-f]*|[0-9A-F]*') AND spread <= {secrets.spread_bound(secrets.HEX_BITS)}
+        OR regexp_full_match(part, '[0-9a-z]*|[0-9A-Z]*') AND spread <= {secrets.spread_bound(secrets.SINGLE_CASE_BITS)}
         OR regexp_matches(part, '[A-Z]') AND regexp_matches(part, '[a-z]')
           AND spread <= {secrets.spread_bound(secrets.MIXED_BITS)})),
     islands AS (
@@ -145,7 +146,7 @@ def op9_quality_rules() -> str:
     bad AS (
       SELECT source, plain
       FROM (SELECT source, plain, count(DISTINCT text) AS docs FROM lines GROUP BY ALL) JOIN hosts USING (source)
-      WHERE docs > {quality.MIN_DOCS} AND docs > host_docs * {quality.MAX_SHARE}::DOUBLE),
+      WHERE docs > {quality.MIN_DOCS} AND (docs > host_docs * {quality.MAX_SHARE}::DOUBLE OR docs > {quality.MOST_DOCS})),
     lost AS (
       SELECT uid, sum(n)::BIGINT AS removed_words FROM lines JOIN bad USING (source, plain) GROUP BY uid),
     counted AS (
@@ -160,7 +161,8 @@ def op9_quality_rules() -> str:
       SELECT *, n_words < {quality.MIN_WORDS}
         OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counted)
     SELECT *, NOT base_failed AND NOT (
-      removed_words > 0 AND n_words - removed_words < n_words * {quality.MIN_LEFT}::DOUBLE) AS kept
+      removed_words > 0 AND (n_words - removed_words < n_words * {quality.MIN_LEFT}::DOUBLE
+        OR n_words - removed_words < {quality.LEAST_LEFT})) AS kept
     FROM judged"""
 
 

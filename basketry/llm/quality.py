@@ -1,16 +1,13 @@
 """Quality rules: base counts of every text, then lines that too many documents of a host share.
 
 A line is normalised to its words, ASCII letters in lower case and digits as ``0``. For each
-host (``source``) a line is boilerplate if more than ``max_share`` of the host's distinct texts,
-and more than ``min_docs`` of them, hold it. With ``most_docs`` more than so many texts are enough
-whatever their share, so that a line does not stay because its host is large. Exact copies count as
+host (``source``) a line is boilerplate if more than ``max_share`` of the host's distinct texts hold
+it, or more than ``most_docs`` of them, whichever is less, so that a line does not stay because its
+host is large; and more than ``min_docs`` in any case, as a share says nothing of a few texts. Exact copies count as
 one document, so that a text is not taken for boilerplate because it was copied. Boilerplate lines
 are removed; a document that loses lines and then has under ``least_left`` words, or under
 ``min_left`` of them, is depleted and rejected.
 
-``op9_quality_rules`` is held to its SQL, which has neither ``most_docs`` nor ``least_left``; the
-pipeline works with ``PIPELINE_LIMITS``.
-
 Null and empty texts have no words and fail the base rule. Null and empty sources are one host.
 Equal rows get equal results, an empty table gives none, and other columns are left alone.
 """
@@ -39,10 +36,9 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 REPEAT_WINDOW = 8
 MAX_SHARE = 0.1
-MIN_DOCS = 20
-MIN_LEFT = 0.3
-# the share decides on hosts of 200 to 10,000 texts, on larger ones a count
-PIPELINE_LIMITS = {"most_docs": 1000, "least_left": MIN_WORDS}
+MIN_DOCS, MOST_DOCS = 5, 1000
+MIN_LEFT, LEAST_LEFT = 0.3, MIN_WORDS
+PIPELINE_LIMITS = {"most_docs": MOST_DOCS, "least_left": LEAST_LEFT}
 
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 _PLAIN = LOWER.copy()
@@ -146,7 +142,7 @@ def measure(docs: DataFrame) -> DataFrame:
 
 
 def boilerplate(
-    measured: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS, most_docs: int | None = None
+    measured: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS, most_docs: int = MOST_DOCS
 ) -> DataFrame:
     """(source, line): lines held by too many distinct texts of a host."""
     per_host = (
@@ -159,9 +155,7 @@ def boilerplate(
         .agg(F.count("*").alias("docs"))
         .where(F.col("docs") > min_docs)
     )
-    too_many = F.col("docs") > F.col("host_docs") * max_share
-    if most_docs is not None:
-        too_many |= F.col("docs") > most_docs
+    too_many = (F.col("docs") > F.col("host_docs") * max_share) | (F.col("docs") > most_docs)
     return per_line.join(per_host, "source").where(too_many).select("source", "line")
 
 
@@ -171,8 +165,8 @@ def judge(
     min_docs: int = MIN_DOCS,
     min_left: float = MIN_LEFT,
     min_words: int = MIN_WORDS,
-    most_docs: int | None = None,
-    least_left: int = 0,
+    most_docs: int = MOST_DOCS,
+    least_left: int = LEAST_LEFT,
 ) -> DataFrame:
     """One row per document: counts, ``base_failed``, ``removed_words``, ``kept`` and ``bad_lines``.
 

@@ -4,11 +4,10 @@ Three patterns give the base spans. The method then looks at candidates, that is
 characters of keys and digests with at least ``window`` of them. A window slides over each
 candidate; counts per character are carried along, so a step updates two counts and the sum of
 ``n * log2(n)`` (as whole millionths, so that results do not depend on the order of additions).
-A window is a hit if its Shannon entropy reaches the bound of its character class: ``hex`` if all
-its characters are hexadecimal, else ``mixed``, which asks for a digit, a capital and a small
-letter. With ``single_case_bits`` two more classes count: windows of capitals and digits alone and of
-small letters and digits alone have that bound, and upper-case hexadecimal windows that of ``hex``.
-``op1_secret_scans`` is held to its SQL, which lacks them; the pipeline masks them too. Hits that touch are one span of kind ``entropy``. Candidates on the allow list add none.
+A window is a hit if it has a digit and its Shannon entropy reaches the bound of its character class:
+``hex`` (hexadecimal in one case), ``single`` (capitals and digits alone, or small letters and
+digits alone) or ``mixed`` (capitals and small letters). Hits that touch are one span of kind
+``entropy``. Candidates on the allow list add none.
 
 Null texts count as empty and have no spans. Every row gets one result; other columns are left
 alone. Texts are scanned whole, and no row is moved.
@@ -109,7 +108,7 @@ def _placed(pieces: str) -> Column:
 
 
 def _entropy_spans(
-    candidate: Column, window: int, hex_bits: float, mixed_bits: float, single_case_bits: float | None
+    candidate: Column, window: int, hex_bits: float, mixed_bits: float, single_case_bits: float
 ) -> Column:
     """Spans of a candidate, from its start, whose windows are hits."""
     terms = F.array(*map(F.lit, spread_terms(window)))
@@ -132,9 +131,8 @@ def _entropy_spans(
         "smalls": lambda k: between(k, 26, 51),
         "digits": lambda k: between(k, 52, 61),
         "hexes": is_hex,
+        "upper_hexes": is_upper_hex,
     }
-    if single_case_bits is not None:
-        groups["upper_hexes"] = is_upper_hex
 
     def step(s: Column, k: Column) -> Column:
         full = F.size(s["recent"]) == window
@@ -161,14 +159,13 @@ def _entropy_spans(
         )
 
     def settle(s: Column) -> Column:
-        hexes = (s["hexes"] == window) & (s["spread"] <= spread_bound(hex_bits, window))
-        mixed = (s["capitals"] > 0) & (s["smalls"] > 0) & (s["spread"] <= spread_bound(mixed_bits, window))
-        found = hexes | mixed
-        if single_case_bits is not None:
-            one_case = (s["capitals"] + s["digits"] == window) | (s["smalls"] + s["digits"] == window)
-            found |= one_case & (s["spread"] <= spread_bound(single_case_bits, window))
-            found |= (s["upper_hexes"] == window) & (s["spread"] <= spread_bound(hex_bits, window))
-        hit = (F.size(s["recent"]) == window) & (s["digits"] > 0) & found
+        def reaches(bits: float) -> Column:
+            return s["spread"] <= spread_bound(bits, window)
+
+        hexes = ((s["hexes"] == window) | (s["upper_hexes"] == window)) & reaches(hex_bits)
+        single = ((s["capitals"] + s["digits"] == window) | (s["smalls"] + s["digits"] == window)) & reaches(single_case_bits)
+        mixed = (s["capitals"] > 0) & (s["smalls"] > 0) & reaches(mixed_bits)
+        hit = (F.size(s["recent"]) == window) & (s["digits"] > 0) & (hexes | single | mixed)
         apart = hit & (s["at"] - window > s["b"])
         closes = apart & (s["b"] > 0)
         span = F.struct(s["a"].alias("a"), s["b"].alias("b"))
@@ -203,17 +200,18 @@ def scan(
     window: int = WINDOW,
     hex_bits: float = HEX_BITS,
     mixed_bits: float = MIXED_BITS,
+    single_case_bits: float = SINGLE_CASE_BITS,
 ) -> DataFrame:
     """``docs`` with ``secret_spans``: array of (start, kind_no, stop), sorted; the kind is ``KINDS[kind_no]``.
 
     A column of that name is replaced.
     """
-    found = _scanned(docs, allowed, window, hex_bits, mixed_bits, None)
+    found = _scanned(docs, allowed, window, hex_bits, mixed_bits, single_case_bits)
     return found.select(*(F.col(f"row.`{c}`") for c in docs.columns if c != "secret_spans"), "secret_spans")
 
 
 def _scanned(
-    docs: DataFrame, allowed, window: int, hex_bits: float, mixed_bits: float, single_case_bits: float | None
+    docs: DataFrame, allowed, window: int, hex_bits: float, mixed_bits: float, single_case_bits: float
 ) -> DataFrame:
     """Every row as one struct ``row``, and its ``secret_spans``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -274,7 +272,7 @@ def mask(
     window: int = WINDOW,
     hex_bits: float = HEX_BITS,
     mixed_bits: float = MIXED_BITS,
-    single_case_bits: float | None = None,
+    single_case_bits: float = SINGLE_CASE_BITS,
 ) -> DataFrame:
     """``docs`` with every span, overlaps counting as one, replaced by ``[SECRET]``."""
     found = _scanned(docs, allowed, window, hex_bits, mixed_bits, single_case_bits)

@@ -62,7 +62,7 @@ def plain_line(line):
     return " ".join(words(re.sub("[0-9]", "0", lowered(line))))
 
 
-def quality(docs, max_share, min_docs, min_left=0.3, min_words=20):
+def quality(docs, max_share, min_docs, min_left=0.3, min_words=20, most_docs=1000, least_left=20):
     """(kept, text without boilerplate lines) of each (source, text)."""
     per_line, per_host = collections.defaultdict(set), collections.defaultdict(set)
     for source, text in docs:
@@ -77,12 +77,13 @@ def quality(docs, max_share, min_docs, min_left=0.3, min_words=20):
 
         def bad(line):
             found = len(per_line.get((source or "", plain_line(line)), ()))
-            return bool(words(line)) and found > min_docs and found > len(per_host[source or ""]) * max_share
+            many = found > len(per_host[source or ""]) * max_share or found > most_docs
+            return bool(words(line)) and found > min_docs and many
 
         lines = (text or "").split("\n")
         kept = [x for x in lines if not bad(x)]
         left = sum(len(words(x)) for x in kept)
-        depleted = left < n["n_words"] and left < n["n_words"] * min_left
+        depleted = left < n["n_words"] and (left < n["n_words"] * min_left or left < least_left)
         out.append((not failed and not depleted, strip_lines(text, bad)))
     return out
 
@@ -98,7 +99,7 @@ ASSIGN = re.compile(
 )
 
 
-def secret_spans(text, window=20, hex_bits=3.0, mixed_bits=3.7):
+def secret_spans(text, window=20, hex_bits=3.0, mixed_bits=3.7, single_bits=3.3):
     text = text or ""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
@@ -113,9 +114,10 @@ def secret_spans(text, window=20, hex_bits=3.0, mixed_bits=3.7):
             part = run[i : i + window]
             counts = collections.Counter(part)
             bits = -sum(n / window * math.log2(n / window) for n in counts.values())
-            is_hex = re.fullmatch("[0-9a-f]*", part) and bits >= hex_bits
+            is_hex = re.fullmatch("[0-9a-f]*|[0-9A-F]*", part) and bits >= hex_bits
+            single = re.fullmatch("[0-9a-z]*|[0-9A-Z]*", part) and bits >= single_bits
             mixed = re.search("[A-Z]", part) and re.search("[a-z]", part) and bits >= mixed_bits
-            if re.search("[0-9]", part) and (is_hex or mixed):
+            if re.search("[0-9]", part) and (is_hex or single or mixed):
                 if spans and i <= spans[-1][1]:
                     spans[-1][1] = i + window
                 else:

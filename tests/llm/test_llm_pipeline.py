@@ -7,7 +7,7 @@ import public_tokenizers
 from test_llm_operators import corpus
 
 import corpus_pipeline
-from basketry.llm import packing, queries
+from basketry.llm import packing, quality, queries
 
 
 def test_all_queries_are_registered():
@@ -33,7 +33,7 @@ def test_pipeline_against_its_plain_version(spark, tmp_path):
     spark.createDataFrame(rows, kind).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
 
-    judged = brute.quality([(r[3], r[1]) for r in rows], 0.1, 20)
+    judged = brute.quality([(r[3], r[1]) for r in rows], quality.MAX_SHARE, quality.MIN_DOCS)
     docs = [(r[0], text) for r, (kept, text) in zip(rows, judged) if kept]
     roots, _ = brute.groups([t for _, t in docs], 5, 80)
     docs = [d for k, d in enumerate(docs) if roots[k] == k]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -25,3 +26,30 @@ def test_pipeline_rejects_documents_left_with_few_words(spark):
     longer = hosts(spark, "", 0, 45)
     kept = corpus_pipeline.quality_rules(spark, docs.union(longer.withColumn("doc_id", F.col("doc_id") + 100)), "")
     assert {r["doc_id"] for r in kept.collect()} == set(range(100, 145))
+
+
+@pytest.mark.parametrize("texts", [30, 500, 100_000])
+def test_lines_are_judged_alike_on_small_and_large_hosts(spark, texts):
+    row = F.col("id")
+    own = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(25)), lambda k: F.concat(F.lit("w"), F.hash(row, k))), " ")
+    common = F.when(row % 5 < 2, "\nAll rights reserved by 2024 us\n").otherwise("")  # 40 %
+    rare = F.when(row % 50 == 1, "\nA line that a few share\n").otherwise("")  # 2 %, and under 1,000 texts or 5
+    hollow = F.when(row % 10 == 0, "Only a few words here").otherwise(own)  # 10 % keep 6 words
+    text = F.concat(hollow, F.lit(" "), F.translate(row.cast("string"), "0123456789", "abcdefghij"), common, F.when(row < 45_000, rare).otherwise(""))
+    docs = spark.range(texts).select(
+        F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"), F.lit("h").alias("source"), F.lit(0).alias("n_chars")
+    )
+    judged = quality.judge(docs, min_words=6)
+    found = judged.groupBy((F.col("doc_id") % 10).alias("d")).agg(
+        F.min("removed_words"), F.max("removed_words"), F.min(F.col("kept").cast("int")), F.max(F.col("kept").cast("int"))
+    )
+    got = {r[0]: tuple(r)[1:] for r in found.collect()}
+    want = {d: (6, 6, 1, 1) if d % 5 < 2 else (0, 0, 1, 1) for d in range(10)}
+    assert got == want | {0: (6, 6, 0, 0)}
+
+
+def test_pipeline_and_query_have_one_rule():
+    import inspect
+
+    own = {k: v.default for k, v in inspect.signature(quality.judge).parameters.items()}
+    assert own | quality.PIPELINE_LIMITS == own
