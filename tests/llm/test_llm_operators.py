@@ -140,13 +140,13 @@ def test_tiles_against_brute_force():
     for _ in range(40):
         item = rng.choices("abcdefg", k=rng.randint(5, 18))
         doc = rng.choices("abcdefg", k=10) + item[8:] + ["z"] + item[:8] + rng.choices("abcdefg", k=10)
-        places = [
-            (i, j)
-            for i in range(len(doc) - 4)
-            for j in range(len(item) - 4)
-            if doc[i : i + 5] == item[j : j + 5]
-        ]
-        assert sum(t[2] for t in decontamination.tiles(places, 5)) == brute.covered(" ".join(doc), " ".join(item))
+        seeds = [{tuple(w[i : i + 5]): [] for i in range(len(w) - 4)} for w in (doc, item)]
+        for w, own in zip((doc, item), seeds):
+            for i in range(len(w) - 4):
+                own[tuple(w[i : i + 5])].append(i)
+        shared = [(np.array(seeds[0][s]), np.array(seeds[1][s])) for s in seeds[0].keys() & seeds[1].keys()]
+        found = decontamination.tiles(decontamination.runs(shared), 5)
+        assert sum(t[2] for t in found) == brute.covered(" ".join(doc), " ".join(item))
 
 
 def test_leaks_are_found_reordered_and_clean_documents_are_not(spark):
