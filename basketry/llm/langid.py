@@ -154,21 +154,25 @@ def train(docs: DataFrame, label: str = "lang") -> Model:
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str | Column]) -> DataFrame:
-    """The columns ``keep`` of every row with ``lang_pred`` and ``score``."""
+    """The columns ``keep`` of every row with ``lang_pred`` and ``score``, which replace any of those names."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, block in text_blocks(batch, "_text"):
+            for low, high, block in text_blocks(batch, "text"):
                 languages, posterior = shared.value.score(block)
-                own = batch.slice(low, high - low)
-                columns = [*own.columns[:-1], pa.array(languages, pa.string()), pa.array(posterior)]
-                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "lang_pred", "score"])
-
-    rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
-    schema = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(work, schema)
+                own = batch.column("own").slice(low, high - low)
+                columns = [own, pa.array(languages, pa.string()), pa.array(posterior)]
+                yield pa.RecordBatch.from_arrays(columns, ["own", "lang_pred", "score"])
+
+    names = [c for c in docs.select(*keep).columns if c not in ("lang_pred", "score")]
+    wanted = [c for c in keep if docs.select(c).columns[0] in names]
+    # as one struct, so that a kept column may have any name
+    own = F.struct(*wanted) if wanted else F.struct(F.lit(True).alias("any"))
+    rows = docs.select(own.alias("own"), F.col("text").cast("string").alias("text"))
+    scored = rows.mapInArrow(work, rows.drop("text").schema.add("lang_pred", "string").add("score", "double"))
+    return scored.select(*(F.col(f"own.`{c}`").alias(c) for c in names), "lang_pred", "score")
 
 
 def held_out() -> Column:
