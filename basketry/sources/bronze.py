@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 SOURCE_COLUMN = "source_file"
 SOURCE_NO = "source_no"
@@ -40,15 +40,27 @@ def _read_csv(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
-def _first_rows(entry: DataFrame, n: int) -> list[DataFrame]:
+def _first_rows(entry: DataFrame, n: int) -> DataFrame:
     """The first ``n`` rows of each file of an entry, in file order.
 
-    Splits are read in order until there are ``n`` rows, usually one, so the rest of a file is
-    not touched. The rows of a dry run, ``n`` for each file, pass through the driver.
+    Rows are counted for each split of a file; only splits that begin before row ``n`` are looked at
+    again, and each task sends no more than ``n`` rows of a file to where they are cut.
     """
-    spark = entry.sparkSession
-    files = (_read_csv(spark, path) for path in sorted(entry.inputFiles()))
-    return [spark.createDataFrame(f.take(n), f.schema) for f in files]
+    own = entry.columns
+    placed = entry.withColumns(
+        {
+            "_file": F.col("_metadata.file_path"),
+            "_begin": F.col("_metadata.file_block_start"),
+            "_row": F.monotonically_increasing_id(),
+        }
+    )
+    earlier = Window.partitionBy("_file").orderBy("_begin").rowsBetween(Window.unboundedPreceding, -1)
+    splits = placed.groupBy("_file", "_begin").agg(F.count("*").alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    wanted = splits.withColumn("_before", before).where(F.col("_before") < n)
+    rows = placed.join(wanted.select("_file", "_begin"), ["_file", "_begin"], "left_semi")
+    place = F.row_number().over(Window.partitionBy("_file").orderBy("_begin", "_row"))
+    return rows.withColumn("_place", place).where(F.col("_place") <= n).select(*own)
 
 
 def read_bronze(
@@ -66,7 +78,6 @@ def read_bronze(
     frames = []
     for number, path in enumerate(entries(paths)):
         whole = _read_csv(spark, path)
-        parts = [whole] if limit_per_file is None else _first_rows(whole, limit_per_file)
-        source = {SOURCE_COLUMN: F.lit(source_name(path)), SOURCE_NO: F.lit(number)}
-        frames += [part.withColumns(source) for part in parts]
+        part = whole if limit_per_file is None else _first_rows(whole, limit_per_file)
+        frames.append(part.withColumns({SOURCE_COLUMN: F.lit(source_name(path)), SOURCE_NO: F.lit(number)}))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -84,6 +84,13 @@ def test_row_cap_keeps_the_first_rows_across_splits(spark, tmp_path, n):
     assert got == [*range(cap), *range(400, 400 + cap)]
 
 
+def test_row_cap_stays_in_tasks(spark, months):
+    capped = bronze.read_bronze(spark, months[:1], limit_per_file=2)
+    plan = capped._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" in plan and "WindowGroupLimit" in plan
+    assert "ExistingRDD" not in plan and "LocalTableScan" not in plan
+
+
 def test_mixed_headers_in_one_folder_are_an_error(spark, tmp_path):
     (tmp_path / "a.csv").write_text(csv_lines(RAW[:6]))
     (tmp_path / "b.csv").write_text(csv_lines(RAW[6:], EVENT_COLUMNS[::-1]))
