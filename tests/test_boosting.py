@@ -246,3 +246,26 @@ def test_keyed_forest_ignores_partitioning(gold):
         for g in (gold, gold.repartition(7, F.rand(1)))
     )
     assert [r["prediction"] for r in one] == pytest.approx([r["prediction"] for r in two], abs=1e-12)
+
+
+def test_draws_hash_a_key_once(spark):
+    from basketry.functions.ordering import SAMPLE_PRIME, key_hash, sample_factors
+    from basketry.operators import bagging
+
+    keys = [(0, day(0)), (-1, day(1)), (2**63 - 1, day(2)), (-(2**63), day(3)), (2**61 - 1, day(4)), (None, day(5)), (3, None)]
+    rows = spark.createDataFrame(keys, "product_id long, date date")
+    key, found = (F.col("product_id"), F.col("date")), []
+    drawn = rows.select(*key, bagging.draws(*key, 42, 1).alias("n"), key_hash(*key, 42 * 1_000_003 + 1).alias("h"))
+    plan = drawn.select("n")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("unix_date") == 1  # the comparisons do not repeat the hash
+    a, b, c, d = sample_factors(42 * 1_000_003 + 1)
+    for r in drawn.collect():
+        if r["product_id"] is None or r["date"] is None:
+            assert r["h"] is None and r["n"] is None
+            continue
+        days = (r["date"] - day(0, "1970-01-01")).days + 1_000_000
+        first = (r["product_id"] % SAMPLE_PRIME * a + days * b + c) % SAMPLE_PRIME
+        assert r["h"] == first * first * d % SAMPLE_PRIME
+        assert r["n"] == sum(r["h"] >= bound for bound in bagging.poisson_bounds())
+        found.append(r["n"])
+    assert len(found) == 5
