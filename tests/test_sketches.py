@@ -97,3 +97,12 @@ def test_error_by_activity_of_each_group(spark):
         )
         assert total == {"a": 30_000, "b": 5_000}[m]
     assert all(0 <= r["mae"] <= 1 for r in got.values()) and not [k for k in got if k[0] == "d"]
+
+
+def test_only_the_cuts_are_broadcast_in_activity_sketch(spark):
+    from basketry.plans import catalog
+
+    found = catalog.queries()["activity_sketch"](spark, "/root/testdata/sf0.001")
+    joined = str(found._jdf.queryExecution().optimizedPlan().toString()).split("Join Inner")[1].splitlines()[0]
+    assert "rightHint=(strategy=broadcast)" in joined and "leftHint" not in joined
+    assert found.count() == 2
