@@ -100,3 +100,18 @@ def test_normalised_stream_keeps_the_event_columns(spark, tmp_path):
     (tmp_path / "in").mkdir()
     events = live.live_events(ingest.stream_bronze(spark, str(tmp_path / "in")))
     assert events.isStreaming and events.columns == [*EVENT_COLUMNS, "date"]
+
+
+def test_lots_of_a_stream_have_a_file_for_each_task(spark):
+    import glob
+
+    from basketry import scratch
+    from basketry.plans import catalog
+
+    known = set(scratch._made)
+    rows = catalog.queries()["streaming_dedup"](spark, "/root/testdata/sf0.001")
+    landing = [p for p in scratch._made if p not in known and "landing" in p]
+    files = glob.glob(f"{landing[0].removeprefix('file:')}/*.csv")
+    assert len(landing) == 1 and len(files) > 3  # three lots
+    assert rows.count() == catalog.queries()["clean_all"](spark, "/root/testdata/sf0.001").count() > 0
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled", "true") == "true"
