@@ -2,6 +2,8 @@
 
 Tasks get Arrow batches, cut them into blocks of about ``BLOCK_BYTES`` and work on the bytes
 of a whole block at once. A text longer than that is a block of its own; nothing is cut off.
+Work on words takes some sixty times the bytes of a block, so operators that cost nothing fixed a
+block take ``SMALL_BYTES``.
 Hashes are 64 bits wide. Their constants are drawn from a fixed seed, so every task of every
 run gives equal words equal hashes. Short spans have polynomials modulo 2^64, all of a block at once;
 some different texts of a thousand characters and more agree in every such polynomial, so spans
@@ -10,14 +12,17 @@ of over ``LONG`` elements have a digest instead.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 20
+SMALL_BYTES = 1 << 18
 BATCH_ROWS = 500
 LONG = 128
 
@@ -40,11 +45,12 @@ _powers = {"base": np.ones(1, np.uint64), "inverse": np.ones(1, np.uint64)}
 def _power(kind: str, factor: int, n: int) -> np.ndarray:
     """factor ** 0 … factor ** (n - 1) modulo 2**64, kept between calls."""
     if len(_powers[kind]) < n:
-        steps = np.full(max(n, BLOCK_BYTES), factor, np.uint64)
+        once = n > 4 * BLOCK_BYTES  # one very long text: not worth keeping
+        steps = np.full(n if once else max(1 << (n - 1).bit_length(), SMALL_BYTES), factor, np.uint64)
         steps[0] = 1
         grown = np.cumprod(steps, dtype=np.uint64)
-        if n > 4 * BLOCK_BYTES:  # one very long text: not worth keeping
-            return grown[:n]
+        if once:
+            return grown
         _powers[kind] = grown
     return _powers[kind][:n]
 
@@ -56,6 +62,33 @@ def small_batches(spark) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def give_back() -> None:
+    """Return freed memory to the system, as far as Arrow and the C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    except (OSError, TypeError):
+        trim = None
+    if trim:
+        trim(0)
+
+
+def tidy(work: Callable) -> Callable:
+    """``work`` on the batches of a task, after which the worker gives back what it has freed.
+
+    Spark keeps more workers than an executor has cores, and what idle ones hold adds to its memory.
+    """
+
+    @functools.wraps(work)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit hashes."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -95,8 +128,8 @@ class Block:
         return sums[self.offsets[1:]] - sums[self.offsets[:-1]]
 
 
-def text_blocks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, Block]]:
-    """(first row, row after the last, block) of a batch; null counts as empty."""
+def text_blocks(batch: pa.RecordBatch, column: str, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, Block]]:
+    """(first row, row after the last, block of about ``size`` bytes) of a batch; null counts as empty."""
     values = batch.column(batch.schema.get_field_index(column))
     values = pc.fill_null(values.cast(pa.large_binary()), b"")
     n = len(values)
@@ -107,7 +140,7 @@ def text_blocks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int,
     data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
     low = 0
     while low < n:
-        high = int(np.searchsorted(offsets, offsets[low] + BLOCK_BYTES, "right")) - 1
+        high = int(np.searchsorted(offsets, offsets[low] + size, "right")) - 1
         high = min(n, max(high, low + 1))
         own = offsets[low : high + 1]
         yield low, high, Block(data[own[0] : own[-1]], own - own[0])

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from basketry.llm import bloom
-from basketry.llm.blocks import SIGNS, Block, Words, small_batches, text_blocks
+from basketry.llm.blocks import SIGNS, SMALL_BYTES, Block, Words, small_batches, text_blocks, tidy
 from basketry.llm.tables import keyed, row_key, same_row, stored
 
 SEED = 5
@@ -100,9 +100,10 @@ def _seeds(block: Block, lengths: list[int]) -> Iterator[tuple[int, np.ndarray,
         yield length, text, at - words.bounds[text], hashes.view(np.int64)
 
 
+@tidy
 def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for low, high, block in text_blocks(batch, "text"):
+        for low, high, block in text_blocks(batch, "text", SMALL_BYTES):
             own = batch.slice(low, high - low)
             counts = Words(block, gaps=SIGNS).counts
             for length, text, place, hashes in _seeds(block, list(range(1, SEED + 1))):
@@ -137,9 +138,10 @@ def _document_seeds(docs: DataFrame, seeds: DataFrame) -> DataFrame:
     lengths = sorted(r[0] for r in seeds.select("seed_words").distinct().collect())  # 1 to SEED
     words = spark.sparkContext.broadcast(bloom.build(seeds, "seed"))
 
+    @tidy
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, block in text_blocks(batch, "text"):
+            for low, high, block in text_blocks(batch, "text", SMALL_BYTES):
                 own = batch.slice(low, high - low)
                 for _, text, place, hashes in _seeds(block, lengths):
                     hit = np.flatnonzero(bloom.probe(words.value, hashes))
@@ -199,6 +201,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD)
     )
 
 
+@tidy
 def _tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = []

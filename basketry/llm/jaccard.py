@@ -35,7 +35,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from basketry.llm import bloom
-from basketry.llm.blocks import mix, shingle_sets, small_batches, text_blocks
+from basketry.llm.blocks import SMALL_BYTES, mix, shingle_sets, small_batches, text_blocks, tidy
 from basketry.llm.components import merged
 from basketry.llm.tables import keyed, row_key, same_row, stored
 
@@ -58,14 +58,16 @@ def _bucket(shingles: np.ndarray) -> np.ndarray:
 def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
     """How many documents hold a shingle of each bucket; the same size for any corpus."""
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            for _, _, block in text_blocks(batch, "text"):
+            for _, _, block in text_blocks(batch, "text", SMALL_BYTES):
                 sets = list(shingle_sets(block, words))
-                total += np.bincount(_bucket(np.concatenate(sets)), minlength=COUNTERS)
+                np.add.at(total, _bucket(np.concatenate(sets)), 1)
         yield from slices(dict(enumerate(total.reshape(-1, SLICE))))
 
+    @tidy
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -114,9 +116,10 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
     texts = _texts(docs)
     order = docs.sparkSession.sparkContext.broadcast(shingle_counts(texts, words))
 
+    @tidy
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, block in text_blocks(batch, "text"):
+            for low, high, block in text_blocks(batch, "text", SMALL_BYTES):
                 sizes, first, second, bits, heads = [], [], [], [], []
                 for s in shingle_sets(block, words):
                     n = len(s)
@@ -341,6 +344,7 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.nda
 def candidates(units: DataFrame, percent: int, most: int) -> DataFrame:
     """(a, b, shingle, tile): the pairs to check next, and the units that want them checked."""
 
+    @tidy
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit, failed in _units(batches):
             pairs = forests(unit, failed, percent, most)
@@ -364,13 +368,15 @@ def verified(docs: DataFrame, signed: DataFrame, pairs: DataFrame, words: int, p
     keys = stored(signed.select("uid", "doc_id", "row_key").join(wanted, "uid", "left_semi"), "wanted")
     passes = bloom.may_contain(spark, bloom.build(keys, "row_key"), F.col("row_key"))
 
+    @tidy
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, block in text_blocks(batch, "text"):
+            for low, high, block in text_blocks(batch, "text", SMALL_BYTES):
                 raw = [s.tobytes() for s in shingle_sets(block, words)]
                 own = batch.slice(low, high - low)
                 yield pa.RecordBatch.from_arrays([*own.columns[:2], pa.array(raw, pa.binary())], ["doc_id", "row_key", "shingles"])
 
+    @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []

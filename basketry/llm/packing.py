@@ -16,15 +16,16 @@ A null or empty text is the single id 0. Rows with equal or null ids are packed
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from basketry.llm.blocks import Block, mix, sequence_hashes, small_batches, text_blocks
+from basketry.llm.blocks import SMALL_BYTES, Block, mix, sequence_hashes, small_batches, text_blocks, tidy
 from basketry.llm.tables import stored
 
 WIDTH = 1024
@@ -172,8 +173,13 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder for each vocabulary and Python worker."""
+    """One encoder for each vocabulary and Python worker.
+
+    Its words are encoded in the task's own thread: a pool of threads for all cores takes more than the
+    task's core, and each thread keeps memory of its own.
+    """
     if path not in _encoders:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         _encoders[path] = Encoder(path)
     return _encoders[path]
 
@@ -197,11 +203,12 @@ def tokenize(docs: DataFrame, path: str, width: int = WIDTH, payload: str = "ids
     kind, value = PAYLOADS[payload]
     schema = f"doc_id long, start long, length long, doc_tokens long, {payload} {kind}"
 
+    @tidy
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(path)
         for batch in batches:
             names = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
-            for low, _, block in text_blocks(batch, "text"):
+            for low, _, block in text_blocks(batch, "text", SMALL_BYTES):
                 ids, cuts = tokens.encode(block)
                 out: list[list] = [[], [], [], [], []]
                 for i in range(len(block)):
@@ -279,6 +286,12 @@ def _slots(patterns: list[tuple[int, tuple[int, ...]]]) -> list[tuple[int, int,
     return slots
 
 
+def _table(spark: SparkSession, names: list[str], rows: list[tuple[int, ...]]) -> DataFrame:
+    """Rows of longs, by Arrow: a list of tuples would start Python workers of another kind, which stay."""
+    columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(len(names))]
+    return spark.createDataFrame(pa.table(columns, names))
+
+
 def _numbered(
     pieces: DataFrame, by: str, order: list[str], sizes: dict[int, int], rows_a_salt: int = ROWS_A_SALT
 ) -> DataFrame:
@@ -287,7 +300,7 @@ def _numbered(
     ``sizes`` says how many rows a value has: it is sorted in parts of some ``rows_a_salt`` rows, so
     that a task's rows do not grow with the corpus, and what adds up over parts is one count for each.
     """
-    parts = pieces.sparkSession.createDataFrame([(k, 1 + n // rows_a_salt) for k, n in sizes.items()], f"{by} long, parts long")
+    parts = _table(pieces.sparkSession, [by, "parts"], [(k, 1 + n // rows_a_salt) for k, n in sizes.items()])
     salted = pieces.join(F.broadcast(parts), by).withColumn("salt", F.pmod(F.xxhash64(*order), "parts")).drop("parts")
     counts = salted.groupBy(by, "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy(by).orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
@@ -312,8 +325,7 @@ def pack(pieces: DataFrame, width: int = WIDTH) -> DataFrame:
     ranked = _numbered(pieces, "length", order, sizes)
     packs = 1 + max((s[3] + (s[2] - s[1]) // s[5] - 1 for s in slots), default=-1)
     slots.append((width, 0, full, packs, 0, 1))
-    schema = "length long, low long, high long, first long, slot_offset long, each long"
-    table = spark.createDataFrame(slots, schema)
+    table = _table(spark, ["length", "low", "high", "first", "slot_offset", "each"], slots)
     # many ranges of one length: find the right one by its number among the sorted lower ends
     grouped = table.groupBy("length").agg(
         F.array_sort(F.collect_list(F.struct("low", "high", "first", "slot_offset", "each"))).alias("ranges")
